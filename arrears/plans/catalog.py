@@ -11,6 +11,7 @@ import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import delinquency as dq
 from ..operators import portfolio as pf
@@ -122,3 +123,180 @@ WHERE rn = 1
 """, "payment_history"))
 def q_latest_payment(spark, sf_dir):
     return dq.latest_payment(book_from_testdata(spark, sf_dir).payments)
+
+
+# ---------------------------------------------------------------- features
+
+from ..operators import evaluate as ev  # noqa: E402
+from ..operators import features as ft  # noqa: E402
+from ..operators import lifecycle as lc  # noqa: E402
+from ..operators import recommend as rc  # noqa: E402
+
+FEATURES_CTES = f"""v AS ({DELINQUENCY_SQL_BODY}),
+features AS (
+  SELECT v.loan_id, v.customer_id, v.status, v.principal, v.interest_rate, v.term_months, v.origination_date,
+    v.total_payments_made,
+    COALESCE(v.late_payment_count, 0) AS late_payment_count,
+    COALESCE(v.pct_payments_late, 0) AS pct_payments_late,
+    COALESCE(v.avg_days_late, 0) AS avg_days_late,
+    COALESCE(v.max_days_late_ever, 0) AS max_days_late_ever,
+    COALESCE(v.most_recent_days_late, 0) AS most_recent_days_late,
+    c.income, c.employment_status, c.age, c.credit_score,
+    round(CAST({AS_OF_SQL} - v.origination_date AS DOUBLE) / 30.0, 1) AS loan_age_months
+  FROM v JOIN customers c ON v.customer_id = c.customer_id),
+training AS (
+  SELECT *, CAST(status = 'defaulted' AS INTEGER) AS is_default FROM features
+  WHERE status IN ('defaulted', 'paid_off') OR loan_age_months >= 18),
+split AS (
+  SELECT *, CASE WHEN row_number() OVER (PARTITION BY is_default
+      ORDER BY md5('42:' || CAST(loan_id AS VARCHAR)), loan_id)
+    <= ceil(0.2 * count(*) OVER (PARTITION BY is_default)) THEN 'test' ELSE 'train' END AS split
+  FROM training),
+scored AS (
+  SELECT *, round(least(greatest(
+      CAST(850 - credit_score AS DOUBLE) / 550.0 * 0.5
+      + (CASE WHEN employment_status = 'Unemployed' THEN 1.0 ELSE 0.0 END) * 0.3
+      + greatest(75000.0 - CAST(income AS DOUBLE), 0.0) / 75000.0 * 0.2, 0.02), 0.95), 4)
+    AS probability_of_default
+  FROM features)"""
+
+def _features(spark, sf_dir):
+    b = book_from_testdata(spark, sf_dir)
+    return ft.loan_features(dq.loan_delinquency(b.loans, b.payments), b.customers, AS_OF)
+
+
+def _split(spark, sf_dir):
+    return ft.stratified_split(ft.training_population(_features(spark, sf_dir)))
+
+
+def _scored(spark, sf_dir):
+    """Loans scored by the deterministic underwriting risk (R8) as P(default)."""
+    f = _features(spark, sf_dir)
+    return f.withColumn("probability_of_default", lc.risk_score_expr(
+        F.col("credit_score"), F.col("employment_status"), F.col("income")))
+
+
+def _feature_sql(body: str) -> str:
+    return O.with_book(body, "customers", "loans", "payment_history", extra=FEATURES_CTES)
+
+
+@register("loan_features", _feature_sql("SELECT * FROM features"))
+def q_loan_features(spark, sf_dir):
+    return _features(spark, sf_dir)
+
+
+@register("training_population", _feature_sql("SELECT * FROM training"))
+def q_training_population(spark, sf_dir):
+    return ft.training_population(_features(spark, sf_dir))
+
+
+@register("excluded_population", _feature_sql("""
+SELECT * FROM features WHERE NOT (status IN ('defaulted', 'paid_off') OR loan_age_months >= 18)"""))
+def q_excluded_population(spark, sf_dir):
+    return ft.excluded_population(_features(spark, sf_dir))
+
+
+@register("population_summary", _feature_sql(f"""
+SELECT CAST((SELECT COUNT(*) FROM features) AS BIGINT) AS n_all,
+  CAST((SELECT COUNT(*) FROM training) AS BIGINT) AS n_training,
+  CAST((SELECT SUM(is_default) FROM training) AS BIGINT) AS n_defaulted,
+  {O.half_up("(SELECT SUM(is_default) FROM training)", "(SELECT COUNT(*) FROM training)", 3)} AS training_default_rate,
+  CAST((SELECT COUNT(*) FROM features) - (SELECT COUNT(*) FROM training) AS BIGINT) AS n_excluded"""))
+def q_population_summary(spark, sf_dir):
+    return ft.population_summary(_features(spark, sf_dir))
+
+
+@register("one_hot_employment", _feature_sql("""
+SELECT loan_id,
+  CAST(employment_status = 'Part-time' AS INTEGER) AS "employment_status_Part-time",
+  CAST(employment_status = 'Retired' AS INTEGER) AS "employment_status_Retired",
+  CAST(employment_status = 'Self-employed' AS INTEGER) AS "employment_status_Self-employed",
+  CAST(employment_status = 'Unemployed' AS INTEGER) AS "employment_status_Unemployed"
+FROM features"""))
+def q_one_hot_employment(spark, sf_dir):
+    f = ft.one_hot_employment(_features(spark, sf_dir))
+    return f.select("loan_id", *[F.col(f"`{c}`") for c in ft.DUMMY_COLUMNS])
+
+
+@register("stratified_split", _feature_sql("SELECT loan_id, is_default, split FROM split"))
+def q_stratified_split(spark, sf_dir):
+    return _split(spark, sf_dir).select("loan_id", "is_default", "split")
+
+
+@register("class_weights", _feature_sql("""
+SELECT is_default, CAST(COUNT(*) AS BIGINT) AS n_class,
+  CAST(SUM(COUNT(*)) OVER () AS DOUBLE) / CAST(2 * COUNT(*) AS DOUBLE) AS class_weight
+FROM split WHERE split = 'train' GROUP BY is_default"""))
+def q_class_weights(spark, sf_dir):
+    return ft.class_weights(_split(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- evaluation
+# The deterministic risk score (R8) plays the model: prediction = score >= 0.5,
+# evaluated on the held-out test split.
+
+EVAL_CTE = """, evald AS (
+  SELECT s.loan_id, s.is_default, r.probability_of_default AS score,
+    CAST(r.probability_of_default >= 0.5 AS INTEGER) AS prediction
+  FROM split s JOIN scored r ON s.loan_id = r.loan_id WHERE s.split = 'test'),
+cc AS (
+  SELECT COUNT(*) FILTER (WHERE is_default = 1 AND prediction = 1) AS tp,
+    COUNT(*) FILTER (WHERE is_default = 0 AND prediction = 1) AS fp,
+    COUNT(*) FILTER (WHERE is_default = 0 AND prediction = 0) AS tn,
+    COUNT(*) FILTER (WHERE is_default = 1 AND prediction = 0) AS fn
+  FROM evald)"""
+
+
+def _eval_sql(body: str) -> str:
+    return O.with_book(body, "customers", "loans", "payment_history",
+                       extra=FEATURES_CTES + EVAL_CTE)
+
+
+def _sdiv(num: str, den: str) -> str:
+    return f"CASE WHEN ({den}) <> 0 THEN CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE) ELSE 0.0 END"
+
+
+def _evald(spark, sf_dir):
+    s = _split(spark, sf_dir).where(F.col("split") == "test").select("loan_id", "is_default")
+    r = _scored(spark, sf_dir).select("loan_id", F.col("probability_of_default").alias("score"))
+    return s.join(r, "loan_id").withColumn("prediction", (F.col("score") >= 0.5).cast("int"))
+
+
+@register("binary_metrics", _eval_sql(f"""
+SELECT {_sdiv("tp + tn", "tp + fp + tn + fn")} AS accuracy, {_sdiv("tp", "tp + fp")} AS precision,
+  {_sdiv("tp", "tp + fn")} AS recall, {_sdiv("2 * tp", "2 * tp + fp + fn")} AS f1 FROM cc"""))
+def q_binary_metrics(spark, sf_dir):
+    return ev.binary_metrics(_evald(spark, sf_dir))
+
+
+@register("confusion_matrix", _eval_sql("""
+SELECT 0 AS actual, CAST(tn AS BIGINT) AS pred_0, CAST(fp AS BIGINT) AS pred_1 FROM cc
+UNION ALL SELECT 1, CAST(fn AS BIGINT), CAST(tp AS BIGINT) FROM cc"""))
+def q_confusion_matrix(spark, sf_dir):
+    return ev.confusion_matrix(_evald(spark, sf_dir))
+
+
+@register("class_report", _eval_sql(f""", pc AS (
+  SELECT {_sdiv("tn", "tn + fn")} AS p0, {_sdiv("tn", "tn + fp")} AS r0, {_sdiv("2 * tn", "2 * tn + fn + fp")} AS f0,
+    CAST(tn + fp AS BIGINT) AS s0,
+    {_sdiv("tp", "tp + fp")} AS p1, {_sdiv("tp", "tp + fn")} AS r1, {_sdiv("2 * tp", "2 * tp + fp + fn")} AS f1,
+    CAST(tp + fn AS BIGINT) AS s1 FROM cc)
+SELECT 'No Default' AS class_label, p0 AS precision, r0 AS recall, f0 AS f1_score, s0 AS support FROM pc
+UNION ALL SELECT 'Default', p1, r1, f1, s1 FROM pc
+UNION ALL SELECT 'macro avg', (p0 + p1) / 2.0, (r0 + r1) / 2.0, (f0 + f1) / 2.0, s0 + s1 FROM pc
+UNION ALL SELECT 'weighted avg',
+  CASE WHEN s0 + s1 <> 0 THEN (p0 * CAST(s0 AS DOUBLE) + p1 * CAST(s1 AS DOUBLE)) / CAST(s0 + s1 AS DOUBLE) ELSE 0.0 END,
+  CASE WHEN s0 + s1 <> 0 THEN (r0 * CAST(s0 AS DOUBLE) + r1 * CAST(s1 AS DOUBLE)) / CAST(s0 + s1 AS DOUBLE) ELSE 0.0 END,
+  CASE WHEN s0 + s1 <> 0 THEN (f0 * CAST(s0 AS DOUBLE) + f1 * CAST(s1 AS DOUBLE)) / CAST(s0 + s1 AS DOUBLE) ELSE 0.0 END,
+  s0 + s1 FROM pc"""))
+def q_class_report(spark, sf_dir):
+    return ev.class_report(_evald(spark, sf_dir))
+
+
+@register("roc_auc", _eval_sql(""", ss AS (
+  SELECT score, SUM(is_default) AS pos, COUNT(*) - SUM(is_default) AS neg FROM evald GROUP BY score),
+c AS (SELECT pos, neg, COALESCE(SUM(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM ss)
+SELECT CASE WHEN SUM(pos) * SUM(neg) <> 0 THEN
+  CAST(SUM(pos * (2 * below + neg)) AS DOUBLE) / CAST(2 * SUM(pos) * SUM(neg) AS DOUBLE) END AS auc FROM c"""))
+def q_roc_auc(spark, sf_dir):
+    return ev.roc_auc(_evald(spark, sf_dir), score="score")
