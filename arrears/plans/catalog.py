@@ -300,3 +300,211 @@ SELECT CASE WHEN SUM(pos) * SUM(neg) <> 0 THEN
   CAST(SUM(pos * (2 * below + neg)) AS DOUBLE) / CAST(2 * SUM(pos) * SUM(neg) AS DOUBLE) END AS auc FROM c"""))
 def q_roc_auc(spark, sf_dir):
     return ev.roc_auc(_evald(spark, sf_dir), score="score")
+
+
+# ---------------------------------------------------------------- recommendation
+
+def _money(expr_cents: str, precision: int = 14) -> str:
+    return f"CAST(CAST({expr_cents} AS DECIMAL(20,0)) * 0.01 AS DECIMAL({precision},2))"
+
+
+ACTS_DEFAULT = """acts(ord, action_type, rate_pm, cost_c) AS (VALUES
+  (1, 'reminder_email', 295, 200), (2, 'phone_call', 392, 1500),
+  (3, 'payment_plan', 430, 4000), (4, 'legal_notice', 239, 15000))"""
+
+ACTS_REFRESHED = """acts0(ord, action_type, rate_pm, cost_c) AS (VALUES
+  (1, 'reminder_email', 295, 200), (2, 'phone_call', 392, 1500),
+  (3, 'payment_plan', 430, 4000), (4, 'legal_notice', 239, 15000)),
+fresh AS (
+  SELECT action_type, (2000 * COUNT(*) FILTER (WHERE outcome IN ('paid_in_full', 'partial_payment'))
+    + COUNT(*)) // (2 * COUNT(*)) AS rate_pm
+  FROM collection_actions GROUP BY action_type),
+acts AS (
+  SELECT d.ord, d.action_type, COALESCE(f.rate_pm, d.rate_pm) AS rate_pm, d.cost_c
+  FROM acts0 d LEFT JOIN fresh f ON d.action_type = f.action_type)"""
+
+
+def _reco_ctes(acts: str) -> str:
+    return FEATURES_CTES + f""",
+money AS (
+  SELECT loan_id, probability_of_default AS p, loan_age_months,
+    CASE WHEN term_months > 0 THEN
+      (2 * CAST(principal * 100 AS BIGINT)
+         * greatest(10 * term_months - CAST(round(loan_age_months * 10) AS BIGINT), 0)
+       + 10 * term_months) // (20 * term_months)
+    ELSE 0 END AS bal_c
+  FROM scored),
+money2 AS (
+  SELECT *, (2 * CAST(round(p * 10000) AS BIGINT) * bal_c * 60 + 1000000) // 2000000 AS var_c FROM money),
+{acts},
+opts AS (
+  SELECT m.*, a.ord, a.action_type, a.rate_pm, a.cost_c, a.rate_pm * m.var_c - 1000 * a.cost_c AS x
+  FROM money2 m CROSS JOIN acts a),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY loan_id ORDER BY ev_c DESC, ord) AS INTEGER) AS option_rank
+  FROM (SELECT *, sign(x) * ((2 * abs(x) + 1000) // 2000) AS ev_c FROM opts) t)"""
+
+
+BEST_BODY = f"""
+SELECT loan_id,
+  CASE WHEN p >= 0.5 THEN 'High' WHEN p >= 0.2 THEN 'Medium' ELSE 'Low' END AS risk_tier,
+  round(p, 4) AS probability_of_default,
+  {_money("bal_c")} AS estimated_outstanding_balance,
+  {_money("var_c")} AS estimated_value_at_risk,
+  action_type AS recommended_action,
+  CAST(rate_pm AS DOUBLE) / 1000.0 AS recommended_success_rate,
+  {_money("cost_c", 10)} AS recommended_cost,
+  {_money("ev_c")} AS recommended_expected_value
+FROM ranked WHERE option_rank = 1"""
+
+
+def _reco_sql(body: str, acts: str = ACTS_DEFAULT) -> str:
+    return O.with_book(body, "customers", "loans", "payment_history", "collection_actions",
+                       extra=_reco_ctes(acts))
+
+
+@register("risk_tiers", _reco_sql("""
+SELECT loan_id, round(p, 4) AS probability_of_default,
+  CASE WHEN p >= 0.5 THEN 'High' WHEN p >= 0.2 THEN 'Medium' ELSE 'Low' END AS risk_tier FROM money"""))
+def q_risk_tiers(spark, sf_dir):
+    return rc.risk_tiers(_scored(spark, sf_dir))
+
+
+@register("outstanding_balance", _reco_sql(f"""
+SELECT loan_id, loan_age_months, {_money("bal_c")} AS estimated_outstanding_balance FROM money"""))
+def q_outstanding_balance(spark, sf_dir):
+    return rc.outstanding_balance(_features(spark, sf_dir))
+
+
+@register("value_at_risk", _reco_sql(f"""
+SELECT loan_id, round(p, 4) AS probability_of_default, {_money("var_c")} AS estimated_value_at_risk
+FROM money2"""))
+def q_value_at_risk(spark, sf_dir):
+    return rc.value_at_risk(_scored(spark, sf_dir))
+
+
+@register("action_options", _reco_sql(f"""
+SELECT loan_id, option_rank, action_type, CAST(rate_pm AS DOUBLE) / 1000.0 AS success_rate,
+  {_money("cost_c", 10)} AS cost, {_money("ev_c")} AS expected_value FROM ranked"""))
+def q_action_options(spark, sf_dir):
+    return rc.action_options(rc.recommend_actions(_scored(spark, sf_dir)))
+
+
+@register("best_action", _reco_sql(BEST_BODY))
+def q_best_action(spark, sf_dir):
+    return rc.best_action_flat(rc.recommend_actions(_scored(spark, sf_dir)))
+
+
+@register("best_action_refreshed", _reco_sql(BEST_BODY, ACTS_REFRESHED))
+def q_best_action_refreshed(spark, sf_dir):
+    b = book_from_testdata(spark, sf_dir)
+    actions = rc.refreshed_actions(pf.success_rate_permille(b.actions))
+    return rc.best_action_flat(rc.recommend_actions(_scored(spark, sf_dir), actions=actions))
+
+
+# ---------------------------------------------------------------- lifecycle
+
+ELAPSED_SQL = f"least(term_months, greatest(0, CAST(({AS_OF_SQL} - origination_date) // 30 AS INTEGER)))"
+INSTALMENT_CENTS_SQL = ("CASE WHEN term_months > 0 THEN (2 * CAST(principal * 100 AS BIGINT) "
+                        "* (10000 + CAST(interest_rate * 10000 AS BIGINT)) + 10000 * term_months) "
+                        "// (20000 * term_months) END")
+
+PAY_EVENTS_SQL = """pay_ev AS (
+  SELECT loan_id, due_date AS event_date, 0 AS kind, payment_id AS event_id,
+    CAST(CASE WHEN amount_paid = 0 THEN 30 WHEN days_late > 0 THEN days_late - 5 ELSE -10 END AS BIGINT) AS delta
+  FROM payment_history),
+act_ev AS (
+  SELECT loan_id, action_date AS event_date, 1 AS kind, action_id AS event_id,
+    CAST(CASE outcome WHEN 'paid_in_full' THEN -45 WHEN 'partial_payment' THEN -15 ELSE 0 END AS BIGINT) AS delta
+  FROM collection_actions)"""
+
+
+def _clamped_sql(src: str) -> str:
+    w = "PARTITION BY loan_id ORDER BY event_date, kind, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    return f"""(SELECT *, CAST(s - least(0, MIN(s) OVER ({w})) AS BIGINT) AS delinquency_balance
+  FROM (SELECT *, SUM(delta) OVER ({w}) AS s FROM {src}) t0)"""
+
+
+@register("instalment_amount", O.with_book(f"""
+SELECT loan_id, {_money(INSTALMENT_CENTS_SQL)} AS monthly_payment FROM loans""", "loans"))
+def q_instalment_amount(spark, sf_dir):
+    return lc.instalment_amount(book_from_testdata(spark, sf_dir).loans)
+
+
+@register("instalments_elapsed", O.with_book(f"""
+SELECT loan_id, {ELAPSED_SQL} AS instalments_elapsed FROM loans""", "loans"))
+def q_instalments_elapsed(spark, sf_dir):
+    return lc.instalments_elapsed(book_from_testdata(spark, sf_dir).loans, AS_OF)
+
+
+@register("payment_schedule", O.with_book(f"""
+SELECT loan_id, CAST(g AS INTEGER) AS instalment_no,
+  CAST(origination_date + CAST(30 * g AS INTEGER) AS DATE) AS due_date,
+  {_money("due_c")} AS amount_due
+FROM (SELECT loan_id, origination_date, {INSTALMENT_CENTS_SQL} AS due_c,
+        unnest(generate_series(1, {ELAPSED_SQL})) AS g
+      FROM loans WHERE {ELAPSED_SQL} >= 1) t""", "loans"))
+def q_payment_schedule(spark, sf_dir):
+    return lc.payment_schedule(book_from_testdata(spark, sf_dir).loans, AS_OF)
+
+
+@register("running_delinquency", O.with_book(f"""
+SELECT event_id AS payment_id, loan_id, event_date AS due_date, delta, delinquency_balance
+FROM {_clamped_sql("pay_ev")} r""", "payment_history", "collection_actions", extra=PAY_EVENTS_SQL))
+def q_running_delinquency(spark, sf_dir):
+    return lc.running_delinquency(book_from_testdata(spark, sf_dir).payments)
+
+
+@register("delinquency_with_actions", O.with_book(f"""
+SELECT loan_id, event_date, kind, event_id, delta, delinquency_balance
+FROM {_clamped_sql("(SELECT * FROM pay_ev UNION ALL SELECT * FROM act_ev)")} r""",
+                                                  "payment_history", "collection_actions",
+                                                  extra=PAY_EVENTS_SQL))
+def q_delinquency_with_actions(spark, sf_dir):
+    b = book_from_testdata(spark, sf_dir)
+    return lc.delinquency_with_actions(b.payments, b.actions)
+
+
+@register("escalation_points", O.with_book(f"""
+, b AS {_clamped_sql("pay_ev")}
+SELECT loan_id, 'reminder_email' AS action_type, 15 AS threshold, MIN(event_date) AS escalation_date
+  FROM b WHERE delinquency_balance >= 15 GROUP BY loan_id
+UNION ALL SELECT loan_id, 'phone_call', 30, MIN(event_date) FROM b WHERE delinquency_balance >= 30 GROUP BY loan_id
+UNION ALL SELECT loan_id, 'payment_plan', 60, MIN(event_date) FROM b WHERE delinquency_balance >= 60 GROUP BY loan_id
+UNION ALL SELECT loan_id, 'legal_notice', 90, MIN(event_date) FROM b WHERE delinquency_balance >= 90 GROUP BY loan_id""",
+                                           "payment_history", "collection_actions",
+                                           extra=PAY_EVENTS_SQL))
+def q_escalation_points(spark, sf_dir):
+    return lc.escalation_points(book_from_testdata(spark, sf_dir).payments)
+
+
+@register("derived_status", O.with_book(f"""
+, b AS {_clamped_sql("(SELECT * FROM pay_ev UNION ALL SELECT * FROM act_ev)")},
+eod AS (SELECT loan_id, delinquency_balance, row_number() OVER (PARTITION BY loan_id, event_date
+          ORDER BY kind DESC, event_id DESC) AS rn FROM b),
+peak AS (SELECT loan_id, MAX(delinquency_balance) AS pk FROM eod WHERE rn = 1 GROUP BY loan_id)
+SELECT l.loan_id, CASE WHEN COALESCE(pk, 0) >= 110 THEN 'defaulted'
+  WHEN {ELAPSED_SQL} >= term_months THEN 'paid_off' ELSE 'active' END AS derived_status
+FROM loans l LEFT JOIN peak ON l.loan_id = peak.loan_id""",
+                                        "loans", "payment_history", "collection_actions",
+                                        extra=PAY_EVENTS_SQL))
+def q_derived_status(spark, sf_dir):
+    b = book_from_testdata(spark, sf_dir)
+    return lc.derived_status(b.loans, b.payments, b.actions, AS_OF)
+
+
+@register("risk_score", O.with_book("""
+SELECT customer_id, round(least(greatest(
+    CAST(850 - credit_score AS DOUBLE) / 550.0 * 0.5
+    + (CASE WHEN employment_status = 'Unemployed' THEN 1.0 ELSE 0.0 END) * 0.3
+    + greatest(75000.0 - CAST(income AS DOUBLE), 0.0) / 75000.0 * 0.2, 0.02), 0.95), 4) AS risk_score
+FROM customers""", "customers"))
+def q_risk_score(spark, sf_dir):
+    return lc.risk_score(book_from_testdata(spark, sf_dir).customers)
+
+
+@register("risk_price", O.with_book("""
+SELECT customer_id, round(least(greatest(0.06 + CAST(850 - credit_score AS DOUBLE) / 550.0 * 0.12, 0.045), 0.22), 4)
+  AS risk_price FROM customers""", "customers"))
+def q_risk_price(spark, sf_dir):
+    return lc.risk_price(book_from_testdata(spark, sf_dir).customers)
