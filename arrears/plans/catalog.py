@@ -508,3 +508,114 @@ SELECT customer_id, round(least(greatest(0.06 + CAST(850 - credit_score AS DOUBL
   AS risk_price FROM customers""", "customers"))
 def q_risk_price(spark, sf_dir):
     return lc.risk_price(book_from_testdata(spark, sf_dir).customers)
+
+
+# ---------------------------------------------------------------- quality and load
+
+from ..operators import quality as qa  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import io as sio  # noqa: E402
+from ..sources.schemas import FOREIGN_KEYS, TABLES  # noqa: E402
+
+_ALL = ("customers", "loans", "payment_history", "collection_actions")
+
+
+def _tables(spark, sf_dir):
+    return dict(book_from_testdata(spark, sf_dir).items())
+
+
+@register("null_violations", O.with_book("\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, "
+    f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS null_count FROM {t}"
+    for t in TABLES for c in TABLES[t].columns), *_ALL))
+def q_null_violations(spark, sf_dir):
+    return qa.null_violations(_tables(spark, sf_dir))
+
+
+@register("pk_violations", O.with_book("\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, CAST(COUNT(*) AS BIGINT) AS n_rows, "
+    f"CAST(COUNT(DISTINCT {s.primary_key}) AS BIGINT) AS n_keys, "
+    f"CAST((SELECT COUNT(*) FROM (SELECT {s.primary_key} FROM {t} WHERE {s.primary_key} IS NOT NULL "
+    f"GROUP BY {s.primary_key} HAVING COUNT(*) > 1) d) AS BIGINT) AS n_duplicate_keys FROM {t}"
+    for t, s in TABLES.items()), *_ALL))
+def q_pk_violations(spark, sf_dir):
+    return qa.pk_violations(_tables(spark, sf_dir))
+
+
+@register("fk_violations", O.with_book("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS child_table, '{cc}' AS child_column, '{p}' AS parent_table, "
+    f"CAST(COUNT(*) AS BIGINT) AS orphan_rows, CAST(COUNT(DISTINCT ch.{cc}) AS BIGINT) AS orphan_keys "
+    f"FROM {c} ch WHERE ch.{cc} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {p} pa WHERE pa.{pc} = ch.{cc})"
+    for c, cc, p, pc in FOREIGN_KEYS), *_ALL))
+def q_fk_violations(spark, sf_dir):
+    return qa.fk_violations(_tables(spark, sf_dir))
+
+
+@register("defaults_applied", O.with_book("\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{v}' AS default_value, "
+    f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n_defaulted FROM {t}"
+    for t, s in TABLES.items() for c, v in s.defaults.items()), *_ALL))
+def q_defaults_applied(spark, sf_dir):
+    return qa.defaults_applied(_tables(spark, sf_dir))
+
+
+TABLE_COUNTS_SQL = O.with_book("\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, CAST(COUNT(*) AS BIGINT) AS row_count FROM {t}" for t in TABLES),
+    *_ALL)
+
+
+@register("table_counts", TABLE_COUNTS_SQL)
+def q_table_counts(spark, sf_dir):
+    return sio.table_counts(book_from_testdata(spark, sf_dir))
+
+
+@register("csv_round_trip", O.with_book("SELECT * FROM loans", "loans"))
+def q_csv_round_trip(spark, sf_dir):
+    """Write the loans as CSV with a header, read back with the schema."""
+    path = scratch_path(spark, "csv-loans")
+    sio.write_table(book_from_testdata(spark, sf_dir).loans, path, "loans", fmt="csv")
+    return sio.read_table(spark, path, "loans", fmt="csv")
+
+
+@register("full_refresh", TABLE_COUNTS_SQL)
+def q_full_refresh(spark, sf_dir):
+    """Staged, checked, idempotent reload -- run twice, count the result."""
+    book = book_from_testdata(spark, sf_dir)
+    target = scratch_path(spark, "book")
+    sio.full_refresh(spark, book, target, scratch_path(spark, "staging"))
+    published = sio.full_refresh(spark, book, target, scratch_path(spark, "staging"))
+    return sio.table_counts(published)
+
+
+# The delinquency view through the SQL API on named views.
+DELINQUENCY_SPARK_SQL = """
+WITH pay AS (
+  SELECT loan_id, COUNT(*) AS n, COUNT_IF(days_late > 0) AS late,
+    SUM(CAST(days_late AS BIGINT)) AS s, COUNT(days_late) AS nv, MAX(days_late) AS mx,
+    MAX_BY(days_late, unix_date(due_date) * 4294967296L + days_late) AS recent
+  FROM {p}payment_history GROUP BY loan_id)
+SELECT l.loan_id, l.customer_id, l.status, l.principal, l.interest_rate, l.term_months, l.origination_date,
+  COALESCE(p.n, 0) AS total_payments_made,
+  COALESCE(p.late, 0) AS late_payment_count,
+  CAST((2000 * COALESCE(p.late, 0) + GREATEST(COALESCE(p.n, 0), 1))
+       DIV (2 * GREATEST(COALESCE(p.n, 0), 1)) AS DOUBLE) / 1000D AS pct_payments_late,
+  CASE WHEN p.nv > 0 THEN CAST((20 * p.s + p.nv) DIV (2 * p.nv) AS DOUBLE) / 10D END AS avg_days_late,
+  p.mx AS max_days_late_ever,
+  p.recent AS most_recent_days_late
+FROM {p}loans l LEFT JOIN pay p ON p.loan_id = l.loan_id
+"""
+
+
+@register("loan_delinquency_sql", O.with_book(DELINQUENCY_SQL_BODY, "loans", "payment_history"))
+def q_loan_delinquency_sql(spark, sf_dir):
+    import uuid
+    prefix = f"arrears_{uuid.uuid4().hex[:8]}_"
+    sio.register_views(spark, book_from_testdata(spark, sf_dir), prefix)
+    return spark.sql(DELINQUENCY_SPARK_SQL.format(p=prefix))
+
+
+@register("surrogate_keys")
+def q_surrogate_keys(spark, sf_dir):
+    """S12 (rows only): dense ids for the collection actions, no global sort."""
+    acts = book_from_testdata(spark, sf_dir).actions
+    return qa.dense_ids(acts.select("action_id", "loan_id"), "surrogate_id")
