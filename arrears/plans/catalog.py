@@ -619,3 +619,54 @@ def q_surrogate_keys(spark, sf_dir):
     """S12 (rows only): dense ids for the collection actions, no global sort."""
     acts = book_from_testdata(spark, sf_dir).actions
     return qa.dense_ids(acts.select("action_id", "loan_id"), "surrogate_id")
+
+
+# ---------------------------------------------------------------- model (rows-only checks)
+
+from ..operators import model as ml  # noqa: E402
+
+_RUNS: dict = {}
+
+
+def _training_run(spark, sf_dir) -> "ml.TrainingRun":
+    """One fitted forest per (application, data set), shared by the model queries."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _RUNS:
+        _RUNS[key] = ml.train_and_evaluate(_split(spark, sf_dir), ml.ForestParams())
+    return _RUNS[key]
+
+
+@register("rf_scores")
+def q_rf_scores(spark, sf_dir):
+    """M5/M6: P(default) and predicted class for every held-out loan."""
+    return _training_run(spark, sf_dir).scored_test.select(
+        "loan_id", "is_default", "prediction", "probability_of_default")
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    """The ten most important of the 17 model inputs."""
+    return ml.feature_importance(_training_run(spark, sf_dir).model, top=10)
+
+
+@register("run_metrics")
+def q_run_metrics(spark, sf_dir):
+    """Parameters and held-out metrics of the training run."""
+    return ml.run_metrics(_training_run(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- streaming refresh
+
+from ..streaming import rates_refresh as rr  # noqa: E402
+
+
+@register("streamed_success_rates", ORACLE["action_success_rates"])
+def q_streamed_success_rates(spark, sf_dir):
+    """R10 as a stream: actions land as files, the refresh job publishes the rates."""
+    landing = scratch_path(spark, "landing")
+    table = scratch_path(spark, "rates")
+    book_from_testdata(spark, sf_dir).actions.write.parquet(landing)
+    q = rr.start_refresh(spark, landing, table, scratch_path(spark, "rates-ckpt"))
+    q.awaitTermination()
+    return (rr.read_rates(spark, table).select("action_type", "total_actions", "success_rate")
+            .orderBy(F.desc("success_rate"), "action_type"))
