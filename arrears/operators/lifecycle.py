@@ -33,8 +33,8 @@ DAYS_PER_INSTALMENT = 30
 def instalment_cents(principal: Column, interest_rate: Column, term_months: Column) -> Column:
     """round(principal * (1 + rate) / term, 2) in cents (flat interest)."""
     r4 = (interest_rate * 10000).cast("bigint")
-    num = cents(principal).cast("decimal(38,0)") * (r4 + 10000)
-    den = (term_months.cast("bigint") * 10000).cast("decimal(38,0)")
+    num = cents(principal) * (r4 + 10000)
+    den = term_months.cast("bigint") * 10000
     return F.when(term_months > 0, round_half_up_div(num, den))
 
 
@@ -61,14 +61,17 @@ def payment_schedule(loans: DataFrame, as_of) -> DataFrame:
     """
     n = elapsed(F.col("origination_date"), F.col("term_months"), as_of)
     seq = F.when(n >= 1, F.sequence(F.lit(1), n))
-    return (loans.select("loan_id", "origination_date",
-                         instalment_cents(F.col("principal"), F.col("interest_rate"),
-                                          F.col("term_months")).alias("_due_c"),
-                         F.explode(seq).alias("instalment_no"))
+    # Per-loan values are computed once, before the rows multiply.
+    per_loan = loans.select(
+        "loan_id", "origination_date", seq.alias("_seq"),
+        from_cents(instalment_cents(F.col("principal"), F.col("interest_rate"),
+                                    F.col("term_months"))).alias("amount_due"))
+    return (per_loan.select("loan_id", "origination_date", "amount_due",
+                            F.explode("_seq").alias("instalment_no"))
             .select("loan_id", F.col("instalment_no").cast("int").alias("instalment_no"),
                     F.date_add("origination_date", F.col("instalment_no") * DAYS_PER_INSTALMENT)
                     .alias("due_date"),
-                    from_cents(F.col("_due_c")).alias("amount_due")))
+                    "amount_due"))
 
 
 # ------------------------------------------------------------------ R4, R5
@@ -109,6 +112,10 @@ def _day_summary(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     minimum balance prefix before the day. This window runs over distinct days
     only, which a calendar bounds regardless of how many rows a loan has.
     """
+    # Events need a loan and a date to be placed in the sequence. Stating the
+    # filter once keeps both branches below identical, so the level-1 shuffle
+    # is computed once and reused by the join back.
+    events = events.where(F.col("loan_id").isNotNull() & F.col("event_date").isNotNull())
     in_day = Window.partitionBy("loan_id", "event_date").orderBy("kind", "event_id")
     upto = in_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = (events.withColumn("_s", F.sum("delta").over(upto))

@@ -165,17 +165,29 @@ def _features(spark, sf_dir):
     return ft.loan_features(dq.loan_delinquency(b.loans, b.payments), b.customers, AS_OF)
 
 
-def _split(spark, sf_dir):
-    return ft.stratified_split(ft.training_population(_features(spark, sf_dir)))
+def _split(spark, sf_dir, features=None):
+    """Split of the training population.
 
+    The split reads its input in three branches (prefix counts, whole buckets,
+    the cut bucket). The branches that need payment statistics share one
+    plan, so the payment aggregation's shuffle is computed once and reused;
+    the counting branch needs no payment columns at all and the optimizer
+    drops the payment join from it.
+    """
+    f = features if features is not None else _features(spark, sf_dir)
+    return ft.stratified_split(ft.training_population(f))
 
-def _scored(spark, sf_dir):
-    """Loans scored by the deterministic underwriting risk (R8) as P(default)."""
-    f = _features(spark, sf_dir)
+
+def _with_risk(f):
     return f.withColumn("probability_of_default", lc.risk_score_expr(
         F.col("credit_score"), F.col("employment_status"), F.col("income")))
 
 
+def _scored(spark, sf_dir):
+    """Loans scored by the deterministic underwriting risk (R8) as P(default)."""
+    return _with_risk(_features(spark, sf_dir))
+
+
 def _feature_sql(body: str) -> str:
     return O.with_book(body, "customers", "loans", "payment_history", extra=FEATURES_CTES)
 
@@ -257,8 +269,9 @@ def _sdiv(num: str, den: str) -> str:
 
 
 def _evald(spark, sf_dir):
-    s = _split(spark, sf_dir).where(F.col("split") == "test").select("loan_id", "is_default")
-    r = _scored(spark, sf_dir).select("loan_id", F.col("probability_of_default").alias("score"))
+    f = _features(spark, sf_dir)
+    s = _split(spark, sf_dir, f).where(F.col("split") == "test").select("loan_id", "is_default")
+    r = _with_risk(f).select("loan_id", F.col("probability_of_default").alias("score"))
     return s.join(r, "loan_id").withColumn("prediction", (F.col("score") >= 0.5).cast("int"))
 
 
