@@ -400,19 +400,19 @@ def q_value_at_risk(spark, sf_dir):
 SELECT loan_id, option_rank, action_type, CAST(rate_pm AS DOUBLE) / 1000.0 AS success_rate,
   {_money("cost_c", 10)} AS cost, {_money("ev_c")} AS expected_value FROM ranked"""))
 def q_action_options(spark, sf_dir):
-    return rc.action_options(rc.recommend_actions(_scored(spark, sf_dir)))
+    return rc.action_options(_scored(spark, sf_dir))
 
 
 @register("best_action", _reco_sql(BEST_BODY))
 def q_best_action(spark, sf_dir):
-    return rc.best_action_flat(rc.recommend_actions(_scored(spark, sf_dir)))
+    return rc.best_actions(_scored(spark, sf_dir))
 
 
 @register("best_action_refreshed", _reco_sql(BEST_BODY, ACTS_REFRESHED))
 def q_best_action_refreshed(spark, sf_dir):
     b = book_from_testdata(spark, sf_dir)
     actions = rc.refreshed_actions(pf.success_rate_permille(b.actions))
-    return rc.best_action_flat(rc.recommend_actions(_scored(spark, sf_dir), actions=actions))
+    return rc.best_actions(_scored(spark, sf_dir), actions=actions)
 
 
 # ---------------------------------------------------------------- lifecycle
