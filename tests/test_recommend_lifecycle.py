@@ -176,7 +176,11 @@ def test_auc_matches_bruteforce(spark):
     neg = [s for y, s in rows if y == 0]
     brute = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
     df = spark.createDataFrame(rows, "is_default int, score double")
-    assert abs(ev.roc_auc(df, bucket_scale=1).first().auc - brute) < 1e-12
+    assert abs(ev.roc_auc(df, buckets=7).first().auc - brute) < 1e-12
+    assert abs(ev.roc_auc(df).first().auc - brute) < 1e-12
+    assert abs(ev.roc_auc(df, buckets=16, balanced=True).first().auc - brute) < 1e-12
+    shifted = df.withColumn("score", F.col("score") * 3 - 1)  # scores outside [0, 1]
+    assert abs(ev.roc_auc(shifted, buckets=4).first().auc - brute) < 1e-12
 
 
 def test_risk_score_and_price(spark):
