@@ -683,3 +683,16 @@ def q_streamed_success_rates(spark, sf_dir):
     q.awaitTermination()
     return (rr.read_rates(spark, table).select("action_type", "total_actions", "success_rate")
             .orderBy(F.desc("success_rate"), "action_type"))
+
+
+@register("surrogate_key_summary", O.with_book("""
+SELECT CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(COUNT(*) AS BIGINT) AS n_distinct_ids,
+  CAST(1 AS BIGINT) AS min_id, CAST(COUNT(*) AS BIGINT) AS max_id
+FROM collection_actions""", "collection_actions"))
+def q_surrogate_key_summary(spark, sf_dir):
+    """S12 checked against SQL: the ids are exactly 1..n (dense and unique)."""
+    ids = q_surrogate_keys(spark, sf_dir)
+    return ids.agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"),
+                   F.count_distinct("surrogate_id").cast("bigint").alias("n_distinct_ids"),
+                   F.min("surrogate_id").cast("bigint").alias("min_id"),
+                   F.max("surrogate_id").cast("bigint").alias("max_id"))
