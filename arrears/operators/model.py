@@ -36,6 +36,10 @@ class ForestParams:
     min_instances_per_node: int = 10
     feature_subset_strategy: str = "sqrt"
     seed: int = 42
+    # Spark-side tuning (not model semantics): more node statistics per pass
+    # means fewer passes over the data per tree level.
+    max_memory_mb: int = 1024
+    cache_node_ids: bool = True
 
     def as_rows(self) -> dict:
         return {"n_estimators": self.num_trees, "max_depth": self.max_depth,
@@ -60,6 +64,7 @@ def forest_pipeline(params: ForestParams = ForestParams(), label: str = "is_defa
         featuresCol="features", labelCol=label, numTrees=params.num_trees,
         maxDepth=params.max_depth, minInstancesPerNode=params.min_instances_per_node,
         featureSubsetStrategy=params.feature_subset_strategy, seed=params.seed,
+        maxMemoryInMB=params.max_memory_mb, cacheNodeIds=params.cache_node_ids,
         probabilityCol="probability", predictionCol="prediction_d")
     if weight_col:
         rf.setWeightCol(weight_col)
