@@ -696,3 +696,13 @@ def q_surrogate_key_summary(spark, sf_dir):
                    F.count_distinct("surrogate_id").cast("bigint").alias("n_distinct_ids"),
                    F.min("surrogate_id").cast("bigint").alias("min_id"),
                    F.max("surrogate_id").cast("bigint").alias("max_id"))
+
+
+@register("bucketed_delinquency", O.with_book(DELINQUENCY_SQL_BODY, "loans", "payment_history"))
+def q_bucketed_delinquency(spark, sf_dir):
+    """A13 on a bucketed layout: aggregation and join read co-partitioned tables."""
+    import uuid
+    prefix = f"arrears_b{uuid.uuid4().hex[:8]}_"
+    book = sio.write_bucketed_book(spark, book_from_testdata(spark, sf_dir),
+                                   scratch_path(spark, "bucketed"), num_buckets=8, prefix=prefix)
+    return dq.loan_delinquency(book.loans, book.payments)

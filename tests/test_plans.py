@@ -35,3 +35,16 @@ def test_recommendation_adds_no_exchange(spark):
     best = _plan(queries()["best_action"](spark, SMALL))
     assert best.count("Exchange") <= feats.count("Exchange")
     assert "Generate" not in best and "Window" not in best
+
+
+def test_bucketed_delinquency_has_no_shuffle(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = queries()["bucketed_delinquency"](spark, SMALL)
+        df.write.format("noop").mode("overwrite").save()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
