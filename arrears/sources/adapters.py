@@ -4,7 +4,7 @@ The mapping is test-fixture plumbing (see FIXTURES.md §2): it is the only place
 that knows the driver's table names. Everything downstream sees customers,
 loans, payment_history and collection_actions with the declared schemas.
 All mappings are narrow projections except two small dimension joins
-(nation, region) and the payment id, which needs one window per order.
+(nation, region) and the payment id, a sequence number within each order.
 """
 
 from __future__ import annotations
@@ -14,9 +14,10 @@ from dataclasses import dataclass
 from functools import cached_property
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.sequence import row_number_within
 from .schemas import TABLES
 
 
@@ -82,19 +83,23 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payment_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _read(spark, sf_dir, "lineitem")
-    # Deterministic per-loan sequence number; bounded by the instalments of one
-    # loan (< 100 by the id scheme), so the window never holds a large group.
-    seq = Window.partitionBy("l_orderkey").orderBy(
-        "l_shipdate", "l_quantity", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    li = _read(spark, sf_dir, "lineitem").withColumn("_due", F.col("l_shipdate").cast("date"))
+    # payment_id = order key * 100 + position of the line within its order by
+    # (ship date, quantity, line number, part, supplier, price). The position is
+    # numbered per (order, day) and offset by the order's earlier days, so an
+    # order with a huge number of lines is still spread over many tasks; the
+    # rows come out partitioned by (loan, due date) for the per-day steps.
+    li = row_number_within(li, "l_orderkey", "_due",
+                           ["l_shipdate", "l_quantity", "l_linenumber", "l_partkey", "l_suppkey",
+                            "l_extendedprice"], name="_seq")
     flag = F.col("l_returnflag")
     paid = F.when(flag == "R", F.lit(Decimal("0")).cast("decimal(18,4)")).otherwise(
         F.col("l_extendedprice").cast("decimal(12,2)")
         * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)")))
     return li.select(
-        (F.col("l_orderkey") * 100 + F.row_number().over(seq)).cast("bigint").alias("payment_id"),
+        (F.col("l_orderkey") * 100 + F.col("_seq")).cast("bigint").alias("payment_id"),
         F.col("l_orderkey").cast("bigint").alias("loan_id"),
-        F.col("l_shipdate").cast("date").alias("due_date"),
+        F.col("_due").alias("due_date"),
         F.col("l_extendedprice").cast("decimal(12,2)").alias("amount_due"),
         paid.cast("decimal(12,2)").alias("amount_paid"),
         F.when(flag == "N", F.lit(0).cast("double"))

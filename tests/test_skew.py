@@ -59,3 +59,18 @@ def test_hot_customer_and_hot_loan_aggregate_before_shuffle(spark):
     v = dq.loan_delinquency(lo.where(F.col("loan_id") <= 3), pay).where("loan_id = 1").first()
     assert v.total_payments_made == 3000
     assert "partial_max" in _plan(dq.loan_delinquency(lo, pay))
+
+
+def test_row_number_within_matches_window(spark):
+    from pyspark.sql import Window
+
+    from arrears.operators.sequence import row_number_within
+    rnd = random.Random(9)
+    rows = [(1 if i < 900 else rnd.randint(2, 40),
+             None if rnd.random() < 0.05 else dt.date(2021, 1, 1) + dt.timedelta(days=rnd.randint(0, 30)),
+             rnd.randint(0, 5), i) for i in range(2700)]
+    df = spark.createDataFrame(rows, "k long, d date, a int, i long")
+    got = {r.i: r.rn for r in row_number_within(df, "k", "d", ["a", "i"], "rn").collect()}
+    w = Window.partitionBy("k").orderBy(F.col("d").asc_nulls_first(), "a", "i")
+    want = {r.i: r.rn for r in df.withColumn("rn", F.row_number().over(w)).collect()}
+    assert got == want
