@@ -37,6 +37,28 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Suggested settings for a large cluster, sized from the input volume.
+
+    The initial shuffle partition count gives ~target-sized partitions for a
+    shuffle as large as the input; AQE then coalesces small ones and splits
+    skewed ones at run time. Pass these to the cluster's session builder (the
+    shared ``spark.checkpoint.dir`` comes from the cluster itself).
+    """
+    initial = max(200, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.sources.bucketing.enabled": "true",
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session.
 
@@ -65,4 +87,5 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "local_path", "SCALE_CONF"]
+__all__ = ["build_session", "cluster_conf", "ensure_checkpoint_dir", "scratch_path", "local_path",
+           "SCALE_CONF"]
