@@ -74,3 +74,24 @@ def test_row_number_within_matches_window(spark):
     w = Window.partitionBy("k").orderBy(F.col("d").asc_nulls_first(), "a", "i")
     want = {r.i: r.rn for r in df.withColumn("rn", F.row_number().over(w)).collect()}
     assert got == want
+
+
+def test_stratified_split_equals_global_ordering(spark):
+    """The bucketed split equals ranking each class by hash globally."""
+
+    from pyspark.sql import Window
+
+    from arrears.operators import features as ft
+    rnd = random.Random(2)
+    df = spark.createDataFrame([(i, int(rnd.random() < 0.3)) for i in range(5000)],
+                               "loan_id long, is_default int")
+    for prefix in (1, 2, 4):
+        got = {r.loan_id: r.split for r in
+               ft.stratified_split(df, prefix_hex=prefix).collect()}
+        assert len(got) == 5000  # complete, and each id once (disjoint)
+        w = Window.partitionBy("is_default").orderBy(ft.split_hash("loan_id", 42), "loan_id")
+        ref = df.withColumn("rn", F.row_number().over(w)).withColumn(
+            "n", F.count("*").over(Window.partitionBy("is_default")))
+        want = {r.loan_id: ("test" if r.rn <= -(-r.n // 5) else "train")  # ceil(n / 5)
+                for r in ref.collect()}
+        assert got == want
