@@ -152,10 +152,26 @@ def train_and_evaluate(split_df: DataFrame, params: ForestParams = ForestParams(
     return TrainingRun(model, scored, evaluate(scored, label), params)
 
 
+def append_run_metrics(run: TrainingRun, table_path: str) -> DataFrame:
+    """M12 sink: append this run's rows to the run-metrics table (parquet)."""
+    run_metrics(run).write.mode("append").parquet(table_path)
+    return SparkSession.getActiveSession().read.parquet(table_path)
+
+
 def save(model: PipelineModel, path: str) -> None:
-    """The fitted pipeline, column order included."""
-    model.write().overwrite().save(path)
+    """The fitted pipeline (its assembler fixes the column order), plus the
+    17 design columns in order as a one-column text table next to it."""
+    model.write().overwrite().save(f"{path.rstrip('/')}/pipeline")
+    spark = SparkSession.getActiveSession()
+    (spark.createDataFrame([(c,) for c in DESIGN_COLUMNS], "value string").coalesce(1)
+     .write.mode("overwrite").text(f"{path.rstrip('/')}/feature_columns"))
 
 
 def load(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+    return PipelineModel.load(f"{path.rstrip('/')}/pipeline")
+
+
+def saved_feature_columns(path: str) -> list[str]:
+    """The design-column order written by ``save`` (17 names)."""
+    spark = SparkSession.getActiveSession()
+    return [r.value for r in spark.read.text(f"{path.rstrip('/')}/feature_columns").collect()]

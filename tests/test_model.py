@@ -54,6 +54,7 @@ def test_save_and_load_keep_predictions(spark, planted):
     path = scratch_path(spark, "t-model")
     ml.save(run.model, path)
     again = ml.score(ml.load(path), planted.where(F.col("split") == "test"))
+    assert ml.saved_feature_columns(path) == ml.DESIGN_COLUMNS
     before = {r.loan_id: r.probability_of_default for r in run.scored_test.collect()}
     after = {r.loan_id: r.probability_of_default for r in again.collect()}
     assert before == after
