@@ -45,6 +45,15 @@ def loan_features(delinquency: DataFrame, customers: DataFrame, as_of) -> DataFr
     )
 
 
+def scoring_base(loans: DataFrame, customers: DataFrame, as_of) -> DataFrame:
+    """Loan and borrower columns of the scoring population, without the payment
+    statistics: the same rows as ``loan_features`` (the delinquency view keeps
+    every loan exactly once), for consumers that need no payment history."""
+    return loans.join(customers.select("customer_id", *CUSTOMER_FEATURES), "customer_id").select(
+        *LOAN_COLUMNS, *CUSTOMER_FEATURES,
+        loan_age_months(F.col("origination_date"), as_of).alias("loan_age_months"))
+
+
 def training_mask(maturity_months: float = MATURITY_MONTHS):
     """Resolved loans, or loans observed long enough to trust as negatives.
 

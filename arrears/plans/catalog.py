@@ -190,8 +190,13 @@ def _with_risk(f):
 
 
 def _scored(spark, sf_dir):
-    """Loans scored by the deterministic underwriting risk (R8) as P(default)."""
-    return _with_risk(_features(spark, sf_dir))
+    """Loans scored by the deterministic underwriting risk (R8) as P(default).
+
+    The recommendation needs principal, term, age and p only, so it starts
+    from loans and borrowers; payment statistics are never planned.
+    """
+    b = book_from_testdata(spark, sf_dir)
+    return _with_risk(ft.scoring_base(b.loans, b.customers, AS_OF))
 
 
 def _feature_sql(body: str) -> str:
@@ -392,7 +397,8 @@ def q_risk_tiers(spark, sf_dir):
 @register("outstanding_balance", _reco_sql(f"""
 SELECT loan_id, loan_age_months, {_money("bal_c")} AS estimated_outstanding_balance FROM money"""))
 def q_outstanding_balance(spark, sf_dir):
-    return rc.outstanding_balance(_features(spark, sf_dir))
+    b = book_from_testdata(spark, sf_dir)
+    return rc.outstanding_balance(ft.scoring_base(b.loans, b.customers, AS_OF))
 
 
 @register("value_at_risk", _reco_sql(f"""

@@ -41,8 +41,17 @@ def bounded_broadcast(df: DataFrame, max_rows: int = 100_000, key=None) -> DataF
     return F.broadcast(df) if small else df
 
 
+_SCANS: dict = {}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan of one read-only test table; the scan (file listing and footers) is
+    set up once per application and shared by every query that maps it."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(path)
+    return _SCANS[key]
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
