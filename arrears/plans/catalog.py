@@ -663,6 +663,18 @@ def q_rf_scores(spark, sf_dir):
         "loan_id", "is_default", "prediction", "probability_of_default")
 
 
+@register("rf_confusion_matrix")
+def q_rf_confusion_matrix(spark, sf_dir):
+    """M9 for the forest's held-out predictions."""
+    return ev.confusion_matrix(_training_run(spark, sf_dir).scored_test)
+
+
+@register("rf_class_report")
+def q_rf_class_report(spark, sf_dir):
+    """M10 for the forest's held-out predictions."""
+    return ev.class_report(_training_run(spark, sf_dir).scored_test)
+
+
 @register("feature_importance")
 def q_feature_importance(spark, sf_dir):
     """The ten most important of the 17 model inputs."""
