@@ -55,7 +55,8 @@ def confusion_matrix(df: DataFrame, label: str = "is_default", pred: str = "pred
 
 
 def class_report(df: DataFrame, label: str = "is_default", pred: str = "prediction") -> DataFrame:
-    """precision/recall/F1/support per class, then macro and weighted averages."""
+    """precision/recall/F1/support per class, the accuracy line (F1 column,
+    total support), then macro and weighted averages."""
     c = confusion_counts(df, label, pred)
     tp, fp, tn, fn = (F.col(x) for x in ("tp", "fp", "tn", "fn"))
     # class 1 is positive as counted; class 0 swaps the roles (tn is its tp).
@@ -70,6 +71,7 @@ def class_report(df: DataFrame, label: str = "is_default", pred: str = "predicti
         pr, rc, f1, sup = per[k]
         cols += [pr.alias(f"p{k}"), rc.alias(f"r{k}"), f1.alias(f"f{k}"),
                  sup.cast("bigint").alias(f"s{k}")]
+    cols.append(_safe_div(tp + tn, tp + fp + tn + fn).alias("acc"))
     w = c.select(*cols)
 
     def row(name, pr, rc, f1, sup):
@@ -85,6 +87,8 @@ def class_report(df: DataFrame, label: str = "is_default", pred: str = "predicti
 
     rows = [row(CLASS_NAMES[k], F.col(f"p{k}"), F.col(f"r{k}"), F.col(f"f{k}"), F.col(f"s{k}"))
             for k in (0, 1)]
+    none = F.lit(None).cast("double")
+    rows.append(row("accuracy", none, none, F.col("acc"), tot))
     rows.append(row("macro avg", (F.col("p0") + F.col("p1")) / 2.0, (F.col("r0") + F.col("r1")) / 2.0,
                     (F.col("f0") + F.col("f1")) / 2.0, tot))
     rows.append(row("weighted avg", weighted("p"), weighted("r"), weighted("f"), tot))

@@ -304,9 +304,10 @@ def q_confusion_matrix(spark, sf_dir):
   SELECT {_sdiv("tn", "tn + fn")} AS p0, {_sdiv("tn", "tn + fp")} AS r0, {_sdiv("2 * tn", "2 * tn + fn + fp")} AS f0,
     CAST(tn + fp AS BIGINT) AS s0,
     {_sdiv("tp", "tp + fp")} AS p1, {_sdiv("tp", "tp + fn")} AS r1, {_sdiv("2 * tp", "2 * tp + fp + fn")} AS f1,
-    CAST(tp + fn AS BIGINT) AS s1 FROM cc)
+    CAST(tp + fn AS BIGINT) AS s1, {_sdiv("tp + tn", "tp + fp + tn + fn")} AS acc FROM cc)
 SELECT 'No Default' AS class_label, p0 AS precision, r0 AS recall, f0 AS f1_score, s0 AS support FROM pc
 UNION ALL SELECT 'Default', p1, r1, f1, s1 FROM pc
+UNION ALL SELECT 'accuracy', NULL, NULL, acc, s0 + s1 FROM pc
 UNION ALL SELECT 'macro avg', (p0 + p1) / 2.0, (r0 + r1) / 2.0, (f0 + f1) / 2.0, s0 + s1 FROM pc
 UNION ALL SELECT 'weighted avg',
   CASE WHEN s0 + s1 <> 0 THEN (p0 * CAST(s0 AS DOUBLE) + p1 * CAST(s1 AS DOUBLE)) / CAST(s0 + s1 AS DOUBLE) ELSE 0.0 END,
