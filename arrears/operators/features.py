@@ -30,6 +30,8 @@ EMPLOYMENT_DUMMIES = ["Part-time", "Retired", "Self-employed", "Unemployed"]
 DUMMY_COLUMNS = [f"employment_status_{v}" for v in EMPLOYMENT_DUMMIES]
 DESIGN_COLUMNS = NUMERIC_FEATURES + DUMMY_COLUMNS
 
+# Fixed value of the reference: months of history that make an unresolved loan a
+# trustworthy negative example.
 MATURITY_MONTHS = 18
 
 

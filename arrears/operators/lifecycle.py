@@ -26,6 +26,14 @@ DEFAULT_THRESHOLD = 110
 # Fixed values of the reference: escalation ladder (balance threshold, action).
 ESCALATION = [(15, "reminder_email"), (30, "phone_call"), (60, "payment_plan"), (90, "legal_notice")]
 DAYS_PER_INSTALMENT = 30
+# Fixed values of the reference: deterministic part of the underwriting risk
+# score (R8) and of the risk-based price.
+SCORE_TOP, SCORE_SPAN = 850, 550
+RISK_SCORE_WEIGHT, RISK_UNEMPLOYED_WEIGHT, RISK_INCOME_WEIGHT = 0.5, 0.3, 0.2
+RISK_INCOME_REFERENCE = 75000.0
+RISK_FLOOR, RISK_CAP = 0.02, 0.95
+PRICE_BASE, PRICE_PREMIUM = 0.06, 0.12
+PRICE_FLOOR, PRICE_CAP = 0.045, 0.22
 
 
 # ------------------------------------------------------------------ R1-R3
@@ -206,16 +214,18 @@ def derived_status(loans: DataFrame, payments: DataFrame, actions: DataFrame, as
 
 def risk_score_expr(credit_score: Column, employment_status: Column, income: Column) -> Column:
     """Deterministic underwriting risk, clipped to [0.02, 0.95], 4 decimals."""
-    raw = ((F.lit(850) - credit_score).cast("double") / 550.0 * 0.5
-           + F.when(employment_status == "Unemployed", 1.0).otherwise(0.0) * 0.3
-           + F.greatest(F.lit(75000.0) - income.cast("double"), F.lit(0.0)) / 75000.0 * 0.2)
-    return F.round(F.least(F.greatest(raw, F.lit(0.02)), F.lit(0.95)), 4)
+    raw = ((F.lit(SCORE_TOP) - credit_score).cast("double") / float(SCORE_SPAN) * RISK_SCORE_WEIGHT
+           + F.when(employment_status == "Unemployed", 1.0).otherwise(0.0) * RISK_UNEMPLOYED_WEIGHT
+           + F.greatest(F.lit(RISK_INCOME_REFERENCE) - income.cast("double"), F.lit(0.0))
+           / RISK_INCOME_REFERENCE * RISK_INCOME_WEIGHT)
+    return F.round(F.least(F.greatest(raw, F.lit(RISK_FLOOR)), F.lit(RISK_CAP)), 4)
 
 
 def risk_price_expr(credit_score: Column) -> Column:
     """Risk-based interest rate, clipped to [0.045, 0.22], 4 decimals."""
-    raw = F.lit(0.06) + (F.lit(850) - credit_score).cast("double") / 550.0 * 0.12
-    return F.round(F.least(F.greatest(raw, F.lit(0.045)), F.lit(0.22)), 4)
+    raw = F.lit(PRICE_BASE) + (F.lit(SCORE_TOP) - credit_score).cast("double") / float(SCORE_SPAN) \
+        * PRICE_PREMIUM
+    return F.round(F.least(F.greatest(raw, F.lit(PRICE_FLOOR)), F.lit(PRICE_CAP)), 4)
 
 
 def risk_score(customers: DataFrame) -> DataFrame:
