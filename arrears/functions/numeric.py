@@ -44,8 +44,9 @@ def ratio(num: Column, den: Column, scale: int) -> Column:
 
 
 def cents(amount: Column) -> Column:
-    """Decimal money amount -> integer cents (exact for scale <= 2)."""
-    return (amount * 100).cast("bigint")
+    """Money amount -> integer cents (exact for decimals of scale <= 2; nearest
+    cent for doubles)."""
+    return F.round(amount * 100, 0).cast("bigint")
 
 
 def from_cents(c: Column, precision: int = 14) -> Column:

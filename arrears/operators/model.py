@@ -20,7 +20,6 @@ from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from . import evaluate as ev
 from .features import (DESIGN_COLUMNS, DUMMY_COLUMNS, EMPLOYMENT_DUMMIES, class_weights,
@@ -71,17 +70,10 @@ def forest_pipeline(params: ForestParams = ForestParams(), label: str = "is_defa
     return Pipeline(stages=[one_hot_stage(), assembler(), rf])
 
 
-def _cast_numeric(df: DataFrame) -> DataFrame:
-    """Decimal columns to double for the assembler (only the design inputs)."""
-    return df.select(*[F.col(c).cast("double").alias(c)
-                       if c in DESIGN_COLUMNS and isinstance(df.schema[c].dataType, T.DecimalType)
-                       else F.col(c) for c in df.columns])
-
-
 def fit(train: DataFrame, params: ForestParams = ForestParams(), label: str = "is_default",
         weight_col: str | None = "class_weight") -> PipelineModel:
     """M5: fit on the (weighted) training split."""
-    data = _cast_numeric(train).cache()
+    data = train.cache()
     try:
         return forest_pipeline(params, label, weight_col).fit(data)
     finally:
@@ -90,7 +82,7 @@ def fit(train: DataFrame, params: ForestParams = ForestParams(), label: str = "i
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     """M6: predicted class and P(default) per row."""
-    out = model.transform(_cast_numeric(df))
+    out = model.transform(df)  # the assembler reads decimal columns as they are
     return out.withColumn("probability_of_default",
                           vector_to_array(F.col("probability"))[1]) \
               .withColumn("prediction", F.col("prediction_d").cast("int"))

@@ -66,3 +66,14 @@ def test_run_metrics_rows(planted):
     kinds = {(r.kind, r.name) for r in rows}
     assert ("metric", "auc") in kinds and ("param", "n_estimators") in kinds
     assert len({r.run_id for r in rows}) == 1
+
+
+def test_model_scores_feed_recommendations(planted):
+    from arrears.operators import recommend as rc
+    from arrears.sources.schemas import ACTION_TYPES
+    run = ml.train_and_evaluate(planted, PARAMS)
+    assert run.scored_test.schema["principal"].dataType.simpleString() == "decimal(12,2)"
+    recs = rc.best_actions(run.scored_test).collect()
+    assert len(recs) == run.scored_test.count() > 0
+    assert {r.recommended_action for r in recs} <= set(ACTION_TYPES)
+    assert all(r.risk_tier in ("Low", "Medium", "High") for r in recs)
