@@ -3,6 +3,7 @@
 import pytest
 
 from __spark_entry__ import queries
+from arrears.plans.inspect import physical_plan, plan_summary
 from tests.conftest import SMALL
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
@@ -11,7 +12,7 @@ MODEL = {"rf_scores", "feature_importance", "run_metrics", "csv_round_trip", "fu
 
 
 def _plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    return physical_plan(df)
 
 
 @pytest.mark.parametrize("name", sorted(set(queries()) - MODEL))
@@ -48,3 +49,10 @@ def test_bucketed_delinquency_has_no_shuffle(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_delinquency_plan_summary(spark):
+    s = plan_summary(queries()["loan_delinquency"](spark, SMALL), executed=True)
+    assert s["python_udfs"] == 0 and s["nested_loop_joins"] == 0 and s["sort_aggregates"] == 0
+    assert s["windows"] == 0 and s["hash_aggregates"] >= 2      # partial + final
+    assert s["shuffles"] <= 2                                   # payments partial agg, loans side
