@@ -29,7 +29,9 @@ def physical_plan(df: DataFrame, executed: bool = False) -> str:
     """The physical plan text; with ``executed`` the query runs first so that
     the adaptive plan is final (shuffle reuse, runtime join choices)."""
     if executed:
-        df.write.format("noop").mode("overwrite").save()
+        # Run this DataFrame's own query execution (a write would plan a new
+        # one) without bringing rows to the driver.
+        df.foreachPartition(lambda rows: None)
     text = df._jdf.queryExecution().executedPlan().toString()
     return text.split("== Initial Plan ==")[0]
 
