@@ -280,10 +280,11 @@ def _sdiv(num: str, den: str) -> str:
 
 
 def _evald(spark, sf_dir):
-    f = _features(spark, sf_dir)
-    s = _split(spark, sf_dir, f).where(F.col("split") == "test").select("loan_id", "is_default")
-    r = _with_risk(f).select("loan_id", F.col("probability_of_default").alias("score"))
-    return s.join(r, "loan_id").withColumn("prediction", (F.col("score") >= 0.5).cast("int"))
+    """Held-out rows with the risk score carried through the split (no join back)."""
+    f = _with_risk(_features(spark, sf_dir))
+    return (_split(spark, sf_dir, f).where(F.col("split") == "test")
+            .select("loan_id", "is_default", F.col("probability_of_default").alias("score"))
+            .withColumn("prediction", (F.col("score") >= 0.5).cast("int")))
 
 
 @register("binary_metrics", _eval_sql(f"""
