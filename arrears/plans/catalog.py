@@ -605,9 +605,9 @@ def q_full_refresh(spark, sf_dir):
     """Staged, checked, idempotent reload -- run twice, count the result."""
     book = book_from_testdata(spark, sf_dir)
     target = scratch_path(spark, "book")
-    sio.full_refresh(spark, book, target, scratch_path(spark, "staging"))
-    published = sio.full_refresh(spark, book, target, scratch_path(spark, "staging"))
-    return sio.table_counts(published)
+    sio.full_refresh(spark, book, target)
+    sio.full_refresh(spark, book, target)
+    return sio.table_counts(sio.read_published(spark, target))
 
 
 # The delinquency view through the SQL API on named views.

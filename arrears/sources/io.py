@@ -8,6 +8,8 @@ parallel range queries; writes are batched.
 
 from __future__ import annotations
 
+import datetime as _dt
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -112,18 +114,23 @@ class RefreshError(RuntimeError):
     pass
 
 
-def full_refresh(spark: SparkSession, book: Book, target: str, staging: str) -> Book:
-    """Idempotent full reload of the four tables.
+def full_refresh(spark: SparkSession, book: Book, target: str) -> Book:
+    """Idempotent full reload of the four tables, published atomically.
 
-    Every table is first written to ``staging`` (parent first), the staged
-    copy is checked (NOT NULL, primary keys, foreign keys), and only then is
-    each table published over ``target``. A failed check leaves ``target``
-    untouched; running twice gives the same tables as running once.
+    Every table is written (parent first) to a new version folder under
+    ``target``; the written copy is checked (NOT NULL, primary keys, foreign
+    keys); only then is the version published by appending one row to
+    ``target/_published``. Readers (``read_published``) always see the latest
+    complete version: a failed check or a crash mid-write leaves the previous
+    version current, and nothing is copied a second time. Running twice
+    publishes two versions with the same content.
     """
     from ..operators import quality as q
 
-    write_book(book, staging)
-    staged = read_book(spark, staging)
+    version = f"{_dt.datetime.now(_dt.timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+    path = f"{target.rstrip('/')}/versions/{version}"
+    write_book(book, path)
+    staged = read_book(spark, path)
     tables = dict(staged.items())
     nulls = q.null_violations(tables).where("null_count > 0")
     pks = q.pk_violations(tables).where("n_duplicate_keys > 0")
@@ -134,6 +141,17 @@ def full_refresh(spark: SparkSession, book: Book, target: str, staging: str) ->
                                                     F.lit("fk")).alias("p"))))
     bad = [r["p"] for r in problems.limit(20).collect()]  # a short report, never the data
     if bad:
-        raise RefreshError(f"staged tables failed checks: {bad}")
-    write_book(staged, target)
-    return read_book(spark, target)
+        raise RefreshError(f"version {version} failed checks, not published: {bad}")
+    (spark.createDataFrame([(version, path)], "version string, path string")
+     .withColumn("published_at", F.current_timestamp())
+     .coalesce(1).write.mode("append").parquet(f"{target.rstrip('/')}/_published"))
+    return staged
+
+
+def read_published(spark: SparkSession, target: str) -> Book:
+    """The latest published version of the book at ``target``."""
+    latest = (spark.read.parquet(f"{target.rstrip('/')}/_published")
+              .orderBy(F.desc("published_at"), F.desc("version")).select("path").first())
+    if latest is None:
+        raise RefreshError(f"nothing published at {target}")
+    return read_book(spark, latest["path"])

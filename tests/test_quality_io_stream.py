@@ -1,9 +1,7 @@
-import os
-
 from pyspark.sql import functions as F
 
 from arrears.operators import quality as qa
-from arrears.session import local_path, scratch_path
+from arrears.session import scratch_path
 from arrears.sources import io as sio
 from arrears.sources.adapters import book_from_testdata
 from arrears.streaming import rates_refresh as rr
@@ -47,25 +45,31 @@ def test_dense_ids(spark):
 def test_full_refresh_idempotent(spark):
     book = book_from_testdata(spark, SMALL)
     target = scratch_path(spark, "t-book")
-    first = sio.full_refresh(spark, book, target, scratch_path(spark, "t-stage"))
+    sio.full_refresh(spark, book, target)
+    first = sio.read_published(spark, target)
     a = sorted(sio.table_counts(first).collect())
     rows_once = sorted(first.loans.collect())
-    second = sio.full_refresh(spark, book, target, scratch_path(spark, "t-stage"))
+    sio.full_refresh(spark, book, target)
+    second = sio.read_published(spark, target)
     assert sorted(sio.table_counts(second).collect()) == a == sorted(sio.table_counts(book).collect())
     assert sorted(second.loans.collect()) == rows_once
+    assert first.loans.exceptAll(second.loans).count() == 0  # the old version stays readable
 
 
 def test_refresh_rejects_orphans(spark):
     book = book_from_testdata(spark, SMALL)
+    target = scratch_path(spark, "t-bad")
+    sio.full_refresh(spark, book, target)
+    good = sorted(sio.table_counts(sio.read_published(spark, target)).collect())
     bad = book.payments.unionByName(fx.payments(spark, [(-1, -42, d("2024-01-01"), 1, 0)]))
     book.payments = bad
-    target = scratch_path(spark, "t-bad")
     try:
-        sio.full_refresh(spark, book, target, scratch_path(spark, "t-stage"))
+        sio.full_refresh(spark, book, target)
         raise AssertionError("expected a refresh error")
     except sio.RefreshError as e:
         assert "payment_history:loan_id:fk" in str(e)
-    assert not os.path.exists(local_path(target))
+    # the failed version is not published: readers still see the previous one
+    assert sorted(sio.table_counts(sio.read_published(spark, target)).collect()) == good
 
 
 def test_csv_round_trip(spark):
