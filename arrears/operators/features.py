@@ -147,6 +147,21 @@ def class_weights(split_df: DataFrame, label: str = "is_default") -> DataFrame:
                          .alias("class_weight"))
 
 
+def class_weights_for_split(population: DataFrame, label: str = "is_default",
+                            test_fraction: float = 0.2) -> DataFrame:
+    """M4 without materialising the split: the deterministic split keeps
+    n - ceil(test_fraction * n) rows of each class for training, so one count
+    per class gives the same weights as ``class_weights(stratified_split(...))``."""
+    frac = Decimal(str(test_fraction))
+    n = F.col("_n")
+    counts = (population.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+              .select(label, (n - F.ceil(n * F.lit(frac))).cast("bigint").alias("n_class")))
+    total = F.sum("n_class").over(Window.partitionBy(F.lit(0)))  # one row per class
+    return counts.where(F.col("n_class") > 0).select(
+        label, "n_class",
+        (total.cast("double") / (F.col("n_class") * 2).cast("double")).alias("class_weight"))
+
+
 def with_class_weight(split_df: DataFrame, weights: DataFrame, label: str = "is_default") -> DataFrame:
     """Attach ``class_weight`` (weights has at most two rows: broadcast)."""
     return split_df.join(F.broadcast(weights.select(label, "class_weight")), label, "left")

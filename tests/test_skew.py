@@ -95,3 +95,13 @@ def test_stratified_split_equals_global_ordering(spark):
         want = {r.loan_id: ("test" if r.rn <= -(-r.n // 5) else "train")  # ceil(n / 5)
                 for r in ref.collect()}
         assert got == want
+
+
+def test_class_weights_without_materialising_split(spark):
+    from arrears.operators import features as ft
+    rnd = random.Random(4)
+    df = spark.createDataFrame([(i, int(rnd.random() < 0.2)) for i in range(3001)],
+                               "loan_id long, is_default int")
+    a = sorted(ft.class_weights(ft.stratified_split(df)).collect())
+    b = sorted(ft.class_weights_for_split(df).collect())
+    assert a == b
