@@ -38,3 +38,11 @@ def test_zero_term_instalment_is_null(spark):
     lo = fx.loans(spark, [(1, 1, 1200, 0, d("2020-01-01"), "active")])
     assert lc.instalment_amount(lo).first().monthly_payment is None
     assert lc.payment_schedule(lo, fx.AS_OF).count() == 0
+
+
+def test_cluster_conf_sizes_partitions():
+    from arrears.session import cluster_conf
+    c = cluster_conf(100 * 2**40)  # 100 TiB of input
+    assert int(c["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 << 20)
+    assert c["spark.sql.adaptive.enabled"] == "true"
+    assert int(cluster_conf(1)["spark.sql.shuffle.partitions"]) == 200
