@@ -447,12 +447,6 @@ act_ev AS (
   FROM collection_actions)"""
 
 
-def _clamped_sql(src: str) -> str:
-    w = "PARTITION BY loan_id ORDER BY event_date, kind, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
-    return f"""(SELECT *, CAST(s - least(0, MIN(s) OVER ({w})) AS BIGINT) AS delinquency_balance
-  FROM (SELECT *, SUM(delta) OVER ({w}) AS s FROM {src}) t0)"""
-
-
 @register("instalment_amount", O.with_book(f"""
 SELECT loan_id, {_money(INSTALMENT_CENTS_SQL)} AS monthly_payment FROM loans""", "loans"))
 def q_instalment_amount(spark, sf_dir):
@@ -476,46 +470,48 @@ def q_payment_schedule(spark, sf_dir):
     return lc.payment_schedule(book_from_testdata(spark, sf_dir).loans, AS_OF)
 
 
-@register("running_delinquency", O.with_book(f"""
+PAY_WALK = PAY_EVENTS_SQL + ",\n" + O.walk_ctes("pay_ev", "p")
+ALL_WALK = (PAY_EVENTS_SQL + ",\nall_ev AS (SELECT * FROM pay_ev UNION ALL SELECT * FROM act_ev),\n"
+            + O.walk_ctes("all_ev", "a"))
+
+
+@register("running_delinquency", O.with_book("""
 SELECT event_id AS payment_id, loan_id, event_date AS due_date, delta, delinquency_balance
-FROM {_clamped_sql("pay_ev")} r""", "payment_history", "collection_actions", extra=PAY_EVENTS_SQL))
+FROM walked_p""", "payment_history", "collection_actions", extra=PAY_WALK, recursive=True))
 def q_running_delinquency(spark, sf_dir):
     return lc.running_delinquency(book_from_testdata(spark, sf_dir).payments)
 
 
-@register("delinquency_with_actions", O.with_book(f"""
-SELECT loan_id, event_date, kind, event_id, delta, delinquency_balance
-FROM {_clamped_sql("(SELECT * FROM pay_ev UNION ALL SELECT * FROM act_ev)")} r""",
+@register("delinquency_with_actions", O.with_book("""
+SELECT loan_id, event_date, kind, event_id, delta, delinquency_balance FROM walked_a""",
                                                   "payment_history", "collection_actions",
-                                                  extra=PAY_EVENTS_SQL))
+                                                  extra=ALL_WALK, recursive=True))
 def q_delinquency_with_actions(spark, sf_dir):
     b = book_from_testdata(spark, sf_dir)
     return lc.delinquency_with_actions(b.payments, b.actions)
 
 
-@register("escalation_points", O.with_book(f"""
-, b AS {_clamped_sql("pay_ev")}
+@register("escalation_points", O.with_book("""
 SELECT loan_id, 'reminder_email' AS action_type, 15 AS threshold, MIN(event_date) AS escalation_date
-  FROM b WHERE delinquency_balance >= 15 GROUP BY loan_id
-UNION ALL SELECT loan_id, 'phone_call', 30, MIN(event_date) FROM b WHERE delinquency_balance >= 30 GROUP BY loan_id
-UNION ALL SELECT loan_id, 'payment_plan', 60, MIN(event_date) FROM b WHERE delinquency_balance >= 60 GROUP BY loan_id
-UNION ALL SELECT loan_id, 'legal_notice', 90, MIN(event_date) FROM b WHERE delinquency_balance >= 90 GROUP BY loan_id""",
+  FROM walked_p WHERE delinquency_balance >= 15 GROUP BY loan_id
+UNION ALL SELECT loan_id, 'phone_call', 30, MIN(event_date) FROM walked_p WHERE delinquency_balance >= 30 GROUP BY loan_id
+UNION ALL SELECT loan_id, 'payment_plan', 60, MIN(event_date) FROM walked_p WHERE delinquency_balance >= 60 GROUP BY loan_id
+UNION ALL SELECT loan_id, 'legal_notice', 90, MIN(event_date) FROM walked_p WHERE delinquency_balance >= 90 GROUP BY loan_id""",
                                            "payment_history", "collection_actions",
-                                           extra=PAY_EVENTS_SQL))
+                                           extra=PAY_WALK, recursive=True))
 def q_escalation_points(spark, sf_dir):
     return lc.escalation_points(book_from_testdata(spark, sf_dir).payments)
 
 
 @register("derived_status", O.with_book(f"""
-, b AS {_clamped_sql("(SELECT * FROM pay_ev UNION ALL SELECT * FROM act_ev)")},
-eod AS (SELECT loan_id, delinquency_balance, row_number() OVER (PARTITION BY loan_id, event_date
-          ORDER BY kind DESC, event_id DESC) AS rn FROM b),
+, eod AS (SELECT loan_id, delinquency_balance, row_number() OVER (PARTITION BY loan_id, event_date
+          ORDER BY step DESC) AS rn FROM walked_a),
 peak AS (SELECT loan_id, MAX(delinquency_balance) AS pk FROM eod WHERE rn = 1 GROUP BY loan_id)
 SELECT l.loan_id, CASE WHEN COALESCE(pk, 0) >= 110 THEN 'defaulted'
   WHEN {ELAPSED_SQL} >= term_months THEN 'paid_off' ELSE 'active' END AS derived_status
 FROM loans l LEFT JOIN peak ON l.loan_id = peak.loan_id""",
                                         "loans", "payment_history", "collection_actions",
-                                        extra=PAY_EVENTS_SQL))
+                                        extra=ALL_WALK, recursive=True))
 def q_derived_status(spark, sf_dir):
     b = book_from_testdata(spark, sf_dir)
     return lc.derived_status(b.loans, b.payments, b.actions, AS_OF)

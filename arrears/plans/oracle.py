@@ -50,12 +50,29 @@ _CTES = {"customers": CTE_CUSTOMERS, "loans": CTE_LOANS,
          "payment_history": CTE_PAYMENTS, "collection_actions": CTE_ACTIONS}
 
 
-def with_book(body: str, *tables: str, extra: str = "") -> str:
+def with_book(body: str, *tables: str, extra: str = "", recursive: bool = False) -> str:
     """Prefix ``body`` with the domain-table CTEs it uses (plus extra CTEs)."""
     parts = [_CTES[t] for t in tables]
     if extra:
         parts.append(extra.strip().rstrip(","))
-    return "WITH " + ",\n".join(parts) + "\n" + body
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(parts) + "\n" + body
+
+
+def walk_ctes(src: str, tag: str) -> str:
+    """The clamped balance as the plain loop c <- max(0, c + delta), one
+    recursive step per event of a loan in (date, kind, id) order. Independent
+    of the prefix-sum identity the Spark code uses. Defines ``walked_{tag}``."""
+    return f"""walk_ev_{tag} AS (
+  SELECT *, row_number() OVER (PARTITION BY loan_id ORDER BY event_date, kind, event_id) AS step
+  FROM {src} WHERE loan_id IS NOT NULL AND event_date IS NOT NULL),
+walk_{tag}(loan_id, step, bal) AS (
+  SELECT loan_id, step, CAST(greatest(0, delta) AS BIGINT) FROM walk_ev_{tag} WHERE step = 1
+  UNION ALL
+  SELECT e.loan_id, e.step, CAST(greatest(0, w.bal + e.delta) AS BIGINT)
+  FROM walk_{tag} w JOIN walk_ev_{tag} e ON e.loan_id = w.loan_id AND e.step = w.step + 1),
+walked_{tag} AS (
+  SELECT e.*, w.bal AS delinquency_balance
+  FROM walk_ev_{tag} e JOIN walk_{tag} w ON e.loan_id = w.loan_id AND e.step = w.step)"""
 
 
 def half_up(num: str, den: str, scale: int) -> str:
