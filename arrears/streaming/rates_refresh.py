@@ -41,13 +41,17 @@ def _rate_table(counts: DataFrame) -> DataFrame:
 
 
 def start_refresh(spark: SparkSession, landing_dir: str, table_path: str, checkpoint: str,
-                  available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
-    """Start the refresh; with ``available_now`` it stops after the backlog."""
+                  available_now: bool = True, processing_time: str | None = None,
+                  max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Start the refresh; with ``available_now`` it stops after the backlog.
+
+    ``max_files_per_trigger`` bounds each micro-batch, so a large backlog is
+    worked off in several batches instead of one."""
 
     def publish(batch: DataFrame, epoch_id: int) -> None:
         _rate_table(batch).coalesce(1).write.mode("overwrite").parquet(table_path)
 
-    w = (rate_counts_stream(spark, landing_dir).writeStream.outputMode("complete")
+    w = (rate_counts_stream(spark, landing_dir, max_files_per_trigger).writeStream.outputMode("complete")
          .option("checkpointLocation", checkpoint).foreachBatch(publish))
     if available_now:
         w = w.trigger(availableNow=True)

@@ -97,3 +97,17 @@ def test_stream_refresh_is_incremental(spark):
     rr.start_refresh(spark, landing, table, ckpt).awaitTermination()
     r2 = {r.action_type: (r.total_actions, r.success_rate) for r in rr.read_rates(spark, table).collect()}
     assert r2 == {"phone_call": (3, 0.667), "legal_notice": (1, 0.0)}
+
+
+def test_stream_refresh_in_bounded_batches(spark):
+    landing = scratch_path(spark, "t-land2")
+    for k in range(3):  # three files land
+        fx.actions(spark, [(10 * k + 1, 1, d("2024-01-01"), "payment_plan", "paid_in_full"),
+                           (10 * k + 2, 1, d("2024-01-02"), "payment_plan", "no_response")]
+                   ).coalesce(1).write.mode("append").parquet(landing)
+    table = scratch_path(spark, "t-rates2")
+    q = rr.start_refresh(spark, landing, table, scratch_path(spark, "t-ckpt2"), max_files_per_trigger=1)
+    q.awaitTermination()
+    got = {r.action_type: (r.total_actions, r.success_rate) for r in rr.read_rates(spark, table).collect()}
+    assert got == {"payment_plan": (6, 0.5)}
+    assert len(q.recentProgress) >= 3  # one batch per file
