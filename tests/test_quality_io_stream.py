@@ -111,3 +111,13 @@ def test_stream_refresh_in_bounded_batches(spark):
     got = {r.action_type: (r.total_actions, r.success_rate) for r in rr.read_rates(spark, table).collect()}
     assert got == {"payment_plan": (6, 0.5)}
     assert len(q.recentProgress) >= 3  # one batch per file
+
+
+def test_csv_read_fails_fast_on_bad_rows(spark):
+    import pytest
+    path = scratch_path(spark, "t-badcsv")
+    spark.createDataFrame([("loan_id,customer_id,principal,interest_rate,term_months,origination_date,status",),
+                           ("1,1,not-a-number,0.1,12,2024-01-01,active",)], "value string") \
+        .coalesce(1).write.text(path)
+    with pytest.raises(Exception):
+        sio.read_table(spark, path, "loans", fmt="csv").collect()
