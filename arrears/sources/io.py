@@ -67,7 +67,9 @@ def write_bucketed_book(spark: SparkSession, book: Book, base: str, num_buckets:
     b = base.rstrip("/")
     for name, df in book.items():
         key = BUCKET_KEYS[name]
-        (df.select(*TABLES[name].columns).write.mode("overwrite")
+        # Shuffle once into the bucket layout so each task writes one bucket
+        # file; without it every task writes a file per bucket (tasks x buckets).
+        (df.select(*TABLES[name].columns).repartition(num_buckets, key).write.mode("overwrite")
          .bucketBy(num_buckets, key).sortBy(key)
          .option("path", f"{b}/{name}")
          .saveAsTable(f"{prefix}{name}"))
