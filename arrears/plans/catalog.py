@@ -32,6 +32,18 @@ from . import oracle as O
 AS_OF = _dt.date(2001, 12, 31)
 AS_OF_SQL = "DATE '2001-12-31'"
 
+_BOOKS: dict = {}
+
+
+def _book(spark: SparkSession, sf_dir: str):
+    """The mapped test tables, planned once per application and shared by every
+    registered query (DataFrames are immutable; the test data is read-only)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _BOOKS:
+        _BOOKS[key] = book_from_testdata(spark, sf_dir)
+    return _BOOKS[key]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -53,7 +65,7 @@ SELECT action_type, CAST(COUNT(*) AS BIGINT) AS total_actions,
 FROM collection_actions GROUP BY action_type ORDER BY success_rate DESC, action_type
 """, "collection_actions"))
 def q_action_success_rates(spark, sf_dir):
-    return pf.action_success_rates(book_from_testdata(spark, sf_dir).actions)
+    return pf.action_success_rates(_book(spark, sf_dir).actions)
 
 
 @register("default_rate_by_credit_band", O.with_book(f"""
@@ -68,7 +80,7 @@ FROM loans l JOIN customers c ON l.customer_id = c.customer_id
 GROUP BY credit_score_band ORDER BY MIN(c.credit_score)
 """, "customers", "loans"))
 def q_default_rate_by_credit_band(spark, sf_dir):
-    b = book_from_testdata(spark, sf_dir)
+    b = _book(spark, sf_dir)
     return pf.default_rate_by_credit_band(b.loans, b.customers)
 
 
@@ -77,7 +89,7 @@ SELECT status, CAST(COUNT(*) AS BIGINT) AS loan_count FROM loans
 GROUP BY status ORDER BY loan_count DESC, status
 """, "loans"))
 def q_status_mix(spark, sf_dir):
-    return pf.status_mix(book_from_testdata(spark, sf_dir).loans)
+    return pf.status_mix(_book(spark, sf_dir).loans)
 
 
 @register("success_flag_mean", O.with_book(f"""
@@ -86,7 +98,7 @@ SELECT action_type,
 FROM collection_actions GROUP BY action_type
 """, "collection_actions"))
 def q_success_flag_mean(spark, sf_dir):
-    return pf.success_flag_mean(book_from_testdata(spark, sf_dir).actions)
+    return pf.success_flag_mean(_book(spark, sf_dir).actions)
 
 
 @register("portfolio_summary", O.with_book(f"""
@@ -98,7 +110,7 @@ SELECT CAST((SELECT COUNT(*) FROM customers) AS BIGINT) AS n_customers,
   {O.half_up("(SELECT COUNT(*) FROM loans WHERE status = 'defaulted')", "(SELECT COUNT(*) FROM loans)", 3)} AS default_rate
 """, "customers", "loans", "payment_history", "collection_actions"))
 def q_portfolio_summary(spark, sf_dir):
-    b = book_from_testdata(spark, sf_dir)
+    b = _book(spark, sf_dir)
     return pf.portfolio_summary(b.customers, b.loans, b.payments, b.actions)
 
 
@@ -120,7 +132,7 @@ GROUP BY l.loan_id, l.customer_id, l.status, l.principal, l.interest_rate, l.ter
 
 @register("loan_delinquency", O.with_book(DELINQUENCY_SQL_BODY, "loans", "payment_history"))
 def q_loan_delinquency(spark, sf_dir):
-    b = book_from_testdata(spark, sf_dir)
+    b = _book(spark, sf_dir)
     return dq.loan_delinquency(b.loans, b.payments)
 
 
@@ -132,7 +144,7 @@ SELECT loan_id, due_date AS latest_due_date, days_late AS most_recent_days_late
 WHERE rn = 1
 """, "payment_history"))
 def q_latest_payment(spark, sf_dir):
-    return dq.latest_payment(book_from_testdata(spark, sf_dir).payments)
+    return dq.latest_payment(_book(spark, sf_dir).payments)
 
 
 # ---------------------------------------------------------------- features
@@ -167,7 +179,7 @@ scored AS (
   FROM features)"""
 
 def _features(spark, sf_dir):
-    b = book_from_testdata(spark, sf_dir)
+    b = _book(spark, sf_dir)
     return ft.loan_features(dq.loan_delinquency(b.loans, b.payments), b.customers, AS_OF)
 
 
@@ -195,7 +207,7 @@ def _scored(spark, sf_dir):
     The recommendation needs principal, term, age and p only, so it starts
     from loans and borrowers; payment statistics are never planned.
     """
-    b = book_from_testdata(spark, sf_dir)
+    b = _book(spark, sf_dir)
     return _with_risk(ft.scoring_base(b.loans, b.customers, AS_OF))
 
 
@@ -400,7 +412,7 @@ def q_risk_tiers(spark, sf_dir):
 @register("outstanding_balance", _reco_sql(f"""
 SELECT loan_id, loan_age_months, {_money("bal_c")} AS estimated_outstanding_balance FROM money"""))
 def q_outstanding_balance(spark, sf_dir):
-    b = book_from_testdata(spark, sf_dir)
+    b = _book(spark, sf_dir)
     return rc.outstanding_balance(ft.scoring_base(b.loans, b.customers, AS_OF))
 
 
@@ -425,7 +437,7 @@ def q_best_action(spark, sf_dir):
 
 @register("best_action_refreshed", _reco_sql(BEST_BODY, ACTS_REFRESHED))
 def q_best_action_refreshed(spark, sf_dir):
-    b = book_from_testdata(spark, sf_dir)
+    b = _book(spark, sf_dir)
     actions = rc.refreshed_actions(pf.success_rate_permille(b.actions))
     return rc.best_actions(_scored(spark, sf_dir), actions=actions)
 
@@ -450,13 +462,13 @@ act_ev AS (
 @register("instalment_amount", O.with_book(f"""
 SELECT loan_id, {_money(INSTALMENT_CENTS_SQL)} AS monthly_payment FROM loans""", "loans"))
 def q_instalment_amount(spark, sf_dir):
-    return lc.instalment_amount(book_from_testdata(spark, sf_dir).loans)
+    return lc.instalment_amount(_book(spark, sf_dir).loans)
 
 
 @register("instalments_elapsed", O.with_book(f"""
 SELECT loan_id, {ELAPSED_SQL} AS instalments_elapsed FROM loans""", "loans"))
 def q_instalments_elapsed(spark, sf_dir):
-    return lc.instalments_elapsed(book_from_testdata(spark, sf_dir).loans, AS_OF)
+    return lc.instalments_elapsed(_book(spark, sf_dir).loans, AS_OF)
 
 
 @register("payment_schedule", O.with_book(f"""
@@ -467,7 +479,7 @@ FROM (SELECT loan_id, origination_date, {INSTALMENT_CENTS_SQL} AS due_c,
         unnest(generate_series(1, {ELAPSED_SQL})) AS g
       FROM loans WHERE {ELAPSED_SQL} >= 1) t""", "loans"))
 def q_payment_schedule(spark, sf_dir):
-    return lc.payment_schedule(book_from_testdata(spark, sf_dir).loans, AS_OF)
+    return lc.payment_schedule(_book(spark, sf_dir).loans, AS_OF)
 
 
 PAY_WALK = PAY_EVENTS_SQL + ",\n" + O.walk_ctes("pay_ev", "p")
@@ -479,7 +491,7 @@ ALL_WALK = (PAY_EVENTS_SQL + ",\nall_ev AS (SELECT * FROM pay_ev UNION ALL SELEC
 SELECT event_id AS payment_id, loan_id, event_date AS due_date, delta, delinquency_balance
 FROM walked_p""", "payment_history", "collection_actions", extra=PAY_WALK, recursive=True))
 def q_running_delinquency(spark, sf_dir):
-    return lc.running_delinquency(book_from_testdata(spark, sf_dir).payments)
+    return lc.running_delinquency(_book(spark, sf_dir).payments)
 
 
 @register("delinquency_with_actions", O.with_book("""
@@ -487,7 +499,7 @@ SELECT loan_id, event_date, kind, event_id, delta, delinquency_balance FROM walk
                                                   "payment_history", "collection_actions",
                                                   extra=ALL_WALK, recursive=True))
 def q_delinquency_with_actions(spark, sf_dir):
-    b = book_from_testdata(spark, sf_dir)
+    b = _book(spark, sf_dir)
     return lc.delinquency_with_actions(b.payments, b.actions)
 
 
@@ -500,7 +512,7 @@ UNION ALL SELECT loan_id, 'legal_notice', 90, MIN(event_date) FROM walked_p WHER
                                            "payment_history", "collection_actions",
                                            extra=PAY_WALK, recursive=True))
 def q_escalation_points(spark, sf_dir):
-    return lc.escalation_points(book_from_testdata(spark, sf_dir).payments)
+    return lc.escalation_points(_book(spark, sf_dir).payments)
 
 
 @register("derived_status", O.with_book(f"""
@@ -513,7 +525,7 @@ FROM loans l LEFT JOIN peak ON l.loan_id = peak.loan_id""",
                                         "loans", "payment_history", "collection_actions",
                                         extra=ALL_WALK, recursive=True))
 def q_derived_status(spark, sf_dir):
-    b = book_from_testdata(spark, sf_dir)
+    b = _book(spark, sf_dir)
     return lc.derived_status(b.loans, b.payments, b.actions, AS_OF)
 
 
@@ -524,14 +536,14 @@ SELECT customer_id, round(least(greatest(
     + greatest(75000.0 - CAST(income AS DOUBLE), 0.0) / 75000.0 * 0.2, 0.02), 0.95), 4) AS risk_score
 FROM customers""", "customers"))
 def q_risk_score(spark, sf_dir):
-    return lc.risk_score(book_from_testdata(spark, sf_dir).customers)
+    return lc.risk_score(_book(spark, sf_dir).customers)
 
 
 @register("risk_price", O.with_book("""
 SELECT customer_id, round(least(greatest(0.06 + CAST(850 - credit_score AS DOUBLE) / 550.0 * 0.12, 0.045), 0.22), 4)
   AS risk_price FROM customers""", "customers"))
 def q_risk_price(spark, sf_dir):
-    return lc.risk_price(book_from_testdata(spark, sf_dir).customers)
+    return lc.risk_price(_book(spark, sf_dir).customers)
 
 
 # ---------------------------------------------------------------- quality and load
@@ -541,7 +553,7 @@ _ALL = ("customers", "loans", "payment_history", "collection_actions")
 
 
 def _tables(spark, sf_dir):
-    return dict(book_from_testdata(spark, sf_dir).items())
+    return dict(_book(spark, sf_dir).items())
 
 
 @register("null_violations", O.with_book("\nUNION ALL\n".join(
@@ -586,21 +598,21 @@ TABLE_COUNTS_SQL = O.with_book("\nUNION ALL\n".join(
 
 @register("table_counts", TABLE_COUNTS_SQL)
 def q_table_counts(spark, sf_dir):
-    return sio.table_counts(book_from_testdata(spark, sf_dir))
+    return sio.table_counts(_book(spark, sf_dir))
 
 
 @register("csv_round_trip", O.with_book("SELECT * FROM loans", "loans"))
 def q_csv_round_trip(spark, sf_dir):
     """Write the loans as CSV with a header, read back with the schema."""
     path = scratch_path(spark, "csv-loans")
-    sio.write_table(book_from_testdata(spark, sf_dir).loans, path, "loans", fmt="csv")
+    sio.write_table(_book(spark, sf_dir).loans, path, "loans", fmt="csv")
     return sio.read_table(spark, path, "loans", fmt="csv")
 
 
 @register("full_refresh", TABLE_COUNTS_SQL)
 def q_full_refresh(spark, sf_dir):
     """Staged, checked, idempotent reload -- run twice, count the result."""
-    book = book_from_testdata(spark, sf_dir)
+    book = _book(spark, sf_dir)
     target = scratch_path(spark, "book")
     sio.full_refresh(spark, book, target)
     sio.full_refresh(spark, book, target)
@@ -630,14 +642,14 @@ FROM {p}loans l LEFT JOIN pay p ON p.loan_id = l.loan_id
 def q_loan_delinquency_sql(spark, sf_dir):
     import uuid
     prefix = f"arrears_{uuid.uuid4().hex[:8]}_"
-    sio.register_views(spark, book_from_testdata(spark, sf_dir), prefix)
+    sio.register_views(spark, _book(spark, sf_dir), prefix)
     return spark.sql(DELINQUENCY_SPARK_SQL.format(p=prefix))
 
 
 @register("surrogate_keys")
 def q_surrogate_keys(spark, sf_dir):
     """S12 (rows only): dense ids for the collection actions, no global sort."""
-    acts = book_from_testdata(spark, sf_dir).actions
+    acts = _book(spark, sf_dir).actions
     return qa.dense_ids(acts.select("action_id", "loan_id"), "surrogate_id")
 
 
@@ -695,7 +707,7 @@ def q_streamed_success_rates(spark, sf_dir):
     """R10 as a stream: actions land as files, the refresh job publishes the rates."""
     landing = scratch_path(spark, "landing")
     table = scratch_path(spark, "rates")
-    book_from_testdata(spark, sf_dir).actions.write.parquet(landing)
+    _book(spark, sf_dir).actions.write.parquet(landing)
     q = rr.start_refresh(spark, landing, table, scratch_path(spark, "rates-ckpt"))
     q.awaitTermination()
     return (rr.read_rates(spark, table).select("action_type", "total_actions", "success_rate")
@@ -720,6 +732,6 @@ def q_bucketed_delinquency(spark, sf_dir):
     """A13 on a bucketed layout: aggregation and join read co-partitioned tables."""
     import uuid
     prefix = f"arrears_b{uuid.uuid4().hex[:8]}_"
-    book = sio.write_bucketed_book(spark, book_from_testdata(spark, sf_dir),
+    book = sio.write_bucketed_book(spark, _book(spark, sf_dir),
                                    scratch_path(spark, "bucketed"), num_buckets=8, prefix=prefix)
     return dq.loan_delinquency(book.loans, book.payments)
