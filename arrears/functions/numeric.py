@@ -27,7 +27,15 @@ def round_half_up_div(num: Column, den: Column | int) -> Column:
 
     Both operands must be integral; ``den`` may be negative.
     """
-    den_c = den if isinstance(den, Column) else F.lit(den)
+    if not isinstance(den, Column):
+        # Constant divisor (the common case): (2n + sign(n)*d) div 2d, with div
+        # truncating toward zero -- one division, small generated code.
+        if den == 0:
+            return F.lit(None).cast("bigint")
+        d = abs(den)
+        q = idiv(num * 2 + F.when(num >= 0, F.lit(d)).otherwise(F.lit(-d)), 2 * d)
+        return (q if den > 0 else -q).cast("bigint")
+    den_c = den
     q = idiv(F.abs(num) * 2 + F.abs(den_c), F.abs(den_c) * 2)
     negative = (num < 0) != (den_c < 0)
     return F.when(den_c != 0, F.when(negative, -q).otherwise(q).cast("bigint"))

@@ -46,3 +46,13 @@ def test_cluster_conf_sizes_partitions():
     assert int(c["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 << 20)
     assert c["spark.sql.adaptive.enabled"] == "true"
     assert int(cluster_conf(1)["spark.sql.shuffle.partitions"]) == 200
+
+
+def test_constant_divisor_path_matches_column_path(spark):
+    vals = [(x,) for x in range(-2600, 2601, 7)] + [(-1500,), (1500,), (-500,), (500,), (0,)]
+    df = spark.createDataFrame(vals, "n long")
+    for d in (1000, 3, -1000, 7):
+        got = df.select(round_half_up_div(F.col("n"), d).alias("a"),
+                        round_half_up_div(F.col("n"), F.lit(d).cast("bigint")).alias("b")).collect()
+        assert all(r.a == r.b for r in got), d
+    assert df.select(round_half_up_div(F.col("n"), 0)).distinct().collect()[0][0] is None
