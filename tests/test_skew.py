@@ -105,3 +105,20 @@ def test_class_weights_without_materialising_split(spark):
     a = sorted(ft.class_weights(ft.stratified_split(df)).collect())
     b = sorted(ft.class_weights_for_split(df).collect())
     assert a == b
+
+
+def test_bounded_broadcast_respects_its_bound(spark):
+    from arrears.sources.adapters import bounded_broadcast
+    small = spark.range(10)
+    big = spark.range(1000)
+    fact = spark.range(100000).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        p_small = fact.join(bounded_broadcast(small, max_rows=100), fact.k == small.id)
+        p_big = fact.join(bounded_broadcast(big, max_rows=100), fact.k == big.id)
+        assert "BroadcastHashJoin" in p_small._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in p_big._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
