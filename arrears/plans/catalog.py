@@ -611,7 +611,7 @@ def q_csv_round_trip(spark, sf_dir):
 
 @register("full_refresh", TABLE_COUNTS_SQL)
 def q_full_refresh(spark, sf_dir):
-    """Staged, checked, idempotent reload -- run twice, count the result."""
+    """Versioned, checked, idempotent reload -- run twice, count the published book."""
     book = _book(spark, sf_dir)
     target = scratch_path(spark, "book")
     sio.full_refresh(spark, book, target)
