@@ -157,3 +157,9 @@ def read_published(spark: SparkSession, target: str) -> Book:
     if latest is None:
         raise RefreshError(f"nothing published at {target}")
     return read_book(spark, latest["path"])
+
+
+def published_versions(spark: SparkSession, target: str) -> DataFrame:
+    """All published versions at ``target``, newest first (version, path, published_at)."""
+    return (spark.read.parquet(f"{target.rstrip('/')}/_published")
+            .orderBy(F.desc("published_at"), F.desc("version")))

@@ -54,6 +54,7 @@ def test_full_refresh_idempotent(spark):
     assert sorted(sio.table_counts(second).collect()) == a == sorted(sio.table_counts(book).collect())
     assert sorted(second.loans.collect()) == rows_once
     assert first.loans.exceptAll(second.loans).count() == 0  # the old version stays readable
+    assert sio.published_versions(spark, target).count() == 2
 
 
 def test_refresh_rejects_orphans(spark):
