@@ -5,7 +5,15 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from arrears.llm import decontaminate, host_rules, mixing, quality_lm, simhash_vpt
+from arrears.llm import (
+    decontaminate,
+    host_rules,
+    html_extract,
+    mixing,
+    quality_lm,
+    simhash_vpt,
+    toxicity,
+)
 from arrears.llm.common import table
 
 
@@ -17,6 +25,10 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_lm.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -25,12 +37,17 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_vpt.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.page_texts(table(spark, sf_dir, "pages"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_mix_sources, op2_quality_classifier, op5_host_rules, op7_simhash, op10_decontaminate)}
+    op1_mix_sources, op2_quality_classifier, op4_toxicity, op5_host_rules, op7_simhash, op9_html_text,
+    op10_decontaminate)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLE: dict[str, str] = {}
