@@ -1,0 +1,74 @@
+"""Operator 1: targets, exact cuts, edge cases."""
+
+import collections
+import re
+
+import pytest
+
+from arrears.llm import mixing
+from tests.llm.rows import CLASHES, no_documents, odd_documents
+
+
+def filled(sizes: dict, weights=(5, 2, 1), stop=3) -> dict:
+    """Targets by repeated resharing of the excess."""
+    order = sorted(sizes, key=lambda s: (s is None, s))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    total, target, open_ = sum(sizes.values()), {}, set(order)
+    while open_:
+        left = total - sum(target.values())
+        share = {s: left * weight[s] / sum(weight[t] for t in open_) for s in open_}
+        above = {s for s in open_ if share[s] > stop * sizes[s]}
+        if not above:
+            return target | share
+        target |= {s: stop * sizes[s] for s in above}
+        open_ -= above
+    return target
+
+
+def test_mixture_of_odd_rows(spark):
+    docs = odd_documents(spark)
+    rows = docs.collect()
+    got = mixing.mixture(docs).collect()
+    assert len(got) == len(rows)
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    sizes = collections.Counter()
+    for r in rows:
+        sizes[r.source] += size(r.text)
+    want = filled(dict(sizes))
+    assert collections.Counter((r.doc_id, r["size"]) for r in got) == collections.Counter((r.doc_id, size(r.text)) for r in rows)
+    taken, copies = collections.Counter(), collections.Counter((r.source, r.doc_id, r["size"]) for r in got)
+    for r in got:
+        assert r.source_size == sizes[r.source]
+        assert r.target == pytest.approx(want[r.source])
+        assert 0 <= r.taken <= 3 * r["size"]
+        taken[r.source] += r.taken
+    for s, t in want.items():
+        assert int(t) - max(copies.values()) < taken[s] <= int(t)
+    again = {(r.doc_id, r["size"], r.source): r.taken for r in mixing.mixture(docs.repartition(7)).collect()}
+    assert again == {(r.doc_id, r["size"], r.source): r.taken for r in got}
+
+
+def test_small_sources_stop_at_three_epochs(spark):
+    rows = [(i, "w " * 10, "a") for i in range(2)] + [(10 + i, "w " * 10, "b") for i in range(100)]
+    got = mixing.mixture(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    a = [r for r in got if r.source == "a"]
+    assert {r.taken for r in a} == {30} and a[0].target == 60.0
+    assert sum(r.taken for r in got) == 1020
+
+
+def test_documents_keep_their_columns(spark):
+    docs = odd_documents(spark)
+    mixed = mixing.mix_documents(docs)
+    assert mixed.columns[:len(docs.columns)] == docs.columns
+    assert mixed.columns[len(docs.columns):] == ["_size", "source_size", "_target", "_taken"]
+    assert all(r._taken > 0 for r in mixed.collect())
+    plain = {(r.doc_id, r["size"], r.source): r.taken for r in mixing.mixture(docs).collect() if r.taken}
+    assert {(r.doc_id, r._size, r.source): r._taken for r in mixed.collect()} == plain
+    assert mixed.filter(f"{CLASHES[0]} <> 'x0'").count() == 0
+
+
+def test_empty(spark):
+    assert mixing.mixture(no_documents(spark)).count() == 0
+    assert mixing.mix_documents(no_documents(spark)).count() == 0
+    blank = spark.createDataFrame([(1, None, "a"), (2, " ", None)], "doc_id long, text string, source string")
+    assert {(r.taken, r.target) for r in mixing.mixture(blank).collect()} == {(0, 0.0)}

@@ -1,0 +1,122 @@
+"""Operator 2: the model against a plain modified Kneser-Ney, and its verdicts."""
+
+import collections
+import math
+
+import pytest
+
+from arrears.llm import quality_lm
+from tests.conftest import MEDIUM
+from tests.llm.rows import no_documents, odd_documents
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def symbols(text):
+    return [int(quality_lm.ALPHABET[ord(c)]) if ord(c) < 128 else 58 + ord(c) % 6 for c in text]
+
+
+def plain_model(texts):
+    """p(c | a, b) of the interpolated modified Kneser-Ney model, one context at a time."""
+    three = collections.Counter()
+    for t in texts:
+        s = symbols("\n\n" + t)
+        three.update(zip(s, s[1:], s[2:]))
+    two = collections.Counter((b, c) for _, b, c in three)
+    one = collections.Counter(c for _, c in two)
+
+    def discounts(counts):
+        n = [0] + [sum(v == k for v in counts.values()) for k in (1, 2, 3, 4)]
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] else 0.5
+        d = [1 - 2 * y * n[2] / n[1] if n[1] else 0.5, 2 - 3 * y * n[3] / n[2] if n[2] else 1.0,
+             3 - 4 * y * n[4] / n[3] if n[3] else 1.5]
+        return [min(max(x, 0.1), k - 0.05) for x, k in zip(d, (1, 2, 3))]
+
+    d1, d2, d3 = discounts(one), discounts(two), discounts(three)
+    pick = lambda d, n: d[min(n, 3) - 1]
+
+    def level(counts, d, context, c, below):
+        seen = {g[-1]: n for g, n in counts.items() if g[:-1] == context}
+        total = sum(seen.values())
+        if not total:
+            return below
+        own = max(0, seen.get(c, 0) - pick(d, seen[c])) if c in seen else 0
+        return own / total + sum(pick(d, n) for n in seen.values()) / total * below
+
+    ones = {(c,): n for c, n in one.items()}
+
+    def p(a, b, c):
+        return level(three, d3, (a, b), c, level(two, d2, (b,), c, level(ones, d1, (), c, 1 / 64)))
+    return p
+
+
+def test_probabilities_and_perplexity(spark):
+    texts = ["the cat sat on the mat.", "The other cat, of course!", "Ünder 12 trees\nand more", "aaa bbb aaa", ""]
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "text string").repartition(3)
+    model = quality_lm.train(df)
+    p = plain_model(texts)
+    got = {r.gram: r.p for r in model.collect()}
+    assert len(got) == 64 ** 3
+    for gram in list(range(0, 64 ** 3, 4001)) + [a * 4096 + b * 64 + c for a, b, c in [(19, 7, 4), (53, 53, 19), (0, 0, 0)]]:
+        assert got[gram] == pytest.approx(p(gram // 4096, gram // 64 % 64, gram % 64), rel=1e-9), gram
+    for context in (0, 19 * 64 + 7, 4095):
+        assert sum(got[context * 64 + c] for c in range(64)) == pytest.approx(1)
+    fn = quality_lm.scorer(model)
+    scored = df.select("text", fn("text").alias("s")).collect()
+    for r in scored:
+        if not r.text:
+            assert r.s is None
+            continue
+        s = symbols("\n\n" + r.text)
+        assert r.s == pytest.approx(-sum(math.log(p(*g)) for g in zip(s, s[1:], s[2:])) / len(r.text), rel=1e-5)
+
+
+def test_text_spans_chunks(monkeypatch):
+    texts = ["ab", "", "cde", "f" * 50, ""]
+    whole = quality_lm.trigrams(texts)
+    assert list(quality_lm._inside(*whole)).count(True) == sum(map(len, texts))
+    assert [len(c) for c in quality_lm.chunks(texts, 4)] == [3, 1, 1]
+
+
+def test_clean_documents_stay_and_junk_goes(spark):
+    docs, labels = spark.read.parquet(f"{MEDIUM}/documents.parquet"), spark.read.parquet(f"{MEDIUM}/labels.parquet")
+    got = {r.doc_id: r.kept for r in quality_lm.classify(docs, labels).collect()}
+    assert len(got) == docs.count()
+    good = [r.doc_id for r in labels.filter("quality = 1").collect()]
+    junk = [r.doc_id for r in labels.filter("quality = 0").collect()]
+    assert sum(got[i] for i in good) >= 0.99 * len(good)
+    assert sum(not got[i] for i in junk) >= 0.75 * len(junk)
+    kept = quality_lm.keep_good(docs, labels)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} == {i for i, k in got.items() if k}
+
+
+def test_held_out_documents_stay(spark):
+    """Documents the model never saw are not taken for worse than those it saw."""
+    docs, labels = spark.read.parquet(f"{MEDIUM}/documents.parquet"), spark.read.parquet(f"{MEDIUM}/labels.parquet")
+    half = labels.filter("doc_id % 2 = 0")
+    got = {r.doc_id: r.kept for r in quality_lm.classify(docs, half).collect()}
+    unseen = [r.doc_id for r in labels.filter("quality = 1 and doc_id % 2 = 1").collect()]
+    assert sum(got[i] for i in unseen) >= 0.98 * len(unseen)
+
+
+def test_odd_rows(spark):
+    docs = odd_documents(spark)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(40)] + [(0, 1, 0), (None, 1, 0), (1, None, 0), (999, 1, 1), (200, 1, 0)], LABELS)
+    got = quality_lm.classify(docs, labels).collect()
+    assert len(got) == docs.count()
+    by = {r.doc_id: r for r in got if r.doc_id is not None}
+    assert by[200].perplexity is None and by[200].kept and by[201].kept
+    assert not by[212].kept
+    assert all(by[i].kept for i in range(40))
+    kept = quality_lm.keep_good(docs, labels)
+    assert kept.columns == docs.columns and kept.count() == sum(r.kept for r in got)
+
+
+def test_no_trusted_text_and_empty(spark):
+    none = spark.createDataFrame([], LABELS)
+    docs = odd_documents(spark, n=5, long_words=100)
+    got = quality_lm.classify(docs, none).collect()
+    assert all(r.kept for r in got) and {round(r.perplexity) for r in got if r.perplexity} == {64}
+    assert quality_lm.classify(no_documents(spark), none).count() == 0
+    assert quality_lm.keep_good(no_documents(spark), none).count() == 0
