@@ -76,8 +76,13 @@ def fingerprint_udf(shingle: int = SHINGLE):
     return fp
 
 
+def unsigned(fps) -> np.ndarray:
+    """Fingerprints as uint64: numpy counts the bits of a signed number's absolute value."""
+    return np.asarray(fps, dtype="int64").view(np.uint64)
+
+
 def _distance(points: np.ndarray, v) -> np.ndarray:
-    return np.bitwise_count(points ^ v)
+    return np.bitwise_count(points ^ np.uint64(v))
 
 
 def _split(points: np.ndarray, r: int, rng) -> tuple | None:
@@ -125,7 +130,7 @@ def route(nodes: list, points: np.ndarray, r: int = MAX_BITS) -> tuple[np.ndarra
             found.append((np.full(len(here), -at - 1, np.int64), here))
             continue
         v, m, inside, outside = nodes[at]
-        d = _distance(here, np.int64(v))
+        d = _distance(here, v)
         todo += [(inside, here[d <= m + r]), (outside, here[d > m])]
     if not found:
         return np.zeros(0, np.int64), points
@@ -162,13 +167,13 @@ def _leaf_links(points: np.ndarray, r: int) -> tuple[np.ndarray, np.ndarray]:
             a.append(i[i < j])
             b.append(j[i < j])
     else:
-        one = np.int64(1) << np.arange(64, dtype=np.int64)
-        flips, reach = {0}, np.zeros(1, np.int64)
+        one = np.uint64(1) << np.arange(64, dtype=np.uint64)
+        flips, reach = {0}, np.zeros(1, np.uint64)
         for _ in range(r):
             reach = np.unique(reach[:, None] ^ one[None, :])
             flips.update(reach.tolist())
         for flip in flips - {0}:
-            near = points ^ np.int64(flip)
+            near = points ^ np.uint64(flip)
             at = np.minimum(np.searchsorted(points, near), n - 1)
             i = np.nonzero((points[at] == near) & (at > np.arange(n)))[0]
             a.append(i)
@@ -204,17 +209,18 @@ def links(points: DataFrame, r: int = MAX_BITS) -> DataFrame:
     n = points.count()
     depth = min(MAX_DEPTH, max(0, int(np.ceil(np.log2(max(n, 1) / SHARD_POINTS)))))
     size = SAMPLE_PER_SHARD << depth
-    sample = points.orderBy(F.xxhash64("fp"), "fp").limit(size).toPandas()["fp"].to_numpy("int64")
-    nodes = points.sparkSession.sparkContext.broadcast(fit_tree(sample, depth, r))
+    sample = points.orderBy(F.xxhash64("fp"), "fp").limit(size).toPandas()["fp"]
+    nodes = points.sparkSession.sparkContext.broadcast(fit_tree(unsigned(sample), depth, r))
 
     def send(batches):
         for batch in batches:
-            shard, fp = route(nodes.value, batch["fp"].to_numpy("int64"), r)
-            yield pd.DataFrame({"shard": shard, "fp": fp})
+            shard, fp = route(nodes.value, unsigned(batch["fp"]), r)
+            yield pd.DataFrame({"shard": shard, "fp": fp.view(np.int64)})
 
     def join(batch: pd.DataFrame) -> pd.DataFrame:
-        u, v = shard_links(batch["fp"].to_numpy("int64"), r)
-        return pd.DataFrame({"u": u, "v": v})
+        u, v = shard_links(unsigned(batch["fp"]), r)
+        u, v = u.view(np.int64), v.view(np.int64)
+        return pd.DataFrame({"u": np.maximum(u, v), "v": np.minimum(u, v)})
 
     sent = points.mapInPandas(send, "shard long, fp long")
     return sent.groupBy("shard").applyInPandas(join, "u long, v long").distinct()
