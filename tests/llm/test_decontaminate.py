@@ -1,0 +1,116 @@
+"""Operator 10: hits against brute force, suffix arrays, blocks, edge cases."""
+
+import collections
+import hashlib
+import random
+import re
+
+import numpy as np
+
+from arrears.llm import decontaminate as dc
+from tests.llm.rows import no_documents, odd_documents
+
+TOKEN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def tokens(text):
+    return re.findall(TOKEN, re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def brute(text, items, window=10):
+    ws, hit, found, longest = tokens(text), set(), set(), {}
+    for ident, item in items:
+        ts = tokens(item)
+        n = min(window, len(ts))
+        for i in range(len(ws) - n + 1 if n else 0):
+            for k in range(len(ts) - n + 1):
+                if ws[i:i + n] == ts[k:k + n]:
+                    m = n
+                    while i + m < len(ws) and k + m < len(ts) and ws[i + m] == ts[k + m]:
+                        m += 1
+                    hit.update(range(i, i + n))
+                    found.add(str(ident) if ident is not None else "")
+                    longest[str(ident) if ident is not None else ""] = max(m, longest.get(str(ident) if ident is not None else "", 0))
+    return len(ws), len(hit), sorted(found), longest
+
+
+def check(spark, texts, items, **options):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = dc.report(docs, bench, **options).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        n, hit, found, longest = brute(texts[r.doc_id], items)
+        assert (r.n_words, r.n_hit, r.n_items, r.contaminated) == (n, hit, len(found), hit > 0), texts[r.doc_id]
+        assert r.items_sha256 == hashlib.sha256(",".join(found).encode()).hexdigest()
+        assert {m.item_id: m.length for m in r.matches} == longest
+        for m in r.matches:
+            part = tokens(texts[r.doc_id])[m.word:m.word + m.length]
+            assert any(part == tokens(t)[k:k + m.length] for i, t in items for k in range(len(tokens(t))) if (str(i) if i is not None else "") == m.item_id)
+
+
+def random_case(seed, alphabet):
+    rng = random.Random(seed)
+    word = lambda: rng.choice(alphabet)
+    items = [(rng.choice([k, k, 7]), " ".join(word() for _ in range(rng.choice([0, 1, 4, 9, 10, 11, 25, 40])))) for k in range(12)]
+    items += [(None, "Né pas, OK? " * 4), (50, None), (51, "a " * 14)]
+    texts = []
+    for _ in range(40):
+        parts = [" ".join(word() for _ in range(rng.randint(0, 15))) for _ in range(3)]
+        ws = rng.choice(items)[1] or ""
+        cut = ws.split()[rng.randint(0, 3):]
+        parts.insert(rng.randint(0, 3), rng.choice([" ", "\n", "--"]).join(cut).upper())
+        texts.append(rng.choice(["; ", "\t"]).join(parts))
+    return [*texts, None, "", " ..", "né pas ok " * 5, "a " * 400], items
+
+
+def test_random_texts(spark):
+    check(spark, *random_case(1, ["a", "b", "c"]))
+    check(spark, *random_case(2, [f"w{i}" for i in range(60)]))
+
+
+def test_benchmark_in_blocks(spark):
+    check(spark, *random_case(3, ["a", "b", "c", "dé"]), block_words=30)
+
+
+def test_shards_within_a_batch(spark, monkeypatch):
+    texts, items = random_case(4, ["x", "y"])
+    found = [dc.Block([(str(i or ""), dc.hash_words(t.encode())[0]) for i, t in items if t and tokens(t)], 10)]
+    whole = dc.scan_shard([t or "" for t in texts], found)
+    one = [dc.scan_shard([t or ""], found)[0] for t in texts]
+    assert whole == one
+
+
+def test_suffix_array_and_search():
+    rng = np.random.default_rng(1)
+    for n in (1, 2, 5, 60, 300):
+        text = rng.integers(0, 3, n).astype(np.int32)
+        order = dc.suffix_array(text, 20)
+        keys = [tuple(text[i:i + 20]) for i in order]
+        assert keys == sorted(keys) and sorted(order) == list(range(n))
+        pats = np.unique(rng.integers(1, 4, (12, 3)).astype(np.int32), axis=0)
+        low, high = dc.search(text, order, pats, False), dc.search(text, order, pats, True)
+        for p, a, b in zip(pats, low, high):
+            assert sorted(order[a:b]) == [i for i in range(n - 2) if (text[i:i + 3] == p).all()]
+
+
+def test_words():
+    data = "Ab-cd É2 x\n\nab".encode()
+    h, at = dc.hash_words(data)
+    assert len(h) == 5 and h[0] == h[4] and len(set(h.tolist())) == 4 and at.tolist() == [0, 3, 6, 10, 13]
+    assert len(dc.hash_words(b"")[0]) == 0 and len(dc.hash_words(b" - ")[0]) == 0
+
+
+def test_odd_rows(spark):
+    docs = odd_documents(spark)
+    rows = docs.collect()
+    bench = spark.createDataFrame([(1, " ".join(rows[3].text.split()[5:25])), (2, "one two three"), (None, None)], "item_id long, text string")
+    kept = dc.remove(docs, bench)
+    assert kept.columns == docs.columns
+    items = [(r.item_id, r.text) for r in bench.collect()]
+    clean = lambda r: not brute(r.text if r.doc_id != 210 else "", items)[1]
+    assert collections.Counter(r.doc_id for r in kept.collect()) == collections.Counter(r.doc_id for r in rows if clean(r))
+    scanned, name = dc.scan(docs, bench)
+    assert name == "_contamination"
+    assert dc.remove(docs, bench.limit(0)).count() == len(rows)
+    assert dc.report(no_documents(spark), bench).count() == 0

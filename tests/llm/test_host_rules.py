@@ -1,0 +1,76 @@
+"""Operator 5: measures against brute force, host verdicts."""
+
+import collections
+import random
+import re
+
+import pytest
+
+from arrears.llm import host_rules
+from tests.llm.rows import no_documents, odd_documents
+
+NAMES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def brute(text):
+    text = text or ""
+    ws = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = [tuple(ws[i:i + 3]) for i in range(len(ws) - 2)]
+    n = collections.Counter(windows)
+    covered = {i + k for i, w in enumerate(windows) if n[w] > 1 for k in range(3)}
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            dup += line in seen
+            seen.add(line)
+    return len(ws), sum(map(len, ws)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(covered)
+
+
+def test_odd_rows(spark):
+    docs = odd_documents(spark)
+    want = collections.Counter((r.doc_id, *brute(r.text)) for r in docs.collect())
+    got = host_rules.judge(docs).collect()
+    assert collections.Counter((r.doc_id, *(r[n] for n in NAMES)) for r in got) == want
+    for r in got:
+        assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
+    judged, names = host_rules.apply_rules(docs)
+    assert names == {"measures": "_measures", "base_failed": "_base_failed", "kept": "_kept"}
+    assert collections.Counter((r.doc_id, r._kept) for r in judged.collect()) == collections.Counter((r.doc_id, r.kept) for r in got)
+    assert set(docs.columns) <= set(judged.columns) and judged.count() == docs.count()
+
+
+def test_random_texts(spark):
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("ab c\n\t#&\r\x0b<é ") for _ in range(rng.randint(0, 120))) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("*", "cast(null as string) source")
+    for r in host_rules.judge(df).collect():
+        assert tuple(r[n] for n in NAMES) == brute(texts[r.doc_id])
+
+
+def test_host_verdicts(spark):
+    """A bad host with much evidence goes; one with a single failure is shrunk towards the rest."""
+    fails = [("bad", k < 95) for k in range(100)] + [("one", True)] + [
+        (f"h{i}", k < 2) for i in range(30) for k in range(40)] + [(None, False)] * 5
+    df = spark.createDataFrame(fails, "host string, failed boolean")
+    got = {r.host: r for r in host_rules.host_verdicts(df).collect()}
+    assert len(got) == 33 and got["bad"].rejected
+    assert 0.05 < got["one"].rate < 1 and not got["h0"].rejected and not got[None].rejected
+    rates = [r.fails / r.docs for r in got.values()]
+    m = sum(rates) / len(rates)
+    v = sum((x - m) ** 2 for x in rates) / len(rates)
+    s = m * (1 - m) / v - 1
+    for r in got.values():
+        assert r.rate == pytest.approx((r.fails + m * s) / (r.docs + s))
+
+
+def test_rejected_host_takes_its_documents_along(spark):
+    good = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, good if i % 20 == 0 else "short", "bad") for i in range(100)] + [(1000 + i, good, f"h{i % 9}") for i in range(90)]
+    got = {r.doc_id: r for r in host_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert not got[0].base_failed and not got[0].kept
+    assert all(got[1000 + i].kept for i in range(90))
+
+
+def test_empty(spark):
+    assert host_rules.judge(no_documents(spark)).count() == 0
+    assert host_rules.apply_rules(no_documents(spark))[0].count() == 0
