@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale; all are public Spark SQL configuration keys.
 SCALE_CONF = {
@@ -62,8 +62,9 @@ def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> d
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) do we create one of our own.
+    The cluster names it in ``spark.checkpoint.dir``. A local master has one
+    machine only, so there a folder of our own will do; on any other master an
+    unset folder is an error, since executors do not share local folders.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -71,21 +72,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="arrears-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared checkpoint folder (never machine-local)."""
+    """A fresh path below the checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/arrears-{name}-{uuid.uuid4().hex}"
 
 
-def local_path(path: str) -> str:
-    """Strip a file: scheme for local inspection in tests."""
-    return path[len("file:"):] if path.startswith("file:") else path
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared scratch folder and read it back.
+
+    It is computed once, the lineage is cut in files that every executor sees,
+    and the size is known to the planner.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-__all__ = ["build_session", "cluster_conf", "ensure_checkpoint_dir", "scratch_path", "local_path",
+__all__ = ["build_session", "cluster_conf", "ensure_checkpoint_dir", "scratch_path", "materialise",
            "SCALE_CONF"]
