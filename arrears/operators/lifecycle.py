@@ -1,11 +1,8 @@
-"""Loan lifecycle reconstruction on observed tables.
-
-The reference simulates loans month by month in a Python loop. The
-deterministic parts are rebuilt here as set operations: instalment amounts
-and schedules (R1-R3), the clamped running delinquency balance with and
-without collection-action effects (R4, R5), escalation points (R6), the
-derived status (R7) and the deterministic underwriting score and price
-(R8, R9).
+"""Loan lifecycle reconstruction on observed tables.
+
+Set operations over whole tables: instalment amounts and schedules (R1-R3), the
+clamped running delinquency balance with and without collection-action effects
+(R4, R5), escalation points (R6) and the derived status (R7).
 """
 
 from __future__ import annotations
@@ -15,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import cents, from_cents, idiv, round_half_up_div
 from ..functions.scoring import as_of_date
+from ..session import materialise
 
 # Fixed values of the reference: delinquency-balance updates (days).
 MISSED_DELTA = 30
@@ -26,14 +24,6 @@ DEFAULT_THRESHOLD = 110
 # Fixed values of the reference: escalation ladder (balance threshold, action).
 ESCALATION = [(15, "reminder_email"), (30, "phone_call"), (60, "payment_plan"), (90, "legal_notice")]
 DAYS_PER_INSTALMENT = 30
-# Fixed values of the reference: deterministic part of the underwriting risk
-# score (R8) and of the risk-based price.
-SCORE_TOP, SCORE_SPAN = 850, 550
-RISK_SCORE_WEIGHT, RISK_UNEMPLOYED_WEIGHT, RISK_INCOME_WEIGHT = 0.5, 0.3, 0.2
-RISK_INCOME_REFERENCE = 75000.0
-RISK_FLOOR, RISK_CAP = 0.02, 0.95
-PRICE_BASE, PRICE_PREMIUM = 0.06, 0.12
-PRICE_FLOOR, PRICE_CAP = 0.045, 0.22
 
 
 # ------------------------------------------------------------------ R1-R3
@@ -85,8 +75,8 @@ def payment_schedule(loans: DataFrame, as_of) -> DataFrame:
 # ------------------------------------------------------------------ R4, R5
 
 def payment_delta(amount_paid: Column, days_late: Column) -> Column:
-    """Missed (nothing paid) +30; late days_late - 5; on time -10."""
-    return (F.when(amount_paid == 0, F.lit(MISSED_DELTA))
+    """Missed (nothing paid, or the amount is missing: its default is 0) +30; late days_late - 5; on time -10."""
+    return (F.when(F.coalesce(amount_paid, F.lit(0)) == 0, F.lit(MISSED_DELTA))
             .when(days_late > 0, days_late - LATE_GRACE)
             .otherwise(F.lit(ON_TIME_DELTA))).cast("bigint")
 
@@ -109,53 +99,59 @@ def action_events(actions: DataFrame) -> DataFrame:
                           action_delta(F.col("outcome")).alias("delta"))
 
 
-def _day_summary(events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Level 1 and 2 of the clamped scan.
+_ORDER = ["loan_id", "event_date", "kind", "event_id"]     # ascending, NULLs first
+_LOAN = ["_no_loan", "_loan"]              # the loan as a key that is never NULL
+
 
-    Level 1 (rows): prefix sum ``_s`` and its running minimum ``_m`` inside
-    each (loan, day) -- parallel over loan-days, so one loan with a huge
-    history is still spread over many tasks.
-    Level 2 (one row per loan-day): the day's total and minimum prefix, then,
-    per loan over its days in order, the offset (sum of earlier days) and the
-    minimum balance prefix before the day. This window runs over distinct days
-    only, which a calendar bounds regardless of how many rows a loan has.
+def _placed(events: DataFrame) -> DataFrame:
+    """The events dealt out in ranges of (loan, date, kind, id) and written once.
+
+    Ranges hold about equally many events whatever the loan or the day, so a loan
+    or a single day with a third of all events lies in many ranges.
     """
-    # Events need a loan and a date to be placed in the sequence. Stating the
-    # filter once keeps both branches below identical, so the level-1 shuffle
-    # is computed once and reused by the join back.
-    events = events.where(F.col("loan_id").isNotNull() & F.col("event_date").isNotNull())
-    in_day = Window.partitionBy("loan_id", "event_date").orderBy("kind", "event_id")
-    upto = in_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = (events.withColumn("_s", F.sum("delta").over(upto))
-            .withColumn("_m", F.min("_s").over(upto)))
-    days = rows.groupBy("loan_id", "event_date").agg(F.sum("delta").alias("_t"),
-                                                      F.min("_s").alias("_dm"))
-    before = (Window.partitionBy("loan_id").orderBy("event_date")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    days = (days.withColumn("_off", F.coalesce(F.sum("_t").over(before), F.lit(0)))
-            .withColumn("_pm", F.min(F.col("_off") + F.col("_dm")).over(before)))
-    return rows, days
+    placed = events.repartitionByRange(*_ORDER).withColumn("_range", F.spark_partition_id())
+    return materialise(placed.withColumns({
+        "_no_loan": F.col("loan_id").isNull(), "_loan": F.coalesce("loan_id", F.lit(0))}), "events")
 
 
-def clamped_balance(events: DataFrame) -> DataFrame:
-    """Running balance c <- max(0, c + delta) per loan, in (date, kind, id) order.
+def _with_prefix(placed: DataFrame) -> DataFrame:
+    """Prefix sum ``_s`` and its running minimum ``_m`` inside each (loan, range)."""
+    inside = (Window.partitionBy(*_LOAN, "_range").orderBy(*_ORDER[1:])
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return placed.withColumn("_s", F.sum("delta").over(inside)).withColumn("_m", F.min("_s").over(inside))
 
-    With S the running sum, c = S - min(0, min prefix of S). Returns the events
-    with ``balance`` (bigint).
+
+def clamped_balance(events: DataFrame) -> DataFrame:
+    """Running balance c <- max(0, c + delta) per loan, in (date, kind, id) order, NULLs first.
+
+    With S the running sum, c = S - min(0, min prefix of S). Level 1 works inside
+    (loan, range). Only the first and the last loan of a range can go on in
+    another, so level 2, the sums and minima of a loan's earlier ranges, has at
+    most about two rows per range; that is what bounds its broadcast. Events
+    without a loan form a sequence of their own, events without a date come first.
+    Returns the events with ``balance`` (bigint).
     """
-    rows, days = _day_summary(events)
-    j = rows.join(days.select("loan_id", "event_date", "_off", "_pm"), ["loan_id", "event_date"])
-    s = F.col("_off") + F.col("_s")
-    low = F.least(F.coalesce(F.col("_pm"), F.lit(0)), F.col("_off") + F.col("_m"), F.lit(0))
-    return j.select(*events.columns, (s - low).cast("bigint").alias("balance"))
+    placed = _placed(events)
+    key = F.struct(*_LOAN)
+    ends = placed.groupBy("_range").agg(F.min(key).alias("a"), F.max(key).alias("b"))
+    ends = ends.select(F.explode(F.array("a", "b")).alias("e")).select("e.*").distinct()
+    parts = (_with_prefix(placed.join(F.broadcast(ends), _LOAN, "left_semi"))
+             .groupBy(*_LOAN, "_range").agg(F.sum("delta").alias("_t"), F.min("_s").alias("_low")))
+    before = Window.partitionBy(*_LOAN).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (parts.withColumn("_off", F.coalesce(F.sum("_t").over(before), F.lit(0)))
+             .withColumn("_pm", F.min(F.col("_off") + F.col("_low")).over(before))
+             .select(*_LOAN, "_range", "_off", "_pm"))
+    j = _with_prefix(placed).join(F.broadcast(parts), [*_LOAN, "_range"], "left")
+    off = F.coalesce("_off", F.lit(0))
+    low = F.least(F.coalesce(F.col("_pm"), F.lit(0)), off + F.col("_m"), F.lit(0))
+    return j.select(*events.columns, (off + F.col("_s") - low).cast("bigint").alias("balance"))
 
 
 def end_of_day_balance(events: DataFrame) -> DataFrame:
     """Balance after the last event of each (loan, day): loan_id, event_date, balance."""
-    _, days = _day_summary(events)
-    s = F.col("_off") + F.col("_t")
-    low = F.least(F.coalesce(F.col("_pm"), F.lit(0)), F.col("_off") + F.col("_dm"), F.lit(0))
-    return days.select("loan_id", "event_date", (s - low).cast("bigint").alias("balance"))
+    last = F.max(F.struct("kind", "event_id", "balance")).alias("last")
+    return (clamped_balance(events).groupBy("loan_id", "event_date").agg(last)
+            .select("loan_id", "event_date", F.col("last.balance").alias("balance")))
 
 
 def running_delinquency(payments: DataFrame) -> DataFrame:
@@ -208,31 +204,3 @@ def derived_status(loans: DataFrame, payments: DataFrame, actions: DataFrame, as
                     F.when(F.coalesce(F.col("_peak"), F.lit(0)) >= DEFAULT_THRESHOLD, "defaulted")
                     .when(n >= F.col("term_months"), "paid_off")
                     .otherwise("active").alias("derived_status")))
-
-
-# ------------------------------------------------------------------ R8, R9
-
-def risk_score_expr(credit_score: Column, employment_status: Column, income: Column) -> Column:
-    """Deterministic underwriting risk, clipped to [0.02, 0.95], 4 decimals."""
-    raw = ((F.lit(SCORE_TOP) - credit_score).cast("double") / float(SCORE_SPAN) * RISK_SCORE_WEIGHT
-           + F.when(employment_status == "Unemployed", 1.0).otherwise(0.0) * RISK_UNEMPLOYED_WEIGHT
-           + F.greatest(F.lit(RISK_INCOME_REFERENCE) - income.cast("double"), F.lit(0.0))
-           / RISK_INCOME_REFERENCE * RISK_INCOME_WEIGHT)
-    return F.round(F.least(F.greatest(raw, F.lit(RISK_FLOOR)), F.lit(RISK_CAP)), 4)
-
-
-def risk_price_expr(credit_score: Column) -> Column:
-    """Risk-based interest rate, clipped to [0.045, 0.22], 4 decimals."""
-    raw = F.lit(PRICE_BASE) + (F.lit(SCORE_TOP) - credit_score).cast("double") / float(SCORE_SPAN) \
-        * PRICE_PREMIUM
-    return F.round(F.least(F.greatest(raw, F.lit(PRICE_FLOOR)), F.lit(PRICE_CAP)), 4)
-
-
-def risk_score(customers: DataFrame) -> DataFrame:
-    return customers.select("customer_id", risk_score_expr(
-        F.col("credit_score"), F.col("employment_status"), F.col("income")).alias("risk_score"))
-
-
-def risk_price(customers: DataFrame) -> DataFrame:
-    return customers.select("customer_id", risk_price_expr(F.col("credit_score"))
-                            .alias("risk_price"))

@@ -2,10 +2,9 @@
 
 Each text runs on the driver's test tables (customer, orders, lineitem, ...),
 rebuilding the four domain tables with the fixture mapping of FIXTURES.md as
-CTEs, then states the query the way the reference states it in SQL: GROUP BY
-over a LEFT JOIN, correlated subqueries, ORDER BY ... LIMIT, windows. Ratios
-and money use the same integer half-up forms as the Spark code, since double
-rounding differs between engines near ties.
+CTEs, then states the result from its definition. Ratios and money use the same
+integer half-up forms as the Spark code, since double rounding differs between
+engines near ties.
 """
 
 from __future__ import annotations
@@ -63,16 +62,16 @@ def walk_ctes(src: str, tag: str) -> str:
     recursive step per event of a loan in (date, kind, id) order. Independent
     of the prefix-sum identity the Spark code uses. Defines ``walked_{tag}``."""
     return f"""walk_ev_{tag} AS (
-  SELECT *, row_number() OVER (PARTITION BY loan_id ORDER BY event_date, kind, event_id) AS step
-  FROM {src} WHERE loan_id IS NOT NULL AND event_date IS NOT NULL),
+  SELECT *, row_number() OVER (PARTITION BY loan_id ORDER BY event_date NULLS FIRST, kind, event_id) AS step
+  FROM {src}),
 walk_{tag}(loan_id, step, bal) AS (
   SELECT loan_id, step, CAST(greatest(0, delta) AS BIGINT) FROM walk_ev_{tag} WHERE step = 1
   UNION ALL
   SELECT e.loan_id, e.step, CAST(greatest(0, w.bal + e.delta) AS BIGINT)
-  FROM walk_{tag} w JOIN walk_ev_{tag} e ON e.loan_id = w.loan_id AND e.step = w.step + 1),
+  FROM walk_{tag} w JOIN walk_ev_{tag} e ON e.loan_id IS NOT DISTINCT FROM w.loan_id AND e.step = w.step + 1),
 walked_{tag} AS (
   SELECT e.*, w.bal AS delinquency_balance
-  FROM walk_ev_{tag} e JOIN walk_{tag} w ON e.loan_id = w.loan_id AND e.step = w.step)"""
+  FROM walk_ev_{tag} e JOIN walk_{tag} w ON e.loan_id IS NOT DISTINCT FROM w.loan_id AND e.step = w.step)"""
 
 
 def half_up(num: str, den: str, scale: int) -> str:
