@@ -7,11 +7,10 @@ the number of partitions. Zero denominators give 0, as in the reference.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import materialise
 
 # Fixed values of the reference: class names in the per-class report.
 CLASS_NAMES = {0: "No Default", 1: "Default"}
@@ -95,52 +94,39 @@ def class_report(df: DataFrame, label: str = "is_default", pred: str = "predicti
     return w.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def roc_auc(df: DataFrame, label: str = "is_default", score: str = "score",
-            buckets: int = 65536, balanced: bool = False,
-            relative_error: float = 1e-3) -> DataFrame:
+def roc_auc(df: DataFrame, label: str = "is_default", score: str = "score") -> DataFrame:
     """M8: exact ROC AUC with ties counted half (Mann-Whitney form).
 
     AUC = sum over distinct scores s of pos(s) * (neg_below(s) + neg(s)/2) / (P*N).
-    Rows are first reduced to distinct scores (partial aggregation). neg_below
-    is a prefix sum over the ordered distinct scores, done in two levels so
-    that no window holds an unbounded set: the scores are cut into at most
-    ``buckets`` + 2 ordered buckets; a window over the bucket totals (bounded
-    by that count, broadcast) gives each bucket its offset, and a window inside
-    each bucket orders its scores in parallel. Bucket edges only spread the
-    work; the result is exact.
-
-    By default buckets have equal width on [0, 1] (scores below or above go to
-    one edge bucket each), so the plan is a single lazy job. ``balanced=True``
-    instead cuts at approximate quantiles of the distinct scores, for score
-    distributions packed into a tiny interval: the distinct-score table is then
-    written once to the checkpoint folder and read by both passes.
+    Rows are first reduced to distinct scores (partial aggregation), dealt out in
+    ranges of about equally many scores, wherever the scores lie, and written
+    once with the number of their range. neg_below is then the negatives of the
+    ranges before (a window over one row per range) plus those before in the
+    range (a window inside each range). Products are exact decimals, so billions
+    of rows in either class do not overflow. A NULL or NaN score is an error.
     """
     s = F.col(score).cast("double")
-    per_score = df.where(s.isNotNull()).groupBy(s.alias("_s")).agg(
+    per_score = df.groupBy(s.alias("_s")).agg(
         F.sum(F.col(label).cast("bigint")).alias("_pos"),
         (F.count(F.lit(1)) - F.sum(F.col(label).cast("bigint"))).alias("_neg"))
-    if balanced:
-        ensure_checkpoint_dir(per_score.sparkSession)
-        per_score = per_score.checkpoint(eager=True)
-        probs = [i / buckets for i in range(1, buckets)]
-        cuts = sorted(set(per_score.approxQuantile("_s", probs, relative_error)))
-        splits = [-float("inf")] + cuts + [float("inf")]
-        if len(splits) > 2:
-            per_score = Bucketizer(splits=splits, inputCol="_s", outputCol="_b").transform(per_score)
-        else:
-            per_score = per_score.withColumn("_b", F.lit(0.0))
-    else:
-        b = F.floor(F.col("_s") * buckets)
-        per_score = per_score.withColumn("_b", F.least(F.greatest(b, F.lit(-1)), F.lit(buckets)))
+    per_score = materialise(per_score.repartitionByRange("_s").withColumn("_b", F.spark_partition_id()), "auc-scores")
     totals = per_score.groupBy("_b").agg(F.sum("_neg").alias("_bneg"))
     prior = Window.partitionBy(F.lit(0)).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_b", F.coalesce(F.sum("_bneg").over(prior), F.lit(0)).alias("_off"))
     inside = Window.partitionBy("_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     ranked = (per_score.withColumn("_in", F.coalesce(F.sum("_neg").over(inside), F.lit(0)))
-              .join(F.broadcast(offsets), "_b"))
+              .join(F.broadcast(offsets), "_b"))     # one row per range
+    return _auc(ranked)
+
+
+def _auc(ranked: DataFrame) -> DataFrame:
+    """The AUC from distinct scores with their counts and the negatives below (_off + _in)."""
+    exact = "decimal(19,0)"
+    below2 = ((F.col("_off") + F.col("_in")) * 2 + F.col("_neg")).cast(exact)
     agg = ranked.agg(
-        F.sum(F.col("_pos") * ((F.col("_off") + F.col("_in")) * 2 + F.col("_neg"))).alias("_num"),
-        F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n"))
-    den = F.col("_p") * F.col("_n") * 2
-    return agg.select(F.when(den != 0, F.col("_num").cast("double") / den.cast("double"))
-                      .alias("auc"))
+        F.sum(F.col("_pos").cast(exact) * below2).alias("_num"), F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n"),
+        F.count_if(F.col("_s").isNull() | F.isnan("_s")).alias("_bad"))
+    den = F.col("_p").cast(exact) * F.col("_n").cast(exact) * 2
+    return agg.select(
+        F.when(F.col("_bad") > 0, F.raise_error(F.lit("a score is NULL or NaN")).cast("double"))
+        .when(den != 0, F.col("_num").cast("double") / den.cast("double")).alias("auc"))

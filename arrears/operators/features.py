@@ -14,9 +14,8 @@ from ..functions.scoring import loan_age_months
 from .delinquency import LOAN_COLUMNS, PAYMENT_STAT_COLUMNS
 
 CUSTOMER_FEATURES = ["income", "employment_status", "age", "credit_score"]
-FEATURE_COLUMNS = LOAN_COLUMNS + PAYMENT_STAT_COLUMNS + CUSTOMER_FEATURES + ["loan_age_months"]
 
-# "No history yet" is filled with 0, not a mean.
+# A loan without payments has 0 in these columns.
 ZERO_FILL = ["late_payment_count", "pct_payments_late", "avg_days_late",
              "max_days_late_ever", "most_recent_days_late"]
 
@@ -70,7 +69,7 @@ def training_mask(maturity_months: float = MATURITY_MONTHS):
 def training_population(features: DataFrame, maturity_months: float = MATURITY_MONTHS) -> DataFrame:
     """P4 + P5: training rows with the binary label ``is_default``."""
     return (features.where(training_mask(maturity_months))
-            .withColumn("is_default", (F.col("status") == "defaulted").cast("int")))
+            .withColumn("is_default", F.coalesce(F.col("status") == "defaulted", F.lit(False)).cast("int")))
 
 
 def excluded_population(features: DataFrame, maturity_months: float = MATURITY_MONTHS) -> DataFrame:
@@ -103,38 +102,46 @@ def split_hash(id_col: str, seed: int) -> F.Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
 
 
+def split_cuts(df: DataFrame, label: str = "is_default", id_col: str = "loan_id",
+               test_fraction: float = 0.2, seed: int = 42) -> DataFrame:
+    """The last test row of each class: (class, cut_hash, cut_id), from narrow columns.
+
+    The hashes are uniform, so they are counted in about sqrt(n) equal slots per
+    class; a running sum over the slots finds the one that holds the cut, and
+    only its rows (about sqrt(n)) are ranked. A label has a handful of classes,
+    which bounds the two broadcasts.
+    """
+    keys = df.select(F.col(label).alias("_class"), F.col(id_col).alias("_id"), split_hash(id_col, seed).alias("_h"))
+    plan = keys.groupBy("_class").agg(F.count(F.lit(1)).alias("_n")).select(
+        F.col("_class").alias("_c"), F.ceil(F.col("_n") * F.lit(Decimal(str(test_fraction)))).alias("_n_test"),
+        F.ceil(F.sqrt("_n")).cast("bigint").alias("_slots"))
+    place = F.conv(F.substring("_h", 1, 8), 16, 10).cast("bigint")
+    keyed = (keys.join(F.broadcast(plan), F.col("_class").eqNullSafe(F.col("_c")))
+             .withColumn("_slot", F.shiftright(place * F.col("_slots"), 32)))
+    upto = F.sum("_cnt").over(Window.partitionBy("_class").orderBy("_slot"))
+    cut = (keyed.groupBy("_class", "_slot").agg(F.count(F.lit(1)).alias("_cnt"), F.first("_n_test").alias("_t"))
+           .withColumn("_upto", upto).where((F.col("_upto") - F.col("_cnt") < F.col("_t")) & (F.col("_t") <= F.col("_upto")))
+           .select(F.col("_class").alias("_cc"), F.col("_slot").alias("_cs"),
+                   (F.col("_t") - (F.col("_upto") - F.col("_cnt"))).alias("_need")))
+    rank = F.row_number().over(Window.partitionBy("_class").orderBy("_h", "_id"))
+    inside = keyed.join(F.broadcast(cut), F.col("_class").eqNullSafe(F.col("_cc")) & (F.col("_slot") == F.col("_cs")))
+    return inside.withColumn("_rank", rank).where(F.col("_rank") == F.col("_need")).select(
+        F.col("_class").alias("_at"), F.col("_h").alias("_cut_hash"), F.col("_id").alias("_cut_id"))
+
+
 def stratified_split(df: DataFrame, label: str = "is_default", id_col: str = "loan_id",
-                     test_fraction: float = 0.2, seed: int = 42,
-                     prefix_hex: int = 4) -> DataFrame:
+                     test_fraction: float = 0.2, seed: int = 42) -> DataFrame:
     """M3: deterministic stratified split; adds ``split`` = 'test' / 'train'.
 
     Within each class rows are ordered by md5(seed:id); the first
-    ceil(test_fraction * n_class) rows are the test set. Instead of one window
-    per class (the whole table in two tasks), rows are counted per (class,
-    hash prefix) -- at most 2 * 16**prefix_hex rows, broadcast with that
-    proven bound -- a running sum over that small table finds the single
-    prefix bucket per class that straddles the cut, and only rows in that
-    bucket are ranked. The result equals the global ordering by construction.
+    ceil(test_fraction * n_class) rows are the test set. The rows themselves are
+    only compared with the cut of their class: no window and no shuffle of them.
     """
+    cuts = split_cuts(df, label, id_col, test_fraction, seed)
     h = split_hash(id_col, seed)
-    keyed = df.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, prefix_hex))
-    counts = keyed.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
-    by_class = Window.partitionBy(label)
-    upto = by_class.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    frac = Decimal(str(test_fraction))
-    plan = (counts
-            .withColumn("_before", F.coalesce(F.sum("_cnt").over(upto), F.lit(0)))
-            .withColumn("_n_test", F.ceil(F.sum("_cnt").over(by_class) * F.lit(frac)))
-            .select(label, "_b", (F.col("_n_test") - F.col("_before")).alias("_need"),
-                    "_cnt"))
-    j = keyed.join(F.broadcast(plan), [label, "_b"])
-    whole = j.where((F.col("_need") <= 0) | (F.col("_need") >= F.col("_cnt"))).withColumn(
-        "split", F.when(F.col("_need") <= 0, "train").otherwise("test"))
-    rank = Window.partitionBy(label, "_b").orderBy("_h", id_col)
-    cut = (j.where((F.col("_need") > 0) & (F.col("_need") < F.col("_cnt")))
-           .withColumn("split", F.when(F.row_number().over(rank) <= F.col("_need"), "test")
-                       .otherwise("train")))
-    return whole.unionByName(cut).drop("_h", "_b", "_need", "_cnt")
+    test = (h < F.col("_cut_hash")) | ((h == F.col("_cut_hash")) & (F.col(id_col) <= F.col("_cut_id")))
+    return (df.join(F.broadcast(cuts), F.col(label).eqNullSafe(F.col("_at")), "left")
+            .select(*df.columns, F.when(test, "test").otherwise("train").alias("split")))
 
 
 def class_weights(split_df: DataFrame, label: str = "is_default") -> DataFrame:
@@ -147,21 +154,6 @@ def class_weights(split_df: DataFrame, label: str = "is_default") -> DataFrame:
                          .alias("class_weight"))
 
 
-def class_weights_for_split(population: DataFrame, label: str = "is_default",
-                            test_fraction: float = 0.2) -> DataFrame:
-    """M4 without materialising the split: the deterministic split keeps
-    n - ceil(test_fraction * n) rows of each class for training, so one count
-    per class gives the same weights as ``class_weights(stratified_split(...))``."""
-    frac = Decimal(str(test_fraction))
-    n = F.col("_n")
-    counts = (population.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-              .select(label, (n - F.ceil(n * F.lit(frac))).cast("bigint").alias("n_class")))
-    total = F.sum("n_class").over(Window.partitionBy(F.lit(0)))  # one row per class
-    return counts.where(F.col("n_class") > 0).select(
-        label, "n_class",
-        (total.cast("double") / (F.col("n_class") * 2).cast("double")).alias("class_weight"))
-
-
 def with_class_weight(split_df: DataFrame, weights: DataFrame, label: str = "is_default") -> DataFrame:
     """Attach ``class_weight`` (weights has at most two rows: broadcast)."""
     return split_df.join(F.broadcast(weights.select(label, "class_weight")), label, "left")

@@ -22,8 +22,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import evaluate as ev
-from .features import (DESIGN_COLUMNS, DUMMY_COLUMNS, EMPLOYMENT_DUMMIES, class_weights,
-                       with_class_weight)
+from ..session import materialise
+from .features import (DESIGN_COLUMNS, DUMMY_COLUMNS, EMPLOYMENT_DUMMIES, NUMERIC_FEATURES,
+                       class_weights, with_class_weight)
 
 
 @dataclass(frozen=True)
@@ -41,6 +42,7 @@ class ForestParams:
     cache_node_ids: bool = True
 
     def as_rows(self) -> dict:
+        # The names under which a run's parameters are recorded.
         return {"n_estimators": self.num_trees, "max_depth": self.max_depth,
                 "min_samples_leaf": self.min_instances_per_node,
                 "class_weight": "balanced", "random_state": self.seed}
@@ -73,7 +75,7 @@ def forest_pipeline(params: ForestParams = ForestParams(), label: str = "is_defa
 def fit(train: DataFrame, params: ForestParams = ForestParams(), label: str = "is_default",
         weight_col: str | None = "class_weight") -> PipelineModel:
     """M5: fit on the (weighted) training split."""
-    data = train.cache()
+    data = train.select(*NUMERIC_FEATURES, "employment_status", label, *([weight_col] if weight_col else [])).cache()
     try:
         return forest_pipeline(params, label, weight_col).fit(data)
     finally:
@@ -136,11 +138,17 @@ def run_metrics(run: TrainingRun) -> DataFrame:
 
 def train_and_evaluate(split_df: DataFrame, params: ForestParams = ForestParams(),
                        label: str = "is_default") -> TrainingRun:
-    """M3-M7: balanced weights from the training split, fit, score the test split."""
+    """M3-M7: balanced weights from the training split, fit, score the test split.
+
+    The split is written once with the columns the model needs, and so are the
+    scores of its test rows, which all metrics read.
+    """
+    split_df = materialise(split_df.select("loan_id", *NUMERIC_FEATURES, "employment_status", label, "split"), "split")
     weights = class_weights(split_df, label)
     train = with_class_weight(split_df.where(F.col("split") == "train"), weights, label)
     model = fit(train, params, label)
     scored = score(model, split_df.where(F.col("split") == "test"))
+    scored = materialise(scored.select(*split_df.columns, "prediction", "probability_of_default"), "scored")
     return TrainingRun(model, scored, evaluate(scored, label), params)
 
 

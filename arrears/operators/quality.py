@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialise
 from ..sources.schemas import FOREIGN_KEYS, TABLES
 
 
@@ -97,13 +98,11 @@ def defaults_applied(tables: dict[str, DataFrame]) -> DataFrame:
 def dense_ids(df: DataFrame, name: str = "surrogate_id") -> DataFrame:
     """Dense 1..n ids without a global sort or single-partition window.
 
-    ``monotonically_increasing_id`` encodes (partition, position); one pass
-    counts rows per partition (a table with one row per partition, broadcast),
-    a running sum gives each partition its offset. Deterministic for a
-    deterministic input layout (e.g. a file scan).
+    ``monotonically_increasing_id`` encodes (partition, position). The tagged rows
+    are written once, so that counting and numbering see the same tags; the
+    counts per partition (one row each, broadcast) give every partition its offset.
     """
-    mid = F.monotonically_increasing_id()
-    tagged = df.withColumn("_mid", mid)
+    tagged = materialise(df.withColumn("_mid", F.monotonically_increasing_id()), "ids")
     part = F.shiftright(F.col("_mid"), 33)
     counts = tagged.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_c"))
     offs = counts.select("_p", F.coalesce(F.sum("_c").over(
