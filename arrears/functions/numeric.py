@@ -61,7 +61,3 @@ def from_cents(c: Column, precision: int = 14) -> Column:
     """Integer cents -> decimal(precision, 2) dollars, exactly."""
     return (c.cast("decimal(20,0)") * F.lit(CENT)).cast(f"decimal({precision},2)")
 
-
-def basis_points(rate: Column, scale: int = 4) -> Column:
-    """A decimal or rounded double in [.., ..] -> integer units of 10**-scale."""
-    return F.round(rate.cast("decimal(20,10)") * (10 ** scale), 0).cast("bigint")

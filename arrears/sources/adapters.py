@@ -21,48 +21,15 @@ from ..operators.sequence import row_number_within
 from .schemas import TABLES
 
 
-_SMALL: dict = {}
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = 100_000, key=None) -> DataFrame:
-    """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows.
-
-    The check reads at most max_rows + 1 rows (a limit, not a full count);
-    above the bound the join is left to the planner (shuffle join, AQE).
-    With a ``key`` (e.g. the path of a fixed dimension table) the answer is
-    remembered for the rest of the application.
-    """
-    memo = None if key is None else (df.sparkSession.sparkContext.applicationId, key, max_rows)
-    small = _SMALL.get(memo) if memo else None
-    if small is None:
-        small = df.limit(max_rows + 1).count() <= max_rows
-        if memo:
-            _SMALL[memo] = small
-    return F.broadcast(df) if small else df
-
-
-_SCANS: dict = {}
-
-
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan of one read-only test table; the scan (file listing and footers) is
-    set up once per application and shared by every query that maps it."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _SCANS:
-        _SCANS[key] = spark.read.parquet(path)
-    return _SCANS[key]
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _read(spark, sf_dir, "customer")
-    # nation and region are fixed-size dimensions; broadcast them only after
-    # checking that bound, so a hash join on 25 nation keys never funnels all
-    # customers into 25 tasks.
-    n = bounded_broadcast(_read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"),
-                          key=f"{sf_dir}/nation")
-    r = bounded_broadcast(_read(spark, sf_dir, "region").select("r_regionkey", "r_name"),
-                          key=f"{sf_dir}/region")
+    # Spark broadcasts nation and region as long as their files are small.
+    n = _read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    r = _read(spark, sf_dir, "region").select("r_regionkey", "r_name")
     segment = F.col("c_mktsegment")
     out = (
         c.join(n, c.c_nationkey == n.n_nationkey)

@@ -37,6 +37,15 @@ def write_table(df: DataFrame, path: str, name: str, fmt: str = "parquet",
     w.save(path)
 
 
+def write_csv(df: DataFrame, path: str) -> None:
+    """S3 for derived tables (features, training set): header, columns as they are."""
+    df.write.mode("overwrite").option("header", True).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
+    return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+
+
 def read_book(spark: SparkSession, base: str, fmt: str = "parquet") -> Book:
     b = base.rstrip("/")
     return Book(*(read_table(spark, f"{b}/{n}", n, fmt) for n in TABLES))
@@ -54,18 +63,37 @@ BUCKET_KEYS = {"customers": "customer_id", "loans": "loan_id",
                "payment_history": "loan_id", "collection_actions": "loan_id"}
 
 
+def bucket_count(input_bytes: int, target_bytes: int = 256 << 20) -> int:
+    """Buckets of about ``target_bytes`` each; 8 at least, so that small data is spread too."""
+    return max(8, -(-input_bytes // target_bytes))
+
+
+def planned_bytes(df: DataFrame) -> int:
+    """Spark's own estimate of the size of ``df``, from its files."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def drop_tables(spark: SparkSession, names) -> None:
+    """Forget external tables; their files stay, and so do DataFrames read from them."""
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def write_bucketed_book(spark: SparkSession, book: Book, base: str, num_buckets: int,
-                        prefix: str = "") -> Book:
+                        prefix: str = "", names=tuple(TABLES)) -> dict[str, DataFrame]:
     """Publish the book as bucketed, sorted parquet tables at ``base``.
 
     Written once, every later per-loan aggregate and loan join reads the
     tables already hash-partitioned (and sorted) by loan_id: the delinquency
-    view runs without an exchange. ``num_buckets`` should give buckets of a
-    few hundred MB; all loan-keyed tables must share it. The tables are
-    external (their files live under ``base``, a shared folder).
+    view runs without an exchange. ``num_buckets`` (see ``bucket_count``) should
+    give buckets of a few hundred MB; all loan-keyed tables must share it. The tables are
+    external (their files live under ``base``, a shared folder). ``names`` picks
+    tables. A bucket holds all rows of its loans: a loan with a very large share
+    of the rows is better left in the plain layout, whose joins AQE can split.
     """
     b = base.rstrip("/")
-    for name, df in book.items():
+    for name in names:
+        df = book.table(name)
         key = BUCKET_KEYS[name]
         # Shuffle once into the bucket layout so each task writes one bucket
         # file; without it every task writes a file per bucket (tasks x buckets).
@@ -73,7 +101,7 @@ def write_bucketed_book(spark: SparkSession, book: Book, base: str, num_buckets:
          .bucketBy(num_buckets, key).sortBy(key)
          .option("path", f"{b}/{name}")
          .saveAsTable(f"{prefix}{name}"))
-    return Book(*(spark.table(f"{prefix}{n}") for n in TABLES))
+    return {n: spark.table(f"{prefix}{n}") for n in names}
 
 
 def read_jdbc(spark: SparkSession, url: str, query: str, partition_column: str,
@@ -116,47 +144,63 @@ class RefreshError(RuntimeError):
     pass
 
 
-def full_refresh(spark: SparkSession, book: Book, target: str) -> Book:
-    """Idempotent full reload of the four tables, published atomically.
-
-    Every table is written (parent first) to a new version folder under
-    ``target``; the written copy is checked (NOT NULL, primary keys, foreign
-    keys); only then is the version published by appending one row to
-    ``target/_published``. Readers (``read_published``) always see the latest
-    complete version: a failed check or a crash mid-write leaves the previous
-    version current, and nothing is copied a second time. Running twice
-    publishes two versions with the same content.
-    """
-    from ..operators import quality as q
+def publish(spark: SparkSession, target: str, write, check=None) -> str:
+    """Write a new version below ``target`` with write(path), and make it the current one.
 
+    ``check(path)`` may raise before the version becomes visible. Publishing is
+    one appended row, so readers see the old version or the new one, whole.
+    """
     version = f"{_dt.datetime.now(_dt.timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
     path = f"{target.rstrip('/')}/versions/{version}"
-    write_book(book, path)
-    staged = read_book(spark, path)
-    tables = dict(staged.items())
-    nulls = q.null_violations(tables).where("null_count > 0")
-    pks = q.pk_violations(tables).where("n_duplicate_keys > 0")
-    fks = q.fk_violations(tables).where("orphan_rows > 0")
-    problems = (nulls.select(F.concat_ws(":", "table_name", "column_name", F.lit("null")).alias("p"))
-                .unionByName(pks.select(F.concat_ws(":", "table_name", F.lit("pk")).alias("p")))
-                .unionByName(fks.select(F.concat_ws(":", "child_table", "child_column",
-                                                    F.lit("fk")).alias("p"))))
-    bad = [r["p"] for r in problems.limit(20).collect()]  # a short report, never the data
-    if bad:
-        raise RefreshError(f"version {version} failed checks, not published: {bad}")
+    write(path)
+    if check:
+        check(path)
     (spark.createDataFrame([(version, path)], "version string, path string")
      .withColumn("published_at", F.current_timestamp())
      .coalesce(1).write.mode("append").parquet(f"{target.rstrip('/')}/_published"))
-    return staged
+    return path
 
 
-def read_published(spark: SparkSession, target: str) -> Book:
-    """The latest published version of the book at ``target``."""
-    latest = (spark.read.parquet(f"{target.rstrip('/')}/_published")
-              .orderBy(F.desc("published_at"), F.desc("version")).select("path").first())
+def published_path(spark: SparkSession, target: str) -> str:
+    """The folder of the latest version at ``target``."""
+    latest = published_versions(spark, target).select("path").first()
     if latest is None:
         raise RefreshError(f"nothing published at {target}")
-    return read_book(spark, latest["path"])
+    return latest["path"]
+
+
+def full_refresh(spark: SparkSession, book: Book, target: str) -> Book:
+    """Idempotent full reload of the four tables, published atomically.
+
+    Missing values get their column defaults first. Every table is written
+    (parent first) to a new version; the written copy is checked (NOT NULL,
+    primary keys, foreign keys); only then is the version published. A failed
+    check or a crash leaves the previous version current, and nothing is copied a
+    second time. Running twice publishes two versions with the same content.
+    """
+    from ..operators import quality as q
+
+    filled = Book(*(q.apply_defaults(name, df) for name, df in book.items()))
+
+    def check(path: str) -> None:
+        tables = dict(read_book(spark, path).items())
+        nulls = q.null_violations(tables).where("null_count > 0")
+        pks = q.pk_violations(tables).where("n_duplicate_keys > 0")
+        fks = q.fk_violations(tables).where("orphan_rows > 0")
+        problems = (nulls.select(F.concat_ws(":", "table_name", "column_name", F.lit("null")).alias("p"))
+                    .unionByName(pks.select(F.concat_ws(":", "table_name", F.lit("pk")).alias("p")))
+                    .unionByName(fks.select(F.concat_ws(":", "child_table", "child_column",
+                                                        F.lit("fk")).alias("p"))))
+        bad = sorted(r["p"] for r in problems.collect())  # at most one row per column, table and foreign key
+        if bad:
+            raise RefreshError(f"{path} failed checks, not published: {bad}")
+
+    return read_book(spark, publish(spark, target, lambda path: write_book(filled, path), check))
+
+
+def read_published(spark: SparkSession, target: str) -> Book:
+    """The latest published version of the book at ``target``."""
+    return read_book(spark, published_path(spark, target))
 
 
 def published_versions(spark: SparkSession, target: str) -> DataFrame:

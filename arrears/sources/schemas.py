@@ -78,7 +78,6 @@ FOREIGN_KEYS = [
 ]
 
 # Fixed value domains of the reference (text columns, no CHECK constraints there).
-LOAN_STATUSES = ["active", "paid_off", "defaulted"]
 ACTION_TYPES = ["reminder_email", "phone_call", "payment_plan", "legal_notice"]
 OUTCOMES = ["paid_in_full", "partial_payment", "promised_to_pay", "no_response"]
 SUCCESS_OUTCOMES = ["paid_in_full", "partial_payment"]

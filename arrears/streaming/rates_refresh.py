@@ -1,13 +1,15 @@
 """Refreshable action success-rate table (R10) as a Structured Streaming job.
 
-New collection-action files land in a folder; the job keeps per-action-type
-counts as streaming state (four keys, so the state stays tiny whatever the
-volume) and, after every micro-batch, overwrites the rate table that the
-recommendation job reads. Run it continuously, or as a scheduled job with
-``trigger(availableNow=True)``: each run consumes only the files that arrived
-since the last one, tracked by the checkpoint in the shared checkpoint folder.
-Overwriting a complete-mode result is idempotent, so a replayed batch after a
-lost executor or driver restart writes the same table.
+New collection-action files land in a folder; the job keeps counts per action
+type as streaming state (a handful of keys whatever the volume) and, after every
+micro-batch, publishes a version of the rate table for the recommendation job.
+Run it continuously, or as a scheduled job with ``trigger(availableNow=True)``:
+each run consumes only the files that arrived since the last one, tracked by the
+checkpoint in the shared checkpoint folder.
+
+A version is a folder of its own; a row appended to ``_published`` makes it the
+current one. So a reader never meets a half-written table, and a crash leaves the
+version before in place. A replayed batch publishes the same rates once more.
 """
 
 from __future__ import annotations
@@ -17,7 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.numeric import ratio, ratio_units
-from ..sources.schemas import ACTION_TYPES, COLLECTION_ACTIONS, SUCCESS_OUTCOMES
+from ..sources.io import publish, published_path
+from ..sources.schemas import COLLECTION_ACTIONS, SUCCESS_OUTCOMES
 
 
 def rate_counts_stream(spark: SparkSession, landing_dir: str,
@@ -26,8 +29,7 @@ def rate_counts_stream(spark: SparkSession, landing_dir: str,
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     actions = reader.load(landing_dir)
-    return (actions.where(F.col("action_type").isin(*ACTION_TYPES))
-            .groupBy("action_type")
+    return (actions.groupBy("action_type")
             .agg(F.count(F.lit(1)).alias("total_actions"),
                  F.count_if(F.col("outcome").isin(*SUCCESS_OUTCOMES)).alias("successes")))
 
@@ -48,11 +50,11 @@ def start_refresh(spark: SparkSession, landing_dir: str, table_path: str, checkp
     ``max_files_per_trigger`` bounds each micro-batch, so a large backlog is
     worked off in several batches instead of one."""
 
-    def publish(batch: DataFrame, epoch_id: int) -> None:
-        _rate_table(batch).coalesce(1).write.mode("overwrite").parquet(table_path)
+    def publish_rates(batch: DataFrame, epoch_id: int) -> None:
+        publish(spark, table_path, lambda path: _rate_table(batch).coalesce(1).write.parquet(path))
 
     w = (rate_counts_stream(spark, landing_dir, max_files_per_trigger).writeStream.outputMode("complete")
-         .option("checkpointLocation", checkpoint).foreachBatch(publish))
+         .option("checkpointLocation", checkpoint).foreachBatch(publish_rates))
     if available_now:
         w = w.trigger(availableNow=True)
     elif processing_time:
@@ -61,4 +63,5 @@ def start_refresh(spark: SparkSession, landing_dir: str, table_path: str, checkp
 
 
 def read_rates(spark: SparkSession, table_path: str) -> DataFrame:
-    return spark.read.parquet(table_path)
+    """The rates published last."""
+    return spark.read.parquet(published_path(spark, table_path))
