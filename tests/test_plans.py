@@ -2,20 +2,24 @@
 
 import pytest
 
-from __spark_entry__ import queries
+from arrears.plans.catalog import QUERIES
 from arrears.plans.inspect import physical_plan, plan_summary
 from tests.conftest import SMALL
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
-MODEL = {"rf_scores", "feature_importance", "run_metrics", "csv_round_trip", "full_refresh",
-         "streamed_success_rates"}
+# These write and read back before they return, or train a model.
+EAGER = tuple("rf_ run_ csv_ full_refresh streamed feature_importance".split())
+
+
+def queries():
+    return QUERIES
 
 
 def _plan(df) -> str:
     return physical_plan(df)
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - MODEL))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith(EAGER)))
 def test_no_cross_join_no_python_udf(spark, name):
     plan = _plan(queries()[name](spark, SMALL))
     for bad in FORBIDDEN:
@@ -56,3 +60,16 @@ def test_delinquency_plan_summary(spark):
     assert s["python_udfs"] == 0 and s["nested_loop_joins"] == 0 and s["sort_aggregates"] == 0
     assert s["windows"] == 0 and s["hash_aggregates"] >= 2      # partial + final
     assert s["shuffles"] <= 2                                   # payments partial agg, loans side
+
+
+def test_balance_needs_loans_only(spark):
+    s = plan_summary(queries()["outstanding_balance"](spark, SMALL), executed=True)
+    assert s["shuffles"] == 0
+    assert "customer.parquet" not in _plan(queries()["outstanding_balance"](spark, SMALL))
+
+
+def test_nothing_is_left_in_the_catalog(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    for name in ("loan_delinquency_sql", "bucketed_delinquency"):
+        assert queries()[name](spark, SMALL).count() > 0
+    assert {t.name for t in spark.catalog.listTables()} == before

@@ -122,3 +122,54 @@ def test_csv_read_fails_fast_on_bad_rows(spark):
         .coalesce(1).write.text(path)
     with pytest.raises(Exception):
         sio.read_table(spark, path, "loans", fmt="csv").collect()
+
+
+def test_refresh_fills_defaults_and_reports_every_problem(spark):
+    book = book_from_testdata(spark, SMALL)
+    target = scratch_path(spark, "t-defaults")
+    book.loans = book.loans.withColumn("status", F.when(F.col("loan_id") % 3 == 0, None).otherwise(F.col("status")))
+    full = sio.full_refresh(spark, book, target)
+    assert full.loans.where("status is null").count() == 0
+    assert full.loans.where("loan_id % 3 = 0 and status <> 'active'").count() == 0
+    void = [F.lit(None).cast(f.dataType).alias(f.name) for f in book.payments.schema.fields]
+    book.payments = book.payments.unionByName(book.payments.limit(1).select(*void))
+    try:
+        sio.full_refresh(spark, book, target)
+        raise AssertionError("expected a refresh error")
+    except sio.RefreshError as e:
+        for c in ("payment_id", "loan_id", "due_date", "amount_due"):
+            assert f"payment_history:{c}:null" in str(e)
+
+
+def test_stream_keeps_every_action_type_and_old_versions(spark):
+    landing, table, ckpt = (scratch_path(spark, f"t-types-{k}") for k in ("land", "rates", "ckpt"))
+    fx.actions(spark, [(1, 1, d("2024-01-01"), "house_visit", "paid_in_full")]).write.parquet(landing)
+    rr.start_refresh(spark, landing, table, ckpt).awaitTermination()
+    first = rr.read_rates(spark, table)
+    assert [r.action_type for r in first.collect()] == ["house_visit"]
+    fx.actions(spark, [(2, 1, d("2024-01-01"), "phone_call", "no_response")]).write.mode("append").parquet(landing)
+    rr.start_refresh(spark, landing, table, ckpt).awaitTermination()
+    assert {r.action_type for r in rr.read_rates(spark, table).collect()} == {"house_visit", "phone_call"}
+    assert [r.action_type for r in first.collect()] == ["house_visit"]     # a reader of the old version is undisturbed
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    import pytest
+
+    from arrears.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())

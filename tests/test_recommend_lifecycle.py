@@ -65,9 +65,35 @@ def test_legal_notice_never_best(spark):
     assert best.where(F.col("recommended_action") == "legal_notice").count() == 0
 
 
-def test_refreshed_rates_bounded_and_fallback(spark):
-    rates = spark.createDataFrame([("phone_call", 900), ("unknown", 1)],
-                                  "action_type string, rate_permille long")
+@pytest.mark.parametrize("p,balance,var,action,value", [
+    (0.02436, 45000, "657.72", "phone_call", "242.83"),   # 658.80 and payment_plan if p were cut to 0.0244
+    (0.00003, 45000, "0.81", "reminder_email", "-1.76"),  # 0.00 if p were cut to 0.0000
+])
+def test_probability_is_not_rounded_before_use(spark, p, balance, var, action, value):
+    r = rc.best_actions(_scored(spark, [(1, p, balance, 12, 0.0)])).first()
+    assert r.estimated_value_at_risk == Decimal(var)
+    assert (r.recommended_action, r.recommended_expected_value) == (action, Decimal(value))
+    assert r.probability_of_default == round(p, 4)
+
+
+def test_rates_of_unknown_types_are_refused(spark):
+    for rows in ([("phone_call", 900), ("unknown", 1)], [("phone_call", 900), ("phone_call", 1)] * 3, [(None, 5)]):
+        with pytest.raises(ValueError):
+            rc.refreshed_actions(spark.createDataFrame(rows, "action_type string, rate_permille long"))
+
+
+def test_flat_records(spark):
+    rec = rc.recommend_actions(_scored(spark, [(1, 0.4, 9000, 12, 1.0), (2, 0.0, 10, 12, 0.0)]))
+    flat = rc.flat_records(rec).collect()
+    assert len(flat) == 8
+    for r in rec.collect():
+        mine = sorted((f.option_rank, f.action_type, f.expected_value) for f in flat if f.loan_id == r.loan_id)
+        assert mine == [(i, o.action_type, o.expected_value) for i, o in enumerate(r.all_options, 1)]
+        assert {f.recommended_action for f in flat if f.loan_id == r.loan_id} == {r.recommended_action.action_type}
+
+
+def test_refreshed_rates_fallback(spark):
+    rates = spark.createDataFrame([("phone_call", 900)], "action_type string, rate_permille long")
     specs = {a.action_type: a.rate_permille for a in rc.refreshed_actions(rates)}
     assert specs == {"reminder_email": 295, "phone_call": 900, "payment_plan": 430,
                      "legal_notice": 239}
@@ -176,16 +202,22 @@ def test_auc_matches_bruteforce(spark):
     neg = [s for y, s in rows if y == 0]
     brute = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
     df = spark.createDataFrame(rows, "is_default int, score double")
-    assert abs(ev.roc_auc(df, buckets=7).first().auc - brute) < 1e-12
     assert abs(ev.roc_auc(df).first().auc - brute) < 1e-12
-    assert abs(ev.roc_auc(df, buckets=16, balanced=True).first().auc - brute) < 1e-12
+    packed = df.withColumn("score", F.col("score") * 1e-9 + 0.25)  # all scores in a tiny interval
+    assert abs(ev.roc_auc(packed).first().auc - brute) < 1e-12
     shifted = df.withColumn("score", F.col("score") * 3 - 1)  # scores outside [0, 1]
-    assert abs(ev.roc_auc(shifted, buckets=4).first().auc - brute) < 1e-12
+    assert abs(ev.roc_auc(shifted).first().auc - brute) < 1e-12
+
+
+def test_auc_beyond_long_products(spark):
+    """Five billion rows in each class: 2 P N is beyond 64 bits."""
+    n = 5_000_000_000
+    ranked = spark.createDataFrame([(0.1, 0, n, 0, 0), (0.2, n, 0, 0, n)], "_s double, _pos long, _neg long, _off long, _in long")
+    assert ev._auc(ranked).first().auc == 1.0
 
 
-def test_risk_score_and_price(spark):
-    cust = fx.customers(spark, [(1, 30000, "Unemployed", 300), (2, 200000, "Full-time", 850)])
-    s = {r.customer_id: r.risk_score for r in lc.risk_score(cust).collect()}
-    assert s == {1: 0.92, 2: 0.02}
-    p = {r.customer_id: r.risk_price for r in lc.risk_price(cust).collect()}
-    assert p == {1: 0.18, 2: 0.06}
+def test_auc_refuses_missing_scores(spark):
+    for bad in (None, float("nan")):
+        df = spark.createDataFrame([(0, 0.1), (1, bad)], "is_default int, score double")
+        with pytest.raises(Exception, match="NULL or NaN"):
+            ev.roc_auc(df).collect()
