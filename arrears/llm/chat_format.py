@@ -26,6 +26,8 @@ Defined results
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -83,17 +85,24 @@ def best_paths(messages: DataFrame, top_k: int = 1) -> DataFrame:
 
     messages: k, node, parent (existing and smaller, or NULL), score.
     """
-    state = materialise(messages.select("k", "node", F.col("parent").alias("up"), F.col("node").alias("top"),
-                                        F.lit(1).cast("long").alias("length"), F.col("score").alias("total")), "chat-up")
-    jumps = []
-    while state.filter("up is not null").limit(1).count():
+    sizes = materialise(messages.groupBy("k").agg(F.count(F.lit(1)).alias("n")), "chat-sizes")
+    largest = sizes.agg(F.max("n")).first()[0] or 0
+    state = materialise(messages.join(sizes, "k").select(
+        "k", "node", F.col("parent").alias("up"), F.col("node").alias("top"),
+        F.lit(1).cast("long").alias("length"), F.col("score").alias("total"), "n"), "chat-up")
+    jumps, done = [], []
+    while (reach := 1 << len(jumps)) < largest:
+        # A conversation of n messages is through once every message has looked n or more up.
+        done.append(state.filter(F.col("n") <= reach))
+        state = state.filter(F.col("n") > reach)
         jumps.append(state.filter("up is not null").select(F.col("k").alias("jk"), F.col("node").alias("jn"), "up"))
         there = state.select(F.col("k").alias("tk"), F.col("node").alias("tn"), F.col("up").alias("t_up"),
                              F.col("top").alias("t_top"), F.col("length").alias("t_length"), F.col("total").alias("t_total"))
         state = materialise(state.join(there, (F.col("k") == F.col("tk")) & (F.col("up") == F.col("tn")), "left").select(
             "k", "node", F.col("t_up").alias("up"), F.coalesce("t_top", "top").alias("top"),
             (F.col("length") + F.coalesce("t_length", F.lit(0))).alias("length"),
-            (F.col("total") + F.coalesce("t_total", F.lit(0.0))).alias("total")), "chat-up")
+            (F.col("total") + F.coalesce("t_total", F.lit(0.0))).alias("total"), "n"), "chat-up")
+    state = functools.reduce(DataFrame.union, [*done, state])
     parents = messages.filter("parent is not null").select("k", F.col("parent").alias("node")).distinct()
     leaves = state.join(parents, ["k", "node"], "left_anti").withColumn("mean", F.col("total") / F.col("length"))
     rank = F.row_number().over(W.partitionBy("k", "top").orderBy(F.desc("mean"), F.desc("length"), "node"))
