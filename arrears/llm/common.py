@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears.session import scratch_path
+from arrears.session import materialise
+
+__all__ = ["ascii_lower", "fresh", "let", "materialise", "table", "word_count", "words"]
 
 # ASCII white space, the only separators of words: space and \t \n \v \f \r.
 BLANKS = " \t\n\x0b\f\r"
@@ -17,18 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared scratch folder and read back.
-
-    Cuts the lineage in files that every executor sees, and gives Spark the
-    true size, so that its own threshold decides whether a join broadcasts it.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def fresh(df: DataFrame, name: str) -> str:
     """A column name like `name` that `df` does not have (names ignore case)."""
     taken = {c.lower() for c in df.columns}

@@ -38,7 +38,7 @@ from arrears.llm.common import fresh
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset
 figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol optgroup option p pre
 section summary table tbody td tfoot th thead title tr ul""".split())
-CONTAINERS = frozenset("article body center div main section table tbody td tr ul ol dl blockquote figure details".split())
+CONTAINERS = frozenset("article body center div main section table td".split())   # what a region can be
 WHOLE = frozenset(("article", "main"))
 NEVER_TEXT = frozenset("""aside audio button canvas datalist dialog embed fieldset footer form frame frameset header
 iframe input map math menu nav noembed noframes noscript object option optgroup output script select style svg template
