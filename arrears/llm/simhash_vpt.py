@@ -210,7 +210,8 @@ def links(points: DataFrame, r: int = MAX_BITS) -> DataFrame:
     depth = min(MAX_DEPTH, max(0, int(np.ceil(np.log2(max(n, 1) / SHARD_POINTS)))))
     size = SAMPLE_PER_SHARD << depth
     sample = points.orderBy(F.xxhash64("fp"), "fp").limit(size).toPandas()["fp"]
-    nodes = points.sparkSession.sparkContext.broadcast(fit_tree(unsigned(sample), depth, r))
+    tree = fit_tree(unsigned(sample), depth, r)
+    nodes = points.sparkSession.sparkContext.broadcast(tree)
 
     def send(batches):
         for batch in batches:
@@ -222,7 +223,8 @@ def links(points: DataFrame, r: int = MAX_BITS) -> DataFrame:
         u, v = u.view(np.int64), v.view(np.int64)
         return pd.DataFrame({"u": np.maximum(u, v), "v": np.minimum(u, v)})
 
-    sent = points.mapInPandas(send, "shard long, fp long")
+    # Shards are small in bytes and large in work: as many tasks as shards, however few bytes they have.
+    sent = points.mapInPandas(send, "shard long, fp long").repartition(len(tree) + 1, "shard")
     return sent.groupBy("shard").applyInPandas(join, "u long, v long").distinct()
 
 
