@@ -67,8 +67,8 @@ def linear_thread(rows: DataFrame, *, conv_col="conv_id", turn_col="turn", role_
                        "role", "text", F.lit(0.0).alias("score"))
 
 
-def _messages(messages: DataFrame) -> DataFrame:
-    """Messages with a key that is never NULL, and with usable parents only."""
+def _messages(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The messages with a key that is never NULL; and their tree without the texts, usable parents only."""
     own = messages.select(
         F.when(F.col("conv_id").isNull(), "-").otherwise(F.concat(F.lit("c"), F.col("conv_id").cast("string"))).alias("k"),
         "conv_id", F.col("node").cast("long").alias("node"), F.col("parent").cast("long").alias("parent"),
@@ -76,8 +76,9 @@ def _messages(messages: DataFrame) -> DataFrame:
         F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
     own = materialise(own, "chat-messages")
     ids = own.select(F.col("k").alias("pk"), F.col("node").alias("pn"))
-    linked = own.join(ids, (F.col("k") == F.col("pk")) & (F.col("parent") == F.col("pn")) & (F.col("pn") < F.col("node")), "left")
-    return materialise(linked.drop("parent", "pk").withColumnRenamed("pn", "parent"), "chat-messages")
+    tree = own.select("k", "node", "parent", "score").join(
+        ids, (F.col("k") == F.col("pk")) & (F.col("parent") == F.col("pn")) & (F.col("pn") < F.col("node")), "left")
+    return own, materialise(tree.select("k", "node", F.col("pn").alias("parent"), "score"), "chat-tree")
 
 
 def best_paths(messages: DataFrame, top_k: int = 1) -> DataFrame:
@@ -120,8 +121,8 @@ def format_threads(messages: DataFrame, top_k: int = 1) -> DataFrame:
 
     messages: conv_id, node, parent, role, text, score.
     """
-    messages = _messages(messages)
-    path = best_paths(messages, top_k)
+    messages, tree = _messages(messages)
+    path = best_paths(tree, top_k)
     told = path.join(messages.select("k", "node", "conv_id", "role", "text"), ["k", "node"])
     told = told.select("k", "conv_id", "top", "leaf", "rank", "mean", "pos", "role",
                        escape(F.col("role")).alias("as_role"), escape(F.col("text")).alias("as_text"))
