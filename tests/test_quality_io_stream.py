@@ -173,3 +173,19 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(Session())
+
+
+def test_registry_describes_the_tables(spark):
+    """Names, order, types and keys as registered are what reading and mapping give."""
+    from arrears.sources.schemas import FOREIGN_KEYS, TABLES
+    book = book_from_testdata(spark, SMALL)
+    target = scratch_path(spark, "t-registry")
+    sio.write_book(book, target)
+    back = sio.read_book(spark, target)
+    for name, spec in TABLES.items():
+        declared = [(f.name, f.dataType.simpleString()) for f in spec.schema.fields]
+        assert [c for c, _ in declared] == spec.columns
+        assert book.table(name).dtypes == declared == back.table(name).dtypes
+        assert spec.primary_key in spec.columns and set(spec.defaults) <= set(spec.columns)
+    for child, column, parent, key in FOREIGN_KEYS:
+        assert column in TABLES[child].columns and TABLES[parent].primary_key == key
