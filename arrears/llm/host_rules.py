@@ -69,11 +69,12 @@ def measures(text: Column) -> Column:
     text = F.coalesce(text, F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(BLANKS)) != "")
     counts = let(words(text), lambda ws: F.struct(
-        F.size(ws).cast("long").alias("n_words"), _repeat_words(ws).cast("long").alias("n_repeat_words")))
+        F.size(ws).cast("long").alias("n_words"), F.length(F.array_join(ws, "")).cast("long").alias("word_chars"),
+        _repeat_words(ws).cast("long").alias("n_repeat_words")))
     dup = let(lines, lambda ls: F.size(ls) - F.size(F.array_distinct(ls)))
     return let(counts, lambda c: F.struct(
         c["n_words"].alias("n_words"),
-        F.length(F.translate(text, BLANKS, "")).cast("long").alias("word_chars"),
+        c["word_chars"].alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
         dup.cast("long").alias("n_dup_lines"),
         c["n_repeat_words"].alias("n_repeat_words")))
