@@ -101,6 +101,7 @@ def action_events(actions: DataFrame) -> DataFrame:
 
 _ORDER = ["loan_id", "event_date", "kind", "event_id"]     # ascending, NULLs first
 _LOAN = ["_no_loan", "_loan"]              # the loan as a key that is never NULL
+NO_DAY = -(1 << 31)                        # the day number of a missing date, before every real one
 
 
 def _placed(events: DataFrame) -> DataFrame:
@@ -111,47 +112,58 @@ def _placed(events: DataFrame) -> DataFrame:
     """
     placed = events.repartitionByRange(*_ORDER).withColumn("_range", F.spark_partition_id())
     return materialise(placed.withColumns({
-        "_no_loan": F.col("loan_id").isNull(), "_loan": F.coalesce("loan_id", F.lit(0))}), "events")
+        "_no_loan": F.col("loan_id").isNull(), "_loan": F.coalesce("loan_id", F.lit(0)),
+        "_day": F.coalesce(F.unix_date("event_date"), F.lit(NO_DAY))}), "events")
 
 
 def _with_prefix(placed: DataFrame) -> DataFrame:
-    """Prefix sum ``_s`` and its running minimum ``_m`` inside each (loan, range)."""
-    inside = (Window.partitionBy(*_LOAN, "_range").orderBy(*_ORDER[1:])
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return placed.withColumn("_s", F.sum("delta").over(inside)).withColumn("_m", F.min("_s").over(inside))
+    """Inside each (loan, range): prefix sum ``_s``, its running minimum ``_m``, the next event's day ``_next``."""
+    order = Window.partitionBy(*_LOAN, "_range").orderBy(*_ORDER[1:])
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (placed.withColumn("_s", F.sum("delta").over(upto)).withColumn("_m", F.min("_s").over(upto))
+            .withColumn("_next", F.lead("_day").over(order)))
 
 
-def clamped_balance(events: DataFrame) -> DataFrame:
-    """Running balance c <- max(0, c + delta) per loan, in (date, kind, id) order, NULLs first.
+def _balances(events: DataFrame) -> DataFrame:
+    """The events with their ``balance``, and whether they are the last of their loan's day (``_last``).
 
     With S the running sum, c = S - min(0, min prefix of S). Level 1 works inside
     (loan, range). Only the first and the last loan of a range can go on in
-    another, so level 2, the sums and minima of a loan's earlier ranges, has at
-    most about two rows per range; that is what bounds its broadcast. Events
-    without a loan form a sequence of their own, events without a date come first.
-    Returns the events with ``balance`` (bigint).
+    another, so level 2, what a loan's earlier ranges add up to, has at most about
+    two rows per range; that is what bounds its broadcast.
     """
     placed = _placed(events)
     key = F.struct(*_LOAN)
     ends = placed.groupBy("_range").agg(F.min(key).alias("a"), F.max(key).alias("b"))
     ends = ends.select(F.explode(F.array("a", "b")).alias("e")).select("e.*").distinct()
     parts = (_with_prefix(placed.join(F.broadcast(ends), _LOAN, "left_semi"))
-             .groupBy(*_LOAN, "_range").agg(F.sum("delta").alias("_t"), F.min("_s").alias("_low")))
-    before = Window.partitionBy(*_LOAN).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+             .groupBy(*_LOAN, "_range").agg(F.sum("delta").alias("_t"), F.min("_s").alias("_low"), F.min("_day").alias("_first")))
+    ranges = Window.partitionBy(*_LOAN).orderBy("_range")
+    before = ranges.rowsBetween(Window.unboundedPreceding, -1)
     parts = (parts.withColumn("_off", F.coalesce(F.sum("_t").over(before), F.lit(0)))
              .withColumn("_pm", F.min(F.col("_off") + F.col("_low")).over(before))
-             .select(*_LOAN, "_range", "_off", "_pm"))
+             .withColumn("_then", F.lead("_first").over(ranges))
+             .select(*_LOAN, "_range", "_off", "_pm", "_then"))
     j = _with_prefix(placed).join(F.broadcast(parts), [*_LOAN, "_range"], "left")
     off = F.coalesce("_off", F.lit(0))
     low = F.least(F.coalesce(F.col("_pm"), F.lit(0)), off + F.col("_m"), F.lit(0))
-    return j.select(*events.columns, (off + F.col("_s") - low).cast("bigint").alias("balance"))
+    after = F.coalesce("_next", "_then")
+    return j.select(*events.columns, (off + F.col("_s") - low).cast("bigint").alias("balance"),
+                    (after.isNull() | (after != F.col("_day"))).alias("_last"))
+
+
+def clamped_balance(events: DataFrame) -> DataFrame:
+    """Running balance c <- max(0, c + delta) per loan, in (date, kind, id) order, NULLs first.
+
+    Events without a loan form a sequence of their own, events without a date come
+    first. Returns the events with ``balance`` (bigint).
+    """
+    return _balances(events).drop("_last")
 
 
 def end_of_day_balance(events: DataFrame) -> DataFrame:
     """Balance after the last event of each (loan, day): loan_id, event_date, balance."""
-    last = F.max(F.struct("kind", "event_id", "balance")).alias("last")
-    return (clamped_balance(events).groupBy("loan_id", "event_date").agg(last)
-            .select("loan_id", "event_date", F.col("last.balance").alias("balance")))
+    return _balances(events).where("_last").select("loan_id", "event_date", "balance")
 
 
 def running_delinquency(payments: DataFrame) -> DataFrame:

@@ -139,11 +139,18 @@ def test_clamped_balance_of_hot_day_and_missing_keys(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
         try:
             got = lc.clamped_balance(df).collect()
+            ends = lc.end_of_day_balance(df).collect()
             hot = lc._placed(df).where("loan_id = 1 and event_date = date'2021-03-01'").select("_range").distinct().count()
         finally:
             spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
         assert len(got) == len(rows)
         assert {r.event_id: r.balance for r in got} == _walk(rows)
+        last = {}
+        for e in sorted(rows, key=lambda e: (e[2], e[3])):
+            last[e[0], e[1]] = e[3]
+        walked = _walk(rows)
+        assert {(r.loan_id, r.event_date): r.balance for r in ends} == {k: walked[i] for k, i in last.items()}
+        assert len(ends) == len(last)
     assert hot > 1
     assert lc.clamped_balance(df.limit(0)).count() == 0
 
