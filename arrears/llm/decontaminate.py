@@ -27,6 +27,8 @@ Defined results
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -68,27 +70,27 @@ def hash_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return (h ^ (h >> np.uint64(29))) * np.uint64(BASE) + (end - start).astype(np.uint64), start
 
 
-class Block:
-    """A block of the benchmark: its vocabulary and the windows to search, by their length."""
-
-    def __init__(self, items: list[tuple[str, np.ndarray]], window: int):
-        self.vocabulary = np.unique(np.concatenate([w for _, w in items]))
-        self.ids = [i for i, _ in items]
-        self.longest = max(len(w) for _, w in items)
-        by_length: dict[int, list] = {}
-        for k, (_, hashes) in enumerate(items):
-            w = (np.searchsorted(self.vocabulary, hashes) + 1).astype(np.int32)
-            n = min(window, len(w))
-            view = np.lib.stride_tricks.sliding_window_view(w, n)
-            by_length.setdefault(n, []).append((view, np.full(len(view), k), np.arange(len(view))))
-        self.searches = {}
-        for n, parts in by_length.items():
-            patterns, which = np.unique(np.concatenate([p[0] for p in parts]), axis=0, return_inverse=True)
-            order = np.argsort(which, kind="stable")
-            first = np.searchsorted(which[order], np.arange(len(patterns) + 1))
-            self.searches[n] = (patterns, first, np.concatenate([p[1] for p in parts])[order],
-                                np.concatenate([p[2] for p in parts])[order])
-        self.shortest = min(self.searches)
+def make_block(items: list[tuple[str, np.ndarray]], window: int) -> SimpleNamespace:
+    """A block of the benchmark: its vocabulary and the windows to search, by their length.
+
+    Plain data, since executors that read the broadcast need not have this module.
+    """
+    vocabulary = np.unique(np.concatenate([w for _, w in items]))
+    by_length: dict[int, list] = {}
+    for k, (_, hashes) in enumerate(items):
+        w = (np.searchsorted(vocabulary, hashes) + 1).astype(np.int32)
+        n = min(window, len(w))
+        view = np.lib.stride_tricks.sliding_window_view(w, n)
+        by_length.setdefault(n, []).append((view, np.full(len(view), k), np.arange(len(view))))
+    searches = {}
+    for n, parts in by_length.items():
+        patterns, which = np.unique(np.concatenate([p[0] for p in parts]), axis=0, return_inverse=True)
+        order = np.argsort(which, kind="stable")
+        first = np.searchsorted(which[order], np.arange(len(patterns) + 1))
+        searches[n] = (patterns, first, np.concatenate([p[1] for p in parts])[order],
+                       np.concatenate([p[2] for p in parts])[order])
+    return SimpleNamespace(vocabulary=vocabulary, ids=[i for i, _ in items], longest=max(len(w) for _, w in items),
+                           searches=searches, shortest=min(searches))
 
 
 def blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int = WINDOW,
@@ -100,12 +102,12 @@ def blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int = WINDO
         if not len(hashes):
             continue
         if items and n + len(hashes) > block_words:
-            yield Block(items, window)
+            yield make_block(items, window)
             items, n = [], 0
         items.append((row.i or "", hashes))
         n += len(hashes)
     if items:
-        yield Block(items, window)
+        yield make_block(items, window)
 
 
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
@@ -144,7 +146,7 @@ def search(text: np.ndarray, order: np.ndarray, patterns: np.ndarray, upper: boo
     return lo
 
 
-def scan_shard(texts: list[str], found: list[Block]) -> list[tuple]:
+def scan_shard(texts: list[str], found: list[SimpleNamespace]) -> list[tuple]:
     """(n_words, n_hit, items, matches) of each text."""
     raw = [t.encode() for t in texts]
     begin = np.cumsum([0] + [len(r) + 1 for r in raw])

@@ -75,7 +75,7 @@ def test_benchmark_in_blocks(spark):
 
 def test_shards_within_a_batch(spark, monkeypatch):
     texts, items = random_case(4, ["x", "y"])
-    found = [dc.Block([(str(i or ""), dc.hash_words(t.encode())[0]) for i, t in items if t and tokens(t)], 10)]
+    found = [dc.make_block([(str(i or ""), dc.hash_words(t.encode())[0]) for i, t in items if t and tokens(t)], 10)]
     whole = dc.scan_shard([t or "" for t in texts], found)
     one = [dc.scan_shard([t or ""], found)[0] for t in texts]
     assert whole == one
