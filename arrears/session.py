@@ -26,8 +26,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     conf = dict(SCALE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.setdefault("spark.driver.memory", "16g")
-    # Local runs only: keep the session catalog's warehouse out of the working tree.
-    conf.setdefault("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="arrears-wh-"))
+    if master.startswith("local[") or master == "local":
+        # Keep the session catalog's warehouse out of the working tree.
+        conf.setdefault("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="arrears-wh-"))
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
