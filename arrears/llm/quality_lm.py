@@ -1,29 +1,38 @@
 """Quality classifier: interpolated modified Kneser-Ney model of trusted text (operator 2).
 
-The model is a character model over an alphabet of 64 symbols: letters by case,
-space, line break, full stop, comma, digit, other ASCII, and six classes of
-non-ASCII letters. It needs no vocabulary, covers all languages, and the number
-of its n-grams has a bound, 64^3 trigrams, that does not grow with the corpus.
-
-1. Counts: each task counts the trigrams of its trusted documents (all of them)
-   and sends one row per trigram; the sums are sharded by trigram.
+The model is a word bigram model. Words are what ASCII white space separates, by
+a 64-bit hash; every document has a start and an end. Below the unigrams stands
+a spelling model, a Kneser-Ney character trigram model over 64 symbols (letters
+by case, blanks, full stop, comma, digit, other ASCII, six classes of non-ASCII
+letters), so that unseen words have a probability too. The spelling model has a
+fixed size; the word counts grow with the trusted text.
+
+1. Counts: one in HELD_OUT of the trusted documents, by the hash of the text, is
+   left out. Each task counts the word pairs of the others; the sums are sharded.
 2. Model: continuation counts, discounts D1, D2, D3+ from the counts of counts,
-   context totals and back-off weights are joined order by order on the n-gram,
-   giving log p for each of the 64^3 trigrams.
-3. Scores: that table of 64^3 numbers (the proven bound: 1 MB) is what a
-   document's trigrams are joined with, so it is broadcast and looked up in
-   Arrow batches; document trigrams are never shuffled.
-4. Thresholds: for every language, quantiles of the trusted documents' log
+   context totals and back-off weights are joined order by order. An interpolated
+   model is a sum of numbers in its back-off form: one for each word, and one more
+   for each pair that was seen. So it is one table (key, value).
+3. Scores: each task sends the distinct words and pairs of its documents, packed
+   by shard of the key; a shard is joined with the model's part and gives sums by
+   document. The HOT most frequent keys are broadcast and looked up before, so no
+   shard gets an entry of every document. Equal texts have one score, by a 64-bit
+   hash. Log perplexity is per spelled symbol (a word's characters and a blank).
+4. Thresholds: for every language, the QUANTILE of the held-out documents' log
    perplexity, from an exact histogram on a grid of 1/1000. A document of n
    characters has the evidence n / (n + PRIOR_CHARS): its distance to the median
-   is shrunk by that, since the mean of a few characters says little. It is
-   rejected if the shrunk value is above q75 + FENCE * (q75 - q50 + grid).
+   is shrunk by that, in the histogram as in the verdict. Of fewer than
+   1 / (1 - QUANTILE) documents the quantile is taken from the tail, see `_limit`.
+5. Repetition: the word pairs that occurred before in the same BLOCK pairs of the
+   document, divided by pairs + PRIOR_PAIRS. Its threshold is the QUANTILE of all
+   trusted documents of the language (it needs no counts).
 
 Defined results
-- NULL or empty text: no perplexity (NULL); such a document is kept here.
-- NULL language: a language of its own. A language with fewer than
-  `min_trusted` trusted documents takes the threshold of all trusted text.
-- No trusted document at all: every document is kept, its perplexity is 64.
+- NULL, empty or blank text: no perplexity (NULL); such a document is kept here.
+- NULL language: a language of its own. A language with fewer than `min_trusted`
+  held-out (for repetition: trusted) documents takes the threshold of all of them.
+- No trusted document at all: every document is kept, its perplexity is 64. None
+  held out: no threshold of perplexity.
 - A label row repeated, NULL or without a document: it changes nothing.
 - Repeated documents: each row is scored; trusted copies each count.
 - Extra columns pass through `keep_good`, whatever their names.
@@ -44,10 +53,17 @@ SYMBOLS = 64
 ORDER = 3
 GRAMS = SYMBOLS ** ORDER
 GRID = 1000
-FENCE = 8.0
+QUANTILE = 0.995
+HELD_OUT = 5
 PRIOR_CHARS = 300
+BLOCK = 50                 # word pairs
+PRIOR_PAIRS = 10
 MIN_TRUSTED = 20
 CHUNK = 1 << 21            # characters scored at once
+SHARD_CHARS = 1 << 23      # characters of the documents for each shard of keys
+HOT = 1 << 16
+BASE = 0x9E3779B97F4A7C15  # odd: the multiplier of the word hash
+FIRST, LAST = np.array([0x5EED0001C0FFEE11, 0x5EED0002C0FFEE22], np.uint64)    # before and after a text's words
 
 _OTHER_ASCII = 57
 
@@ -150,12 +166,17 @@ def train(texts: DataFrame) -> DataFrame:
     return _order(three, _order(two, _order(one, None, 1), 2), 3)
 
 
-def scorer(model: DataFrame):
-    """A column function: text to log perplexity in nats a character (NULL: no characters)."""
+def _losses(model: DataFrame):
+    """Broadcast -log p of each trigram."""
     rows = model.select("gram", "p").toPandas()           # 64^3 rows, whatever the corpus
     table = np.zeros(GRAMS, np.float32)
     table[rows["gram"].to_numpy()] = -np.log(rows["p"].to_numpy())
-    shared = model.sparkSession.sparkContext.broadcast(table)
+    return model.sparkSession.sparkContext.broadcast(table)
+
+
+def scorer(model: DataFrame):
+    """A column function: text to log perplexity in nats a character (NULL: no characters)."""
+    shared = _losses(model)
 
     @F.pandas_udf(T.DoubleType())
     def log_perplexity(texts: pd.Series) -> pd.Series:
@@ -172,30 +193,228 @@ def scorer(model: DataFrame):
     return log_perplexity
 
 
-def _fence(histogram: DataFrame, by: list[str]) -> DataFrame:
-    """The rejection threshold from (bin, n) by group: quantiles are bins, read off running sums."""
+def word_rows(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, spelling loss and text of each word. `table`: -log p of the character trigrams."""
+    size = np.array([len(t) for t in texts], np.int64)
+    begin = np.cumsum(size + 1) - size + 1
+    points = np.frombuffer(("  " + "\n".join(texts) + " ").encode("utf-32-le", "surrogatepass"), np.uint32)
+    inside = ~((points == 32) | ((points >= 9) & (points <= 13)))
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    start, end = edges[::2], edges[1::2]
+    if not len(start):
+        return np.zeros(0, np.uint64), np.zeros(0), np.zeros(0, np.int64)
+    symbol = np.where(points < 128, ALPHABET[np.minimum(points, 127)], _OTHER_ASCII + 1 + points % 6).astype(np.int32)
+    symbol[~inside] = 52
+    # spelled after two blanks, and to the blank behind it
+    before = np.where(inside[1:-1], symbol[:-2], 52)
+    loss = table[(before * SYMBOLS + symbol[1:-1]) * SYMBOLS + symbol[2:]]
+    loss = np.concatenate((np.zeros(2, np.float32), loss))
+    spelled = inside.copy()
+    spelled[end] = True
+    spelling = np.add.reduceat(np.where(spelled, loss, np.float32(0)), start, dtype=np.float64)
+    # sum of character * BASE^(place in the word), from running sums
+    power = np.full(len(points) + 1, BASE, np.uint64)
+    power[0] = 1
+    np.cumprod(power, out=power)
+    total = np.zeros(len(points) + 1, np.uint64)
+    np.cumsum((points.astype(np.uint64) + np.uint64(1)) * power[:-1], out=total[1:])
+    inverse = np.full(len(points) + 1, pow(BASE, -1, 1 << 64), np.uint64)
+    inverse[0] = 1
+    np.cumprod(inverse, out=inverse)
+    h = (total[end] - total[start]) * inverse[start]
+    for shift in (29, 32):
+        h = (h ^ (h >> np.uint64(shift))) * np.uint64(BASE) + (end - start).astype(np.uint64)
+    return h ^ (h >> np.uint64(31)), spelling, np.searchsorted(begin, start, side="right") - 1
+
+
+def word_pairs(words: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Context, word and text of each pair: all words, then the ends of the texts."""
+    first = np.concatenate(([True], doc[1:] != doc[:-1]))[:len(doc)]
+    last = np.concatenate((doc[1:] != doc[:-1], [True]))[-len(doc):] if len(doc) else first
+    before = np.where(first, FIRST, np.concatenate((words[:1], words[:-1])))
+    return (np.concatenate((before, words[last])), np.concatenate((words, np.full(last.sum(), LAST))),
+            np.concatenate((doc, doc[last])))
+
+
+def pair_key(h: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return ((h << np.uint64(21)) | (h >> np.uint64(43))) ^ w
+
+
+def repetition(words: np.ndarray, doc: np.ndarray, texts: int) -> np.ndarray:
+    """Of each text: pairs seen before in their block, by pairs and PRIOR_PAIRS."""
+    within = np.flatnonzero(doc[1:] == doc[:-1])
+    of = doc[1:][within]
+    place = np.arange(len(of)) - np.searchsorted(of, of)
+    block = (of.astype(np.uint64) << np.uint64(32)) + (place // BLOCK).astype(np.uint64)
+    keys = pair_key(words[:-1][within], words[1:][within]) ^ ((block + np.uint64(1)) * np.uint64(BASE))
+    _, at = np.unique(keys, return_index=True)
+    pairs = np.bincount(of, minlength=texts)
+    return (pairs - np.bincount(of[at], minlength=texts)) / (pairs + PRIOR_PAIRS)
+
+
+def word_model(texts: DataFrame, shared) -> tuple[DataFrame, float]:
+    """(key, value, n) of words and seen pairs, and -log of the unigrams' back-off weight.
+
+    The loss of a text is, over its pairs, the spelling loss and that weight, and
+    the values of the pair and of its words; keys that are not here have value 0.
+    """
+    def count(batches):
+        for batch in batches:
+            for part in chunks([t for t in batch.iloc[:, 0].tolist() if t]):
+                words, spelling, doc = word_rows(part, shared.value)
+                h, w, _ = word_pairs(words, doc)
+                spelling = np.concatenate((spelling, np.full(len(h) - len(words), np.log(SYMBOLS))))
+                _, at, n = np.unique(pair_key(h, w), return_index=True, return_counts=True)
+                yield pd.DataFrame({"h": h[at].view(np.int64), "w": w[at].view(np.int64), "n": n, "spelling": spelling[at]})
+
+    pairs = materialise(texts.mapInPandas(count, "h long, w long, n long, spelling double")
+                        .groupBy("h", "w").agg(F.sum("n").alias("n"), F.min("spelling").alias("spelling")), "kn-pairs")
+    ones = materialise(pairs.groupBy("w").agg(F.count(F.lit(1)).alias("n"), F.min("spelling").alias("spelling")), "kn-words")
+    discounted = ones.withColumn("d", _discounts(ones))
+    all_ = discounted.agg(F.sum("n").alias("total"), F.sum("d").alias("mass")).first()
+    back = all_["mass"] / all_["total"] if all_["total"] else 1.0
+    one = materialise(discounted.select("w", "n", "spelling", (
+        (F.col("n") - F.col("d")) / F.lit(float(all_["total"] or 1)) + back * F.exp(-F.col("spelling"))).alias("p")), "kn-words")
+    kept = pairs.withColumn("d", _discounts(pairs))
+    ctx = materialise(kept.groupBy("h").agg(F.sum("n").alias("total"), (F.sum("d") / F.sum("n")).alias("back")), "kn-contexts")
+    words = one.join(ctx, one["w"] == ctx["h"], "full").select(
+        F.coalesce("w", "h").alias("key"),
+        (F.coalesce(-F.log("p") - F.col("spelling") + float(np.log(back)), F.lit(0.0))
+         + F.coalesce(-F.log("back"), F.lit(0.0))).cast("float").alias("value"), F.coalesce("total", "n").alias("n"))
+    p = (F.col("n") - F.col("d")) / F.col("total") + F.col("back") * F.col("p")
+    two = kept.select("h", "w", "n", "d").join(ctx, "h").join(one.select("w", "p"), "w").select(
+        F.shiftleft("h", 21).bitwiseOR(F.shiftrightunsigned("h", 43)).bitwiseXOR(F.col("w")).alias("key"),
+        (-F.log(p) + F.log("back") + F.log("p")).cast("float").alias("value"), "n")
+    return materialise(words.union(two), "kn-model"), float(-np.log(back))
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """Bytes of equal weight stand together, so that those that are 0 compress."""
+    return np.ascontiguousarray(numbers.view(np.uint8).reshape(len(numbers), -1).T).tobytes()
+
+
+def _numbers(data: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def _lookup(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of the wanted keys (0: not there), and which are there. `keys` are in order."""
+    if not len(keys):
+        return np.zeros(len(wanted)), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    there = keys[at] == wanted
+    return np.where(there, values[at], 0.0), there
+
+
+def text_scores(texts: DataFrame, model: DataFrame, weight: float, shared) -> DataFrame:
+    """(digest, score, repetition) of each distinct text with words; `texts` has text and digest."""
+    spark = texts.sparkSession
+    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    shards = 1 + chars // SHARD_CHARS
+    top = model.orderBy(F.desc("n"), "key").limit(HOT).select("key", "value").toPandas().sort_values("key")
+    hot = spark.sparkContext.broadcast((top["key"].to_numpy(np.int64), top["value"].to_numpy(np.float64)))
+
+    def parts(batches):
+        for batch in batches:
+            rows = [(t, d) for t, d in zip(batch["text"], batch["digest"]) if t]
+            digest = {id(t): d for t, d in rows}
+            for part in chunks([t for t, _ in rows]):
+                words, spelling, doc = word_rows(part, shared.value)
+                yield part, np.array([digest[id(t)] for t in part], np.int64), words, spelling, doc
+
+    def local(batches):
+        """The part of the loss that needs no shard."""
+        for part, digests, words, spelling, doc in parts(batches):
+            n = np.bincount(doc, minlength=len(part))
+            h, w, of = word_pairs(words, doc)
+            near = np.concatenate([_lookup(*hot.value, k.view(np.int64))[0] for k in (w, pair_key(h, w))])
+            near = np.bincount(np.concatenate((of, of)), near, minlength=len(part))
+            near += _lookup(*hot.value, np.array([FIRST]).view(np.int64))[0] * (n > 0)
+            loss = np.bincount(doc, spelling, minlength=len(part)) + np.log(SYMBOLS) + (n + 1) * weight + near
+            yield pd.DataFrame({"digest": digests, "loss": loss, "words": n, "repetition": repetition(words, doc, len(part))})[n > 0]
+
+    def pack(batches):
+        for part, digests, words, _, doc in parts(batches):
+            h, w, of = word_pairs(words, doc)
+            firsts = np.unique(doc)
+            keys = np.concatenate((w, pair_key(h, w), np.full(len(firsts), FIRST))).view(np.int64)
+            of = np.concatenate((of, of, firsts))
+            far = ~_lookup(*hot.value, keys)[1]
+            keys, of = keys[far], of[far]
+            shard = keys % shards
+            stored = keys.view(np.uint64) >> np.uint64(16)
+            order = np.lexsort((of, stored, shard))
+            shard, stored, of = shard[order], stored[order], of[order]
+            new = np.flatnonzero(np.concatenate(([True], (shard[1:] != shard[:-1]) | (stored[1:] != stored[:-1]) | (of[1:] != of[:-1])))[:len(of)])
+            times = np.diff(np.append(new, len(of)))
+            shard, stored, of = shard[new], stored[new], of[new]
+            cut = np.searchsorted(shard, np.arange(shards + 1))
+            out = []
+            for k in np.flatnonzero(np.diff(cut)).tolist():
+                here = slice(cut[k], cut[k + 1])
+                docs, row = np.unique(of[here], return_inverse=True)
+                out.append((k, digests[docs].tobytes(), _planes(np.diff(stored[here], prepend=np.uint64(0))),
+                            _planes(row.astype(np.uint32)), _planes(times[here].astype(np.uint32))))
+            yield pd.DataFrame(out, columns=["shard", "digests", "keys", "rows", "times"])
+
+    def join(texts_here, model_here):
+        keys = model_here["key"].to_numpy(np.int64).view(np.uint64) >> np.uint64(16)
+        order = np.argsort(keys)
+        keys, values = keys[order], model_here["value"].to_numpy(np.float64)[order]
+        ids, sums = [np.zeros(0, np.int64)], [np.zeros(0)]
+        for digests, packed, rows, times in zip(*(texts_here[c] for c in ("digests", "keys", "rows", "times"))):
+            value, there = _lookup(keys, values, np.cumsum(_numbers(packed, np.uint64), dtype=np.uint64))
+            ids.append(np.frombuffer(digests, np.int64))
+            sums.append(np.bincount(_numbers(rows, np.uint32), value * _numbers(times, np.uint32), minlength=len(ids[-1])))
+        ids, sums = np.concatenate(ids), np.concatenate(sums)
+        return pd.DataFrame({"digest": ids, "loss": sums})[sums != 0]
+
+    near = texts.select("text", "digest").mapInPandas(local, "digest long, loss double, words long, repetition double")
+    far = (texts.select("text", "digest").mapInPandas(pack, "shard long, digests binary, keys binary, rows binary, times binary").groupBy("shard")
+           .cogroup(model.select(F.pmod("key", F.lit(shards)).alias("shard"), "key", "value").groupBy("shard"))
+           .applyInPandas(join, "digest long, loss double"))
+    # equal texts come together, each as often in one table as in the other
+    near = near.withColumn("copies", F.lit(1)).unionByName(far.withColumn("copies", F.lit(0)), allowMissingColumns=True)
+    return near.groupBy("digest").agg((F.sum("loss") / F.sum("copies")).alias("loss"), F.max("words").alias("words"),
+                                      F.max("repetition").alias("repetition"))
+
+
+def _limit(histogram: DataFrame, by: list[str], q: float) -> DataFrame:
+    """The quantile from (bin, n) by group, read off running sums: the upper end of its bin.
+
+    Fewer than 1 / (1 - q) rows do not reach so far: there it is the largest value, or the
+    quantile of the exponential tail that the excesses over q75 have, if that is more.
+    """
     upto = F.sum("n").over(W.partitionBy(*by).orderBy("bin"))
     whole = F.sum("n").over(W.partitionBy(*by))
     placed = histogram.withColumn("upto", upto).withColumn("whole", whole)
-
-    def quantile(q):
-        return F.min(F.when(F.col("upto") >= F.col("whole") * q, F.col("bin")))
-
-    return placed.groupBy(*by).agg(quantile(0.5).alias("q50"), quantile(0.75).alias("q75"), F.max("whole").alias("docs")).select(
-        *by, "docs", (F.col("q50") / GRID).alias("median"),
-        ((F.col("q75") + FENCE * (F.col("q75") - F.col("q50") + 1)) / GRID).alias("threshold"))
-
-
-def thresholds(trusted: DataFrame, min_trusted: int = MIN_TRUSTED) -> tuple[DataFrame, dict]:
-    """From (lang, score) of trusted documents: (at, median, threshold) by language, and those of all."""
-    bins = trusted.filter("score is not null").groupBy("lang", F.floor(F.col("score") * GRID).alias("bin")).agg(
-        F.count(F.lit(1)).alias("n"))
-    bins = materialise(bins, "kn-bins")
-    every = bins.groupBy("bin").agg(F.sum("n").alias("n")).withColumn("all", F.lit(1))
-    overall = _fence(every, ["all"]).first()
-    by = materialise(_fence(bins, ["lang"]).filter(F.col("docs") >= min_trusted)
-                     .select(F.col("lang").alias("at"), "median", "threshold"), "kn-thresholds")
-    return by, {k: overall and overall[k] for k in ("median", "threshold")}
+    high = F.min(F.when(F.col("upto") >= F.col("whole") * 0.75, F.col("bin"))).over(W.partitionBy(*by))
+    placed = placed.withColumn("q75", high)
+    over = F.greatest(F.col("bin") - F.col("q75"), F.lit(0)) * F.col("n")
+    beyond = F.sum(F.when(F.col("bin") > F.col("q75"), F.col("n")))
+    tail = F.first("q75") + F.coalesce(F.sum(over) / beyond, F.lit(0.0)) * float(np.log(0.25 / (1 - q)))
+    plain = F.min(F.when(F.col("upto") >= F.col("whole") * q, F.col("bin")))
+    docs = F.max("whole")
+    return placed.groupBy(*by).agg(
+        ((F.when((docs * (1 - q) < 1) & F.lit(q > 0.75), F.greatest(plain, tail)).otherwise(plain) + 1) / GRID).alias("limit"),
+        docs.alias("docs"))
+
+
+def _quantile(values: DataFrame, name: str, q: float, min_trusted: int) -> tuple[DataFrame, float | None]:
+    """From (lang, value): (at, `name`) of each language with enough rows, and the quantile of all."""
+    bins = materialise(values.filter("value is not null").groupBy("lang", F.floor(F.col("value") * GRID).alias("bin"))
+                       .agg(F.count(F.lit(1)).alias("n")), "kn-bins")
+    every = _limit(bins.groupBy("bin").agg(F.sum("n").alias("n")).withColumn("all", F.lit(1)), ["all"], q).first()
+    by = materialise(_limit(bins, ["lang"], q).filter(F.col("docs") >= min_trusted)
+                     .select(F.col("lang").alias("at"), F.col("limit").alias(name)), "kn-thresholds")
+    return by, every and every["limit"]
+
+
+def _with(df: DataFrame, limits: tuple[DataFrame, float | None], name: str) -> DataFrame:
+    by, overall = limits
+    return df.join(by, df["lang"].eqNullSafe(by["at"]), "left").drop("at").withColumn(
+        name, F.coalesce(F.col(name), F.lit(overall).cast("double")))
 
 
 def trusted_rows(docs: DataFrame, labels: DataFrame, id_col: str, label_id_col: str, quality_col: str) -> DataFrame:
@@ -204,40 +423,51 @@ def trusted_rows(docs: DataFrame, labels: DataFrame, id_col: str, label_id_col:
     return docs.join(good, docs[id_col] == good["kn_label"], "left_semi")
 
 
-def score(docs: DataFrame, labels: DataFrame, *, id_col="doc_id", text_col="text", lang_col="lang",
-          label_id_col="doc_id", quality_col="quality"):
-    """The scoring function, a table of (doc_id, lang, chars, score), and the thresholds."""
-    narrow = docs.select(docs[id_col].alias("doc_id"), docs[lang_col].alias("lang"), docs[text_col].alias("text"))
-    trusted = trusted_rows(narrow.select("doc_id", "text"), labels, "doc_id", label_id_col, quality_col)
-    fn = scorer(train(trusted.select("text")))
-    scored = materialise(narrow.select("doc_id", "lang", F.length("text").alias("chars"), fn("text").alias("score")), "kn-scores")
-    by, overall = thresholds(trusted_rows(scored, labels, "doc_id", label_id_col, quality_col))
-    return fn, scored, by, overall
+def digest_of(text: Column) -> Column:
+    return F.xxhash64(text)
+
+
+def held_out(digest: Column) -> Column:
+    return F.pmod(digest, F.lit(HELD_OUT)) == 0
+
+
+def _shrunk() -> Column:
+    return F.col("median") + (F.col("score") - F.col("median")) * F.col("chars") / (F.col("chars") + PRIOR_CHARS)
 
 
-def _good(value: Column, chars: Column, median: Column, limit: Column) -> Column:
-    shrunk = median + (value - median) * chars / (chars + PRIOR_CHARS)
-    return F.coalesce(shrunk <= limit, F.lit(True))
+def verdicts(docs: DataFrame, labels: DataFrame, *, id_col="doc_id", text_col="text", lang_col="lang",
+             label_id_col="doc_id", quality_col="quality", min_trusted: int = MIN_TRUSTED) -> DataFrame:
+    """doc_id, lang, digest, score, threshold (log), repetition, kept of each row."""
+    narrow = docs.select(docs[id_col].alias("doc_id"), docs[lang_col].alias("lang"), docs[text_col].alias("text"),
+                         digest_of(docs[text_col]).alias("digest"))
+    trusted = trusted_rows(narrow.select("doc_id", "text", "digest"), labels, "doc_id", label_id_col, quality_col)
+    counted = trusted.filter(~held_out(F.col("digest"))).select("text")
+    shared = _losses(train(counted))
+    model, weight = word_model(counted, shared)
+    scores = text_scores(narrow.select("text", "digest"), model, weight, shared)
+    rows = narrow.select("doc_id", "lang", "digest", F.length("text").alias("chars"), F.length(
+        F.regexp_replace("text", r"[\x20\x09-\x0D]+", "")).alias("letters"))
+    scored = materialise(rows.join(scores, "digest", "left").withColumn(
+        "score", F.col("loss") / (F.col("letters") + F.col("words") + 1)).drop("loss"), "kn-scores")
+    good = trusted_rows(scored, labels, "doc_id", label_id_col, quality_col)
+    left = good.filter(held_out(F.col("digest")))
+    median = _quantile(left.select("lang", F.col("score").alias("value")), "median", 0.5, min_trusted)
+    limit = _quantile(_with(left, median, "median").select("lang", _shrunk().alias("value")), "threshold", QUANTILE, min_trusted)
+    repeated = _quantile(good.select("lang", F.col("repetition").alias("value")), "repeated", QUANTILE, min_trusted)
+    judged = _with(_with(_with(scored, median, "median"), limit, "threshold"), repeated, "repeated")
+    return judged.withColumn("kept", F.coalesce(_shrunk() <= F.col("threshold"), F.lit(True))
+                             & F.coalesce(F.col("repetition") <= F.col("repeated"), F.lit(True)))
 
 
 def classify(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """One row per document: doc_id, lang, perplexity, threshold (as perplexity), kept."""
-    _, scored, by, overall = score(docs, labels, **options)
-    median, limit = (F.coalesce(by[k], F.lit(overall[k]).cast("double")) for k in ("median", "threshold"))
-    return scored.join(by, scored["lang"].eqNullSafe(by["at"]), "left").select(
-        "doc_id", "lang", F.exp("score").alias("perplexity"), F.exp(limit).alias("threshold"),
-        _good(F.col("score"), F.col("chars"), median, limit).alias("kept"))
+    return verdicts(docs, labels, **options).select(
+        "doc_id", "lang", F.exp("score").alias("perplexity"), F.exp("threshold").alias("threshold"), "kept")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The documents that are not rejected, with their own columns. The texts are scored where they are."""
-    fn, _, by, overall = score(docs, labels, **options)
+    """The documents that are not rejected, with their own columns."""
     lang, text = options.get("lang_col", "lang"), options.get("text_col", "text")
-    value = fresh(docs, "kn_score")
-    scored = docs.withColumn(value, fn(docs[text]))
-    renamed = {c: fresh(scored, f"kn_{c}") for c in by.columns}
-    by = by.withColumnsRenamed(renamed)
-    median, limit = (F.coalesce(by[renamed[k]], F.lit(overall[k]).cast("double")) for k in ("median", "threshold"))
-    joined = scored.join(by, scored[lang].eqNullSafe(by[renamed["at"]]), "left")
-    return joined.filter(_good(scored[value], F.length(scored[text]), median, limit)).select(
-        *[scored[c] for c in docs.columns])
+    bad = verdicts(docs, labels, **options).filter("not kept").select(F.col("lang").alias("kn_lang"), F.col("digest").alias("kn_digest")).distinct()
+    bad = materialise(bad, "kn-rejected").hint("shuffle_hash")        # the texts are not sorted
+    return docs.join(bad, docs[lang].eqNullSafe(bad["kn_lang"]) & (digest_of(docs[text]) == bad["kn_digest"]), "left_anti")

@@ -120,3 +120,71 @@ def test_no_trusted_text_and_empty(spark):
     assert all(r.kept for r in got) and {round(r.perplexity) for r in got if r.perplexity} == {64}
     assert quality_lm.classify(no_documents(spark), none).count() == 0
     assert quality_lm.keep_good(no_documents(spark), none).count() == 0
+
+
+def plain_word_loss(texts, p, text):
+    """Loss of a text per spelled symbol: word pairs, then words, then spelling; `p` spells."""
+    def spell(w):
+        s = symbols(f"  {w} ")
+        return math.prod(p(*g) for g in zip(s, s[1:], s[2:])) if w else 1 / 64
+
+    ends = lambda t: [None, *t.split(), ""]
+    two = collections.Counter(g for t in texts if t.split() for g in zip(ends(t), ends(t)[1:]))
+    one = collections.Counter(w for _, w in two)
+
+    def discount(counts):
+        n = [0] + [sum(v == k for v in counts.values()) for k in (1, 2, 3, 4)]
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] else 0.5
+        d = [1 - 2 * y * n[2] / n[1] if n[1] else 0.5, 2 - 3 * y * n[3] / n[2] if n[2] else 1.0,
+             3 - 4 * y * n[4] / n[3] if n[3] else 1.5]
+        return lambda v: [min(max(x, 0.1), k - 0.05) for x, k in zip(d, (1, 2, 3))][min(v, 3) - 1] if v else 0
+
+    d1, d2 = discount(one), discount(two)
+
+    def word(w):
+        return (one[w] - d1(one[w])) / len(two) + sum(map(d1, one.values())) / len(two) * spell(w)
+
+    def pair(h, w):
+        seen = [n for (a, _), n in two.items() if a == h]
+        if not seen:
+            return word(w)
+        return (two[h, w] - d2(two[h, w])) / sum(seen) + sum(map(d2, seen)) / sum(seen) * word(w)
+
+    ws = ends(text)
+    return -sum(math.log(pair(*g)) for g in zip(ws, ws[1:])) / sum(len(w) + 1 for w in ws[1:])
+
+
+def test_words_against_a_plain_model(spark, monkeypatch):
+    """Also with many shards and few hot keys; equal texts, one of them in another batch."""
+    monkeypatch.setattr(quality_lm, "SHARD_CHARS", 16)
+    monkeypatch.setattr(quality_lm, "HOT", 5)
+    texts = ["the cat sat on the mat.", "the  cat, of course!", "the cat sat\n", "Ünder the 12 trees the cat", "aaa bbb aaa bbb"]
+    more = ["the cat sat on the trees", "zzz", "the cat sat\n", "the cat sat\n", "mat. aaa the the the"]
+    spark_texts = spark.createDataFrame([(t,) for t in texts], "text string").repartition(2)
+    shared = quality_lm._losses(quality_lm.train(spark_texts))
+    model, weight = quality_lm.word_model(spark_texts, shared)
+    docs = spark.createDataFrame([(t,) for t in texts + more + ["", " \n"]] + [(None,)], "text string").repartition(3)
+    docs = docs.withColumn("digest", quality_lm.digest_of(docs["text"]))
+    got = {r.text: r for r in docs.distinct().join(quality_lm.text_scores(docs, model, weight, shared), "digest").collect()}
+    assert set(got) == set(texts + more)
+    p = plain_model(texts)
+    for t, r in got.items():
+        assert r.loss / sum(len(w) + 1 for w in [*t.split(), ""]) == pytest.approx(plain_word_loss(texts, p, t), rel=1e-4), t
+
+
+def test_the_model_knows_words(spark):
+    """The same letters in words and pairs that trusted text has, and in others: only words tell them apart."""
+    rows = [(i, "one two six ten " * 5 + str(i), "en") for i in range(100)]
+    rows += [(500, "one two six ten", "en"), (501, "ten six two one", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(100)], LABELS)
+    got = {r.doc_id: r.perplexity for r in quality_lm.classify(docs, labels).collect()}
+    assert got[501] > 1.5 * got[500]
+
+
+def test_repeated_words_go(spark):
+    docs, labels = spark.read.parquet(f"{MEDIUM}/documents.parquet"), spark.read.parquet(f"{MEDIUM}/labels.parquet")
+    got = {r.doc_id: r.kept for r in quality_lm.classify(docs, labels).collect()}
+    texts = {r.doc_id: r.text.split() for r in docs.join(labels.filter("quality = 0"), "doc_id").collect()}
+    dull = [i for i, t in texts.items() if len(t) >= 20 and len(set(t)) < 0.2 * len(t)]
+    assert dull and not any(got[i] for i in dull)
