@@ -8,10 +8,11 @@ class, id and role) give no lines.
 
 Of the remaining lines the text-to-tag ratios are smoothed with a Gaussian and
 split into two clusters at the threshold of least variance. The lines above it
-mark the content. The content region is the innermost container that holds
-nearly all marked text: an article or main element whole, in any other container
-the lines from the first to the last marked one. Within the region no line is
-dropped, however short.
+mark the content; lines that are half links are never marked. The content region
+is an article or main element that holds nearly all marked text, whole, or else
+the innermost container that holds all of it. There the lines from the first to
+the last marked one are kept, and those before and after up to the first line
+that is half links. In between no line is dropped, however short.
 
 Defined results
 - NULL, empty or textless page: empty text.
@@ -51,15 +52,16 @@ navigation newsletter notice notices notification pagination pager popup promo p
 sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget""".split())
 HINTED = frozenset("a b center dd details div dl dt figure li ol p section span strong table tbody td tr ul".split())
 CLOSED_BY_BLOCK = frozenset(("p",))
+LINKED = 0.5               # of a line's or element's text, from which on it is furniture
 SIGMA = 1.0
 RADIUS = 2
-SHARE = 0.9                # of the marked text that the region's container holds
+SHARE = 0.9                # of the marked text that an article or main element holds
 
 _WORD = re.compile(r"[a-z]+")
 
 
 class Lines(HTMLParser):
-    """Collects (text, tags, containers) of the lines of a page."""
+    """Collects (text, tags, containers, linked characters) of the lines of a page."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -69,14 +71,17 @@ class Lines(HTMLParser):
         self.kinds: list[str] = []
         self.pieces: list[str] = []
         self.tags = 0
-        self.found: list[tuple[str, int, tuple[int, ...]]] = []
+        self.link = False
+        self.linked = 0
+        self.found: list[tuple[str, int, tuple[int, ...], int]] = []
 
     def flush(self):
         text = " ".join("".join(self.pieces).split())
         self.pieces = []
         if text:
-            self.found.append((text, self.tags, self.path))
+            self.found.append((text, self.tags, self.path, self.linked))
             self.tags = 0
+        self.linked = 0
 
     def push(self, tag: str, drop: bool):
         at = -1
@@ -107,6 +112,8 @@ class Lines(HTMLParser):
             self.tags += 1
         if tag in EMPTY:
             return
+        if tag == "a":
+            self.link = True
         drop = tag in NEVER_TEXT or tag in HINTED and any(
             value and not HINTS.isdisjoint(_WORD.findall(value.lower()))
             for name, value in attrs if name in ("class", "id", "role"))
@@ -124,6 +131,8 @@ class Lines(HTMLParser):
             self.flush()
         if not self.dropped:
             self.tags += 1
+        if tag == "a":
+            self.link = False
         for back in range(len(self.open) - 1, -1, -1):
             if self.open[back][0] == tag:
                 self.flush()
@@ -134,6 +143,8 @@ class Lines(HTMLParser):
     def handle_data(self, data):
         if not self.dropped:
             self.pieces.append(data)
+            if self.link:
+                self.linked += len(" ".join(data.split()))
 
 
 def marked_lines(lengths: np.ndarray, tags: np.ndarray) -> np.ndarray:
@@ -161,26 +172,30 @@ def main_text(html: str | None) -> str:
     lines = page.found
     if not lines:
         return ""
-    lengths = np.array([len(t) for t, _, _ in lines])
-    marked = marked_lines(lengths, np.array([n for _, n, _ in lines]))
+    lengths = np.array([len(x[0]) for x in lines])
+    furniture = np.array([x[3] for x in lines]) >= LINKED * lengths
+    marked = marked_lines(lengths, np.array([x[1] for x in lines]))
+    if (marked & ~furniture).any():
+        marked &= ~furniture
     weight = np.zeros(len(page.kinds))
-    for (text, _, path), mark in zip(lines, marked):
+    for (text, _, path, _), mark in zip(lines, marked):
         if mark:
             weight[list(path)] += len(text)
     whole = lengths[marked].sum()
-    depth = max((len(p) for _, _, p in lines), default=0)
-    region = -1
-    for level in range(depth):             # inward, as long as one container holds nearly all marked text
-        inner = {p[level] for _, _, p in lines if len(p) > level and (region < 0 or level == 0 or p[level - 1] == region)}
-        best = max(inner, key=lambda c: (weight[c], -c), default=None)
-        if best is None or weight[best] < SHARE * whole:
-            break
-        region = best
-        if page.kinds[region] in WHOLE:
-            return "\n".join(t for t, _, p in lines if region in p)
-    inside = np.array([region < 0 or region in p for _, _, p in lines])
-    at = np.flatnonzero(inside & marked)
-    return "\n".join(lines[i][0] for i in range(at[0], at[-1] + 1) if inside[i])
+    best = max((c for c in range(len(page.kinds)) if page.kinds[c] in WHOLE and weight[c] >= SHARE * whole), default=-1)
+    if best >= 0:                          # an outer one, if there are several, holds it too
+        while (outer := next((c for x in lines if best in x[2] for c in x[2] if page.kinds[c] in WHOLE), best)) != best:
+            best = outer
+        return "\n".join(x[0] for x in lines if best in x[2])
+    region = max((c for c in range(len(page.kinds)) if weight[c] == whole), default=-1)   # containers are numbered inward
+    inside = [i for i, x in enumerate(lines) if region < 0 or region in x[2]]
+    at = [k for k, i in enumerate(inside) if marked[i]]
+    first, last = at[0], at[-1]
+    while first > 0 and not furniture[inside[first - 1]]:
+        first -= 1
+    while last < len(inside) - 1 and not furniture[inside[last + 1]]:
+        last += 1
+    return "\n".join(lines[i][0] for i in inside[first:last + 1])
 
 
 def extract(pages: DataFrame, *, html_col="html") -> tuple[DataFrame, str]:

@@ -65,3 +65,23 @@ def test_odd_rows(spark):
     out, name = hx.extract(df)
     assert name == "_main_text" and sorted(r[name] for r in out.collect()) == ["", "", "a", "a"]
     assert hx.page_texts(df.limit(0)).count() == 0
+
+
+def blocks(lengths):
+    return [("w%d " % i + "x" * n)[:n] for i, n in enumerate(lengths)]
+
+
+def test_edges_of_a_region_stay():
+    """Short headings and short first and last paragraphs, without article or main element."""
+    menu = "".join(f"<div><a href=/{i}>m{i}</a></div>" for i in range(12))
+    for lengths in ((20, 500, 500, 60, 40, 30), (20, 60, 60, 50, 900, 900, 900, 50, 40)):
+        lines = blocks(lengths)
+        text = "".join(f"<{t}>{x}</{t}>" for t, x in zip(["h2"] + ["p"] * len(lines), lines))
+        assert hx.main_text(f"<body>{menu}<div><div><b></b>{text}</div></div>{menu}</body>") == "\n".join(lines)
+        assert hx.main_text(f"<body>{menu}{text}{menu}</body>") == "\n".join(lines)
+
+
+def test_text_of_a_sibling_container_stays():
+    one, two = [f"<p>{LONG * 4}</p>" * 12, f"<p>{LONG * 4}</p>"]
+    got = hx.main_text(f"<body><ul><li><a href=/>m</a><li><a href=/>n</a></ul><div>{one}</div><div>{two}</div></body>")
+    assert got == "\n".join([LONG * 4] * 13)
