@@ -3,8 +3,10 @@
 The standard library's streaming parser turns a page into lines: one line per
 block element, with its text, the number of tags seen since the line before,
 and the containers around it. Elements that are never article text (menus,
-forms, scripts, adverts, comments and so on, by element or by the words of
-class, id and role) give no lines.
+forms, scripts, adverts, comments and so on, by element or by the names in
+class, id and role) give no lines. A name counts if all its parts are known
+('ad-box', not 'share-price'). Inside article or main an id alone drops an
+element only if half its text is links or if it holds articles of its own.
 
 Of the remaining lines the text-to-tag ratios are smoothed with a Gaussian and
 split into two clusters at the threshold of least variance. The lines above it
@@ -51,7 +53,18 @@ comments complementary consent contentinfo cookie cookies disqus footer gdpr hea
 navigation newsletter notice notices notification pagination pager popup promo promotion related replies search share
 sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget""".split())
 HINTED = frozenset("a b center dd details div dl dt figure li ol p section span strong table tbody td tr ul".split())
+# Further parts of a name such as 'ad-box' that say nothing of the content.
+PARTS = frozenset("""area articles bar block bottom box btn button buttons col column container content outer inner
+item items left link links list overlay panel post posts right row sidebar site slot stories text top unit wrap wrapper
+zone""".split())
 CLOSED_BY_BLOCK = frozenset(("p",))
+# What a start tag ends when the end tag was left out, and what it does not look beyond.
+_CELLS, _ROWS, _LISTS = ("td", "th"), ("tr", "td", "th"), ("ul", "ol", "menu", "dir")
+_GROUPS = (*_ROWS, "tbody", "thead", "tfoot")
+SIBLINGS = {"td": (_CELLS, ("table",)), "th": (_CELLS, ("table",)), "tr": (_ROWS, ("table",)),
+            "tbody": (_GROUPS, ("table",)), "thead": (_GROUPS, ("table",)), "tfoot": (_GROUPS, ("table",)),
+            "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "li": (("li",), _LISTS)}
+SCOPES = frozenset(("dl", *_LISTS))
 LINKED = 0.5               # of a line's or element's text, from which on it is furniture
 SIGMA = 1.0
 RADIUS = 2
@@ -60,12 +73,22 @@ SHARE = 0.9                # of the marked text that an article or main element
 _WORD = re.compile(r"[a-z]+")
 
 
+def hinted(value: str | None) -> bool:
+    """Whether a class, id or role has a name of what is not the article."""
+    for name in (value or "").lower().split():
+        parts = _WORD.findall(name)
+        if not HINTS.isdisjoint(parts) and all(p in HINTS or p in PARTS for p in parts):
+            return True
+    return False
+
+
 class Lines(HTMLParser):
     """Collects (text, tags, containers, linked characters) of the lines of a page."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, int]] = []     # tag, starts what is never text, container or -1
+        # tag, starts what is never text, container or -1, first line if that is in doubt or -1
+        self.open: list[tuple[str, bool, int, int]] = []
         self.dropped = 0
         self.path: tuple[int, ...] = ()
         self.kinds: list[str] = []
@@ -73,6 +96,7 @@ class Lines(HTMLParser):
         self.tags = 0
         self.link = False
         self.linked = 0
+        self.articles: list[int] = []                   # lines found when an article began
         self.found: list[tuple[str, int, tuple[int, ...], int]] = []
 
     def flush(self):
@@ -83,20 +107,37 @@ class Lines(HTMLParser):
             self.tags = 0
         self.linked = 0
 
-    def push(self, tag: str, drop: bool):
+    def push(self, tag: str, drop: bool, doubt: bool = False):
         at = -1
         if tag in CONTAINERS and not drop:
             at = len(self.kinds)
             self.kinds.append(tag)
             self.path += (at,)
-        self.open.append((tag, drop, at))
+        self.open.append((tag, drop, at, len(self.found) if doubt else -1))
         self.dropped += drop
 
     def pop(self):
-        _, drop, at = self.open.pop()
+        _, drop, at, since = self.open.pop()
         self.dropped -= drop
         if at >= 0:
             self.path = self.path[:-1]
+        if since >= 0:
+            self.flush()
+            here = self.found[since:]
+            own = any(a >= since for a in self.articles)
+            if own or sum(x[3] for x in here) >= LINKED * sum(len(x[0]) for x in here):
+                del self.found[since:]
+
+    def close_siblings(self, tag: str):
+        closes, scope = SIBLINGS[tag]
+        to = len(self.open)
+        for back in range(len(self.open) - 1, -1, -1):
+            if self.open[back][0] in scope:
+                break
+            if self.open[back][0] in closes:
+                to = back
+        while len(self.open) > to:
+            self.pop()
 
     def handle_starttag(self, tag, attrs):
         block = tag in BLOCKS
@@ -104,8 +145,8 @@ class Lines(HTMLParser):
             self.flush()
             while self.open and self.open[-1][0] in CLOSED_BY_BLOCK:
                 self.pop()
-            if tag == "li" and self.open and self.open[-1][0] == "li":
-                self.pop()
+            if tag in SIBLINGS:
+                self.close_siblings(tag)
         elif tag == "br":
             self.pieces.append(" ")
         if not self.dropped:
@@ -114,12 +155,14 @@ class Lines(HTMLParser):
             return
         if tag == "a":
             self.link = True
-        drop = tag in NEVER_TEXT or tag in HINTED and any(
-            value and not HINTS.isdisjoint(_WORD.findall(value.lower()))
-            for name, value in attrs if name in ("class", "id", "role"))
-        if drop or tag in CONTAINERS:
+        names = {name for name, value in attrs if name in ("class", "id", "role") and hinted(value)} if tag in HINTED else ()
+        doubt = not self.dropped and names == {"id"} and any(self.kinds[c] in WHOLE for c in self.path)
+        drop = tag in NEVER_TEXT or bool(names) and not doubt
+        if drop or doubt or tag in CONTAINERS or tag in SCOPES:
             self.flush()
-            self.push(tag, drop)
+            if tag == "article" and not self.dropped:
+                self.articles.append(len(self.found))
+            self.push(tag, drop, doubt)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)

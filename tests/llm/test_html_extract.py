@@ -85,3 +85,22 @@ def test_text_of_a_sibling_container_stays():
     one, two = [f"<p>{LONG * 4}</p>" * 12, f"<p>{LONG * 4}</p>"]
     got = hx.main_text(f"<body><ul><li><a href=/>m</a><li><a href=/>n</a></ul><div>{one}</div><div>{two}</div></body>")
     assert got == "\n".join([LONG * 4] * 13)
+
+
+def test_names_that_hold_a_hint():
+    kept = ["<section id='related-work'>", "<div id='search-algorithms'>", "<p class='share-price'>",
+            "<section id='social-history'>", "<div class='section-header'>", "<section id=related>"]
+    for start in kept:
+        end = start[1:].split()[0]
+        for outer in ("article", "main", "div"):
+            if start.endswith("id=related>") and outer == "div":
+                continue
+            assert hx.main_text(f"<{outer}><p>{LONG}</p>{start}{LONG}</{end}></{outer}>") == f"{LONG}\n{LONG}", (start, outer)
+    for gone in ("<div class='ad-box'>", "<div class='x related'>", "<div class='share-buttons'>", "<div id=sidebar><a href=/>"):
+        assert hx.main_text(f"<article><p>{LONG}</p>{gone}Gone</a></div></article>") == LONG, gone
+
+
+def test_end_tags_left_out():
+    table = "<article><table><tr class=ad><td>gone<tr><td>a<td class=sidebar>gone<td>b</table><dl><dt class=ad>gone<dd>c<dt>d<dd class=ad>gone</dl>"
+    assert hx.main_text(table + "<ul><li class=ad>gone<ul><li>gone</ul><li>e</ul></article>") == "a\nb\nc\nd\ne"
+    assert hx.main_text("<article><table><tr><td class=ad><table><tr><td>gone<td>gone</table>gone<td>a</table></article>") == "a"
