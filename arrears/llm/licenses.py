@@ -4,7 +4,12 @@ A text is brought to a canonical form: A-Z lowered, copyright lines taken out,
 every run of ASCII characters other than letters and digits made one space, and
 equivalent spellings made one. The digest of the whole canonical text is joined
 with the digests of known licences. The units looked up are the whole document
-and each of its lines, so that a licence notice inside other text is found too.
+and, for notices inside other text, each of its lines and its blocks (what lines
+without letters and digits separate): a known text is found where all its blocks
+follow one another, or where it is one block. Blocks of a document that is known
+as a whole are not listed. Of MIT, ISC, BSD, Apache-2.0, GPL, MPL-2.0 and CC0
+the entire texts are known, with and without title, from `license_texts`; of the
+other Creative Commons licences only notices.
 
 The known texts are a table; Spark broadcasts its digests while they are small.
 The document texts are not shuffled: only line digests that match travel.
@@ -19,6 +24,8 @@ Defined results
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +34,7 @@ from arrears.llm.common import ascii_lower, materialise
 # What starts a copyright line, and equivalent spellings.
 COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
 PUNCTUATION = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BETWEEN_BLOCKS = r"\n[\x00-\x2F\x3A-\x60\x7B-\x7F]*\n"
 SPELLINGS = (
     ("acknowledgement", "acknowledgment"), ("analogue", "analog"), ("authorisation", "authorization"),
     ("authorised", "authorized"), ("cancelled", "canceled"), ("favour", "favor"), ("fulfil ", "fulfill "),
@@ -79,14 +87,47 @@ KNOWN = (
 )
 
 
-def canonical(text: Column) -> Column:
-    text = F.regexp_replace(ascii_lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, "\n")
+# Titles that the texts are published under. The other files of `license_texts` begin with theirs.
+TITLES = {
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "Simplified BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", "New BSD License"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"),
+}
+END = "END OF TERMS AND CONDITIONS"          # what follows tells how to apply the licence
+
+
+def full_texts() -> list[tuple[str, str]]:
+    """(license, text) of entire licences, as they are found: with or without title and appendix."""
+    given = [(i, t.replace("\n", "\n\n")) for i, t in KNOWN if "\n" in t]
+    given += [(p.stem, p.read_text()) for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))]
+    out = []
+    for name, text in given:
+        terms, end, _ = text.partition(END)
+        texts = [text, terms + end, terms] if end else [text]
+        if name in TITLES:
+            texts += [f"{title}\n\n{text}" for title in TITLES[name]]
+        else:                                # the first block is the title
+            texts += [t.strip().split("\n\n", 1)[1] for t in texts]
+        out += [(name, t) for t in texts]
+    return out
+
+
+def _without_copyright(text: Column) -> Column:
+    return F.regexp_replace(ascii_lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, "\n")
+
+
+def _spelled(text: Column) -> Column:
     text = F.regexp_replace(text, PUNCTUATION, " ")
     for one, other in SPELLINGS:
         text = F.replace(text, F.lit(one), F.lit(other))
     return F.trim(text)
 
 
+def canonical(text: Column) -> Column:
+    return _spelled(_without_copyright(text))
+
+
 def digest(text: Column) -> Column:
     return F.sha2(canonical(text).cast("binary"), 256)
 
@@ -95,22 +136,46 @@ NOTHING = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"   #
 
 
 def known_licenses(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(KNOWN), "license string, text string")
+    return spark.createDataFrame([*KNOWN, *full_texts()], "license string, text string")
+
+
+def blocks(df: DataFrame, *columns) -> DataFrame:
+    """`columns` of `df` with each block of its text: place (`block`) and digest (`known`)."""
+    found = df.select(*columns, F.posexplode(F.split(_without_copyright(F.col("text")), BETWEEN_BLOCKS)).alias("block", "part"))
+    return found.select(*columns, "block", F.sha2(_spelled(F.col("part")).cast("binary"), 256).alias("known")).filter(
+        F.col("known") != NOTHING)
 
 
 def scan(docs: DataFrame, known: DataFrame, *, id_col="doc_id", text_col="text") -> DataFrame:
-    """One row per document: doc_id, text_digest, license (of the whole text), notices (of lines), n_notice_lines."""
+    """One row per document: doc_id, text_digest, license (of the whole text), notices (of lines and blocks), n_notice_lines."""
+    texts = known.filter(digest(F.col("text")) != NOTHING).select("license", "text", digest(F.col("text")).alias("of"))
+    parts = blocks(texts, "license", "of").unionByName(texts.select("license", "of", F.lit(0).alias("block"), F.col("of").alias("known")))
+    # a text as one block is another arrangement than its blocks
+    parts = parts.withColumn("arranged", F.col("known") == F.col("of")).distinct()
+    first = parts.groupBy("license", "of", "arranged").agg(F.min("block").alias("first"), F.count(F.lit(1)).alias("n_blocks"))
+    parts = materialise(parts.join(first, ["license", "of", "arranged"]), "license-blocks")
     known = materialise(known.select(digest(F.col("text")).alias("known"), "license").filter(F.col("known") != NOTHING)
                         .groupBy("known").agg(F.min("license").alias("license")), "license-known")
     docs = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     whole = docs.select("doc_id", digest(F.col("text")).alias("text_digest"), F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("raw"))
     lines = docs.select("doc_id", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("raw"),
                         F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    found = (lines.withColumn("known", digest(F.col("line"))).join(known, "known")
-             .groupBy(F.col("doc_id").alias("m_id"), F.col("raw").alias("m_raw"))
-             .agg(F.array_join(F.sort_array(F.collect_set("license")), ",").alias("notices"),
+    hits = lines.withColumn("known", digest(F.col("line"))).join(known, "known").select("doc_id", "raw", "at", "license")
+    marked = docs.withColumn("raw", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    placed = parts.withColumnRenamed("block", "part_block")
+    runs = (blocks(marked, "doc_id", "raw").join(placed, "known")
+            .groupBy("doc_id", "raw", "license", "of", "arranged", "n_blocks",
+                     (F.col("block") - F.col("part_block")).alias("start"))
+            .agg(F.size(F.collect_set("block")).alias("n")).filter("n = n_blocks"))
+    # line notices and, unless the whole text is known, blocks
+    hits = hits.withColumn("block_license", F.lit(None).cast("string")).unionByName(
+        runs.select("doc_id", "raw", F.col("license").alias("block_license")).distinct(), allowMissingColumns=True)
+    found = (hits.groupBy(F.col("doc_id").alias("m_id"), F.col("raw").alias("m_raw"))
+             .agg(F.collect_set("license").alias("by_line"), F.collect_set("block_license").alias("by_block"),
                   F.size(F.collect_set("at")).cast("long").alias("n_notice_lines")))
+    by_any = F.when(F.col("license").isNull(), F.array_union("by_line", "by_block")).otherwise(F.col("by_line"))
+    notices = F.array_join(F.sort_array(by_any), ",")
     return (whole.join(known, F.col("text_digest") == F.col("known"), "left")
             .join(found, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("raw") == F.col("m_raw")), "left")
-            .select("doc_id", "text_digest", "license", F.coalesce("notices", F.lit("")).alias("notices"),
+            .select("doc_id", "text_digest", "license", F.coalesce(notices, F.lit("")).alias("notices"),
                     F.coalesce("n_notice_lines", F.lit(0)).cast("long").alias("n_notice_lines")))

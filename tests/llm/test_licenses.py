@@ -38,3 +38,21 @@ def test_odd_rows_and_empty(spark):
     assert licenses.scan(docs, known).count() == docs.count()
     assert licenses.scan(no_documents(spark), known).count() == 0
     assert licenses.scan(docs, known.limit(0)).filter("license is not null or n_notice_lines > 0").count() == 0
+
+
+def test_entire_texts_with_title_and_inside_other_text(spark):
+    mit = next(t for i, t in licenses.KNOWN if i == "MIT" and len(t) > 500).replace("\n", "\n\n")
+    full = {name: text for name, text in reversed(licenses.full_texts())}
+    named = sorted({"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "GPL-2.0", "GPL-3.0", "ISC", "MIT", "MPL-2.0"})
+    assert sorted(full) == named
+    around = "# Project\n\nSome words.\n\n{}\n\nMore words."
+    rows = [(i, full[n]) for i, n in enumerate(named)] + [(20 + i, around.format(full[n])) for i, n in enumerate(named)]
+    rows += [(40, "MIT License\n\nCopyright (c) 2024 X\n\n" + mit), (41, around.format("Copyright 2024 X\n\n" + mit)),
+             (42, around.format(mit.replace("\n\n", "\n"))), (43, around.format(mit.split("\n\n", 1)[1])),
+             (44, "/*\n * " + mit.replace("\n\n", "\n *\n * ") + "\n */\n\ncode();")]
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), licenses.known_licenses(spark)).collect()}
+    assert len(got) == len(rows)
+    for i, n in enumerate(named):
+        assert got[i].license == n and got[20 + i].license is None and n in got[20 + i].notices.split(","), n
+    assert got[40].license == "MIT"
+    assert [(got[i].license, got[i].notices) for i in (41, 42, 43, 44)] == [(None, "MIT"), (None, "MIT"), (None, ""), (None, "MIT")]
