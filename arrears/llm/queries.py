@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from arrears.llm import (
     chat_format,
     decontaminate,
+    divergence,
     host_rules,
     html_extract,
     licenses,
@@ -67,9 +68,13 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_quality_classifier, op3_chat_format, op4_toxicity, op5_host_rules, op6_license_scan,
-    op7_simhash, op8_url_lists, op9_html_text, op10_decontaminate)}
+    op7_simhash, op8_url_lists, op9_html_text, op10_decontaminate, op13_source_divergence)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 # Operators 2, 4, 7 and 9 have no SQL form: tests/llm holds them against brute force.
@@ -80,6 +85,7 @@ ORACLE: dict[str, str] = {
     "op6_license_scan": sql.LICENSE_SCAN,
     "op8_url_lists": sql.URL_LISTS,
     "op10_decontaminate": sql.DECONTAMINATE,
+    "op13_source_divergence": sql.SOURCE_DIVERGENCE,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -153,3 +153,34 @@ ids AS (
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN words USING (r) LEFT JOIN ids USING (r)"""
+
+
+# Source divergence: all shares side by side, every pair of sources over every kept term.
+SOURCE_DIVERGENCE = r"""
+WITH words AS (
+  SELECT rid, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text
+        FROM documents)),
+kept AS (SELECT lang, term, count(*)::HUGEINT AS total FROM words GROUP BY lang, term HAVING count(DISTINCT rid) >= 3),
+langs AS (SELECT lang, sum(total)::HUGEINT AS size, count(*)::HUGEINT AS v FROM kept GROUP BY lang),
+counts AS (SELECT w.lang, w.source, w.term, count(*)::HUGEINT AS n FROM words w JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (SELECT DISTINCT coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+sizes AS (SELECT g.lang, g.source, coalesce((SELECT sum(n) FROM counts c WHERE c.lang = g.lang AND c.source = g.source), 0)::HUGEINT AS size
+          FROM groups g),
+shares AS (
+  SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000 * (coalesce(c.n, 0) + 1)) // (s.size + l.v) AS p,
+    1 + (1000000000 * (k.total + 1)) // (l.size + l.v) AS q
+  FROM sizes s JOIN kept k ON k.lang = s.lang JOIN langs l ON l.lang = s.lang
+  LEFT JOIN counts c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+          FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM shares WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r FROM every)
+SELECT lang, source, part, item, value::BIGINT AS value, r::INTEGER AS rank FROM ranked WHERE part = 'pair' OR r <= 200
+"""

@@ -1,0 +1,97 @@
+"""Source divergence audit (operator 13): brute force, Spark ML's vectorizer, awkward rows."""
+
+import collections
+import re
+
+import pytest
+from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import functions as F
+
+from arrears.llm import divergence
+from tests.llm.rows import no_documents, odd_documents
+
+
+def brute(rows, min_df=3, top=200):
+    """The audit over (lang, source, text), all shares and pairs in plain loops."""
+    rows = [(a or "", b or "", t or "") for a, b, t in rows]
+    lower = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+    vectors = [(a, b, collections.Counter(re.findall("[^\x00-\x40\x5b-\x60\x7b-\x7f]+", t.translate(lower)))) for a, b, t in rows]
+    out = []
+    for lang in {a for a, _, _ in rows}:
+        df = collections.Counter(t for a, _, v in vectors if a == lang for t in v)
+        kept = [t for t, k in df.items() if k >= min_df]
+        counts = collections.defaultdict(collections.Counter)
+        for a, b, v in vectors:
+            if a == lang:
+                counts[b] += v
+        whole = sum(counts.values(), collections.Counter())
+        def shares(c):
+            n = sum(c[t] for t in kept)
+            return {t: 1 + 10 ** 9 * (c[t] + 1) // (n + len(kept)) for t in kept}
+        p = {s: shares(c) for s, c in counts.items()} | {b: shares(collections.Counter()) for a, b, _ in vectors if a == lang and b not in counts}
+        q = shares(whole)
+        for s in p:
+            parts = {"pair": [(o, sum((p[s][t] - p[o][t]) ** 2 // p[o][t] for t in kept)) for o in p if o != s],
+                     "term": [(t, (p[s][t] - q[t]) ** 2 // q[t]) for t in kept if counts[s][t] and p[s][t] > q[t]]}
+            for part, items in parts.items():
+                items.sort(key=lambda x: (-x[1], x[0].encode()))
+                out += [(lang, s, part, o, v, i + 1) for i, (o, v) in enumerate(items) if part == "pair" or i < top]
+    return sorted(out)
+
+
+def found(docs, **options):
+    return sorted(tuple(r) for r in divergence.audit(docs, **options).collect())
+
+
+def test_equal_to_brute_force_on_awkward_rows(spark, monkeypatch):
+    docs = odd_documents(spark, n=20, long_words=6_000)
+    rows = [(r.lang, r.source, r.text) for r in docs.collect()]
+    assert found(docs) == brute(rows)
+
+
+def test_small_flushes_slices_and_blocks_change_nothing(spark, monkeypatch):
+    docs = odd_documents(spark, n=20, long_words=2_000)
+    rows = [(r.lang, r.source, r.text) for r in docs.collect()]
+    monkeypatch.setattr(divergence, "ENTRIES", 7)
+    monkeypatch.setattr(divergence, "SLICE", 11)
+    monkeypatch.setattr(divergence, "PAIRS", 5)
+    assert found(docs, top_terms=3, min_df=2) == brute(rows, 2, 3)
+
+
+def test_a_vector_is_cut_between_terms():
+    text = "Ünï ÜNï x1y" + " abc" * 1000 + "q" * 5000
+    whole = divergence.count_vector(text)
+    assert whole["Ünï".encode()] == 2                          # N is lower-cased, the letters beyond ASCII are not
+    assert whole[b"x"] == whole[b"y"] == 1 and whole[b"abc"] == 999 and whole[b"abc" + b"q" * 5000] == 1
+    assert divergence.count_vector(None) == divergence.count_vector("") == {}
+
+
+def test_counts_beyond_64_bits(spark):
+    big = 9 * 10 ** 17
+    row = spark.range(1).select(divergence.share(F.lit(big), F.lit(big + 5), F.lit(10)).alias("p"),
+                                divergence.share(F.lit(0), F.lit(0), F.lit(0)).alias("none")).first()
+    assert row.p == 1 + 10 ** 9 * (big + 1) // (big + 15) and row.none == 1
+
+
+def test_vocabulary_and_sums_are_those_of_spark_ml(spark):
+    """One language through CountVectorizer (minDF 3, largest vocabSize) and Summarizer's sums."""
+    docs = odd_documents(spark, n=25, long_words=500).filter("lang = 'en'").select("lang", "source", F.coalesce("text", F.lit("")).alias("text"))
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = docs.withColumn("words", F.regexp_extract_all(lower, F.lit("([a-z\\x{80}-\\x{10FFFF}]+)"), F.lit(1)))
+    model = CountVectorizer(inputCol="words", outputCol="v", minDF=3, vocabSize=2 ** 31 - 1).fit(words)
+    want = {(r.source, t): int(n) for r in model.transform(words).groupBy("source").agg(Summarizer.sum(F.col("v")).alias("s")).collect()
+            for t, n in zip(model.vocabulary, r.s.toArray()) if n}
+    terms = divergence.vocabulary(divergence.group_sums(docs))
+    got = {(r.source, r.term): r.n for r in terms.select("term", F.inline("by_source")).collect()}
+    assert got == want and {r.term for r in terms.collect()} == set(model.vocabulary)
+
+
+@pytest.mark.parametrize("text", [None, "", "12 34 ?"])
+def test_groups_without_terms(spark, text):
+    docs = spark.createDataFrame([("en", "a", text), ("en", None, text), (None, "a", text)], "lang string, source string, text string")
+    assert found(docs) == [("en", "", "pair", "a", 0, 1), ("en", "a", "pair", "", 0, 1)]
+
+
+def test_empty_table(spark):
+    assert found(no_documents(spark)) == []
