@@ -14,6 +14,7 @@ from arrears.llm import (
     licenses,
     mixing,
     quality_lm,
+    resampling,
     simhash_vpt,
     sql,
     toxicity,
@@ -68,13 +69,18 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_quality_classifier, op3_chat_format, op4_toxicity, op5_host_rules, op6_license_scan,
-    op7_simhash, op8_url_lists, op9_html_text, op10_decontaminate, op13_source_divergence)}
+    op7_simhash, op8_url_lists, op9_html_text, op10_decontaminate, op12_importance_resampling, op13_source_divergence)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 # Operators 2, 4, 7 and 9 have no SQL form: tests/llm holds them against brute force.
@@ -85,6 +91,7 @@ ORACLE: dict[str, str] = {
     "op6_license_scan": sql.LICENSE_SCAN,
     "op8_url_lists": sql.URL_LISTS,
     "op10_decontaminate": sql.DECONTAMINATE,
+    "op12_importance_resampling": sql.IMPORTANCE_RESAMPLING,
     "op13_source_divergence": sql.SOURCE_DIVERGENCE,
 }
 if corpus_pipeline.ORACLE_SQL:

@@ -155,6 +155,44 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM docs LEFT JOIN words USING (r) LEFT JOIN ids USING (r)"""
 
 
+# Importance resampling: the CRC-32 of each distinct feature in steps of a byte.
+IMPORTANCE_RESAMPLING = rf"""
+WITH RECURSIVE texts AS (
+  SELECT 'd' AS kind, row_number() OVER () AS rid, doc_id, regexp_extract_all({LOWERED.format('text')}, '{TOKEN}') AS w FROM documents
+  UNION ALL SELECT 'b', row_number() OVER (), NULL, regexp_extract_all({LOWERED.format('text')}, '{TOKEN}') FROM benchmark),
+feats AS (
+  SELECT kind, rid, unnest(w) AS f FROM texts
+  UNION ALL SELECT kind, rid, a || ' ' || b FROM (SELECT kind, rid, unnest(w) AS a, unnest(w[2:]) AS b FROM texts) WHERE b IS NOT NULL),
+-- CRC-32 of each distinct feature, a byte a step
+table_steps(i, c, k) AS (
+  SELECT i, i, 0 FROM (SELECT unnest(range(256))::BIGINT AS i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM table_steps WHERE k < 8),
+crc_table AS (SELECT i, c AS v FROM table_steps WHERE k = 8),
+steps(f, h, k, c) AS (
+  SELECT f, hex(encode(f)), 0, 4294967295::BIGINT FROM (SELECT DISTINCT f FROM feats)
+  UNION ALL SELECT f, h, k + 1, xor(c >> 8, v) FROM steps JOIN crc_table
+    ON i = xor(c & 255, ('0x' || substr(h, 2 * k + 1, 2))::BIGINT) WHERE 2 * k < length(h)),
+bucket AS (SELECT f, xor(c, 4294967295) % 10000 AS b FROM steps WHERE 2 * k = length(h)),
+placed AS (SELECT kind, rid, b FROM feats JOIN bucket USING (f)),
+counts AS (SELECT b, count(*) FILTER (WHERE kind = 'd') AS s, count(*) FILTER (WHERE kind = 'b') AS t FROM placed GROUP BY b),
+sums AS (SELECT sum(s)::DOUBLE AS sa, sum(t)::DOUBLE AS ta FROM counts),
+gain AS (SELECT b, floor(1000 * ln((t + 1)::DOUBLE * (sa + 10000) / ((s + 1)::DOUBLE * (ta + 10000))))::BIGINT AS g FROM counts, sums),
+weighed AS (SELECT rid, count(*) AS n, sum(g)::HUGEINT AS total
+            FROM placed JOIN gain USING (b) WHERE kind = 'd' GROUP BY rid),
+scored AS (
+  SELECT doc_id, len(w) AS words, coalesce(n, 0) AS n_features,
+    CASE WHEN n IS NULL THEN 0 ELSE (total - ((total % n) + n) % n) // n END::BIGINT AS weight,
+    floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS noise
+  FROM texts LEFT JOIN weighed USING (rid) WHERE kind = 'd'),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY words >= 20 ORDER BY weight + noise DESC, doc_id NULLS FIRST, weight, n_features, words) AS r,
+    count(*) FILTER (WHERE words >= 20) OVER () AS able FROM scored)
+SELECT doc_id, n_features::BIGINT AS n_features, weight, weight + noise AS score,
+  CASE WHEN words >= 20 AND r <= 25 * able // 100 THEN r END::BIGINT AS rank FROM ranked
+"""
+
+
+
 # Source divergence: all shares side by side, every pair of sources over every kept term.
 SOURCE_DIVERGENCE = r"""
 WITH words AS (
