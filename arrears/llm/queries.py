@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from arrears.llm import (
@@ -13,6 +14,7 @@ from arrears.llm import (
     html_extract,
     licenses,
     mixing,
+    packing,
     quality_lm,
     resampling,
     simhash_vpt,
@@ -69,6 +71,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op11_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
@@ -80,10 +86,10 @@ def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_quality_classifier, op3_chat_format, op4_toxicity, op5_host_rules, op6_license_scan,
-    op7_simhash, op8_url_lists, op9_html_text, op10_decontaminate, op12_importance_resampling, op13_source_divergence)}
+    op7_simhash, op8_url_lists, op9_html_text, op10_decontaminate, op11_pack_windows, op12_importance_resampling, op13_source_divergence)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
-# Operators 2, 4, 7 and 9 have no SQL form: tests/llm holds them against brute force.
+# Operators 2, 4, 7, 9 and 11 have no SQL form: tests/llm holds them against brute force.
 ORACLE: dict[str, str] = {
     "op1_mix_sources": sql.MIX_SOURCES,
     "op3_chat_format": sql.CHAT_FORMAT,
