@@ -14,12 +14,13 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import delinquency as dq
 from ..operators import evaluate as ev
 from ..operators import features as ft
+from ..operators import forest as fo
 from ..operators import lifecycle as lc
 from ..operators import model as ml
 from ..operators import portfolio as pf
@@ -810,6 +811,49 @@ def q_rf_reloaded(spark, sf_dir):
                      F.lit(n).alias("n_columns"))
 
 
+@register("rf_node_walk", O.with_book("""
+SELECT n AS n_loans, n AS n_equal_probability, n AS n_equal_class FROM (SELECT CAST(COUNT(*) AS BIGINT) AS n FROM loans)""", "loans"))
+def q_rf_node_walk(spark, sf_dir):
+    """M5, M6: every loan walked down the table of nodes, against the model's own score, to the last bit."""
+    params = ml.ForestParams()
+    model = _training_run(spark, sf_dir).model
+    design = ml.one_hot_stage().transform(_features(spark, sf_dir)).select("loan_id", *ft.NUMERIC_FEATURES, *ft.DUMMY_COLUMNS, "employment_status")
+    walked = fo.probabilities(fo.node_table(model), design, ft.DESIGN_COLUMNS, params.max_depth)
+    own = ml.score(model, design.drop(*ft.DUMMY_COLUMNS)).select(
+        "loan_id", F.col("probability_of_default").alias("p"), F.col("prediction").alias("c"))
+    both = own.join(walked, "loan_id", "left")
+    return both.agg(F.count(F.lit(1)).cast("bigint").alias("n_loans"),
+                    F.count_if(F.col("p") == F.col("probability_of_default")).cast("bigint").alias("n_equal_probability"),
+                    F.count_if(F.col("c") == F.col("prediction")).cast("bigint").alias("n_equal_class"))
+
+
+_NODE_RULES = ["children exist", "rows add up", "class totals add up", "rows per child", "impurity is Gini",
+               "gain is the drop of impurity", "one path from the root", "depth"]
+
+
+@register("rf_node_rules", "SELECT rule, CAST(expected AS BIGINT) AS n FROM (VALUES " + ", ".join(
+    f"('{r}: broken', 0)" for r in _NODE_RULES) + f", ('trees', {ml.ForestParams().num_trees}), "
+    f"('importances: equal', {len(ft.DESIGN_COLUMNS)}), ('importances: in order', {len(ft.DESIGN_COLUMNS)})) t(rule, expected)")
+def q_rf_node_rules(spark, sf_dir):
+    """The rules of the splits, and the importances summed from the gains of the nodes."""
+    params = ml.ForestParams()
+    model = _training_run(spark, sf_dir).model
+    nodes = materialise(fo.node_table(model), "forest-nodes")
+    own = spark.createDataFrame(list(zip(ft.DESIGN_COLUMNS, model.stages[-1].featureImportances.toArray().tolist())),
+                                "feature string, own double")                    # 17 rows
+    summed = fo.importances(nodes, ft.DESIGN_COLUMNS).join(own, "feature")
+    order = summed.withColumn("by_sum", F.row_number().over(Window.orderBy(F.desc(F.round("importance", 9)), "feature"))).withColumn(
+        "by_own", F.row_number().over(Window.orderBy(F.desc(F.round("own", 9)), "feature")))
+    counts = [
+        fo.audit(nodes, params.max_depth, params.min_instances_per_node).select(
+            F.concat("rule", F.lit(": broken")).alias("rule"), F.col("n_broken").alias("n")),
+        nodes.where(F.col("node") == fo.ROOT).agg(F.count(F.lit(1)).alias("n")).select(F.lit("trees").alias("rule"), "n"),
+        summed.agg(F.count_if(F.abs(F.col("importance") - F.col("own")) < 1e-9).alias("n")).select(
+            F.lit("importances: equal").alias("rule"), "n"),
+        order.agg(F.count_if(F.col("by_sum") == F.col("by_own")).alias("n")).select(F.lit("importances: in order").alias("rule"), "n")]
+    return functools.reduce(lambda a, b: a.unionByName(b), counts).select("rule", F.col("n").cast("bigint").alias("n"))
+
+
 @register("design_matrix", _feature_sql("SELECT loan_id, " + ", ".join(
     f"CAST({c} AS DOUBLE) AS {c}" for c in ft.NUMERIC_FEATURES) + ", " + ", ".join(
     f"""CAST(employment_status = '{v}' AS DOUBLE) AS "{n}" """ for v, n in zip(ft.EMPLOYMENT_DUMMIES, ft.DUMMY_COLUMNS))
