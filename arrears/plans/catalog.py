@@ -711,6 +711,20 @@ def q_streamed_success_rates(spark, sf_dir):
             .orderBy(F.desc("success_rate"), "action_type"))
 
 
+@register("streamed_rates_redelivered", ORACLE["action_success_rates"])
+def q_streamed_rates_redelivered(spark, sf_dir):
+    """R10 under repeated delivery: all actions, a third of them again at once, all again in a later run."""
+    landing, table, checkpoint = (scratch_path(spark, f"redelivered-{n}") for n in ("landing", "rates", "ckpt"))
+    actions = _book(spark, sf_dir).actions
+    actions.write.parquet(landing)
+    actions.where(F.col("action_id") % 3 == 0).write.mode("append").parquet(landing)
+    rr.start_refresh(spark, landing, table, checkpoint).awaitTermination()
+    actions.write.mode("append").parquet(landing)
+    rr.start_refresh(spark, landing, table, checkpoint, max_files_per_trigger=4).awaitTermination()
+    return (rr.read_rates(spark, table).select("action_type", "total_actions", "success_rate")
+            .orderBy(F.desc("success_rate"), "action_type"))
+
+
 @register("surrogate_key_summary", O.with_book("""
 SELECT CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(COUNT(*) AS BIGINT) AS n_distinct_ids,
   CAST(1 AS BIGINT) AS min_id, CAST(COUNT(*) AS BIGINT) AS max_id
