@@ -56,7 +56,11 @@ def payment_stats(payments: DataFrame) -> DataFrame:
 
 def loan_delinquency(loans: DataFrame, payments: DataFrame) -> DataFrame:
     """The delinquency view: one row per loan, loans without payments kept."""
-    stats = payment_stats(payments)
+    return with_stats(loans, payment_stats(payments))
+
+
+def with_stats(loans: DataFrame, stats: DataFrame) -> DataFrame:
+    """The view from the loans and their ``payment_stats``."""
     n = F.coalesce(F.col("n_pay"), F.lit(0)).cast("bigint")
     late = F.coalesce(F.col("n_late"), F.lit(0)).cast("bigint")
     return (

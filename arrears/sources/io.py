@@ -144,18 +144,19 @@ class RefreshError(RuntimeError):
     pass
 
 
-def publish(spark: SparkSession, target: str, write, check=None) -> str:
+def publish(spark: SparkSession, target: str, write, check=None, note: str | None = None) -> str:
     """Write a new version below ``target`` with write(path), and make it the current one.
 
     ``check(path)`` may raise before the version becomes visible. Publishing is
-    one appended row, so readers see the old version or the new one, whole.
+    one appended row, so readers see the old version or the new one, whole; ``note``
+    becomes visible with it.
     """
     version = f"{_dt.datetime.now(_dt.timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
     path = f"{target.rstrip('/')}/versions/{version}"
     write(path)
     if check:
         check(path)
-    (spark.createDataFrame([(version, path)], "version string, path string")
+    (spark.createDataFrame([(version, path, note)], "version string, path string, note string")
      .withColumn("published_at", F.current_timestamp())
      .coalesce(1).write.mode("append").parquet(f"{target.rstrip('/')}/_published"))
     return path
@@ -204,6 +205,6 @@ def read_published(spark: SparkSession, target: str) -> Book:
 
 
 def published_versions(spark: SparkSession, target: str) -> DataFrame:
-    """All published versions at ``target``, newest first (version, path, published_at)."""
+    """All published versions at ``target``, newest first (version, path, note, published_at)."""
     return (spark.read.parquet(f"{target.rstrip('/')}/_published")
             .orderBy(F.desc("published_at"), F.desc("version")))
