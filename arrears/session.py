@@ -94,8 +94,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    written._arrears_scratch = path
+    return written
 
 
-__all__ = ["build_session", "cluster_conf", "ensure_checkpoint_dir", "scratch_path", "materialise",
+def discard(*written: DataFrame) -> None:
+    """Delete tables that ``materialise`` wrote, once all that was made of them is written too."""
+    for df in written:
+        path, context = df._arrears_scratch, df.sparkSession.sparkContext
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+
+
+__all__ = ["build_session", "cluster_conf", "ensure_checkpoint_dir", "scratch_path", "materialise", "discard",
            "SCALE_CONF"]

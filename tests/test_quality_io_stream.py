@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from arrears.operators import quality as qa
@@ -189,3 +190,13 @@ def test_registry_describes_the_tables(spark):
         assert spec.primary_key in spec.columns and set(spec.defaults) <= set(spec.columns)
     for child, column, parent, key in FOREIGN_KEYS:
         assert column in TABLES[child].columns and TABLES[parent].primary_key == key
+
+
+def test_discard_deletes_the_scratch_table_only(spark):
+    from arrears.session import discard, materialise
+    a, b = (materialise(spark.range(n).toDF("x"), "t-discard") for n in (3, 5))
+    made = materialise(a.join(b, "x"), "t-discard")
+    discard(a)
+    assert made.count() == 3 and b.count() == 5
+    with pytest.raises(Exception):
+        spark.read.parquet(a._arrears_scratch).count()
