@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears.session import materialise
+from arrears.session import discard, materialise
 
-__all__ = ["ascii_lower", "fresh", "let", "materialise", "table", "word_count", "words"]
+__all__ = ["ascii_lower", "discard", "fresh", "let", "materialise", "table", "word_count", "words"]
 
 # ASCII white space, the only separators of words: space and \t \n \v \f \r.
 BLANKS = " \t\n\x0b\f\r"

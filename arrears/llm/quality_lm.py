@@ -42,12 +42,13 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arrears.llm.common import fresh, materialise
+from arrears.llm.common import discard, materialise
 
 SYMBOLS = 64
 ORDER = 3
@@ -59,9 +60,11 @@ PRIOR_CHARS = 300
 BLOCK = 50                 # word pairs
 PRIOR_PAIRS = 10
 MIN_TRUSTED = 20
-CHUNK = 1 << 21            # characters scored at once
-SHARD_CHARS = 1 << 23      # characters of the documents for each shard of keys
+CHUNK = 1 << 20            # characters scored at once
+ROWS = 1 << 9              # texts held as strings at once
+SHARD_CHARS = 1 << 22      # characters of the documents for each shard of keys
 HOT = 1 << 16
+MOST_BROADCAST = 1 << 20   # ids of trusted documents, 16 bytes each
 BASE = 0x9E3779B97F4A7C15  # odd: the multiplier of the word hash
 FIRST, LAST = np.array([0x5EED0001C0FFEE11, 0x5EED0002C0FFEE22], np.uint64)    # before and after a text's words
 
@@ -106,6 +109,18 @@ def chunks(texts: list[str], most: int = CHUNK):
         yield part
 
 
+def sliced(batches):
+    """The columns of Arrow batches as lists, ROWS rows at a time, so that few texts are held as strings."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield [c.to_pylist() for c in batch.slice(at, ROWS).columns]
+        pa.default_memory_pool().release_unused()
+
+
+def arrow(rows: pd.DataFrame) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pandas(rows, preserve_index=False)
+
+
 def _inside(codes: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Which trigrams end inside a text (the others end in the breaks between texts)."""
     change = np.zeros(len(codes) + len(START) + 1, np.int8)
@@ -118,14 +133,14 @@ def gram_counts(texts: DataFrame) -> DataFrame:
     """(gram, n) over all rows of the one column of `texts`."""
     def count(batches):
         total = np.zeros(GRAMS, np.int64)
-        for batch in batches:
-            for part in chunks([t for t in batch.iloc[:, 0].tolist() if t]):
+        for (texts,) in sliced(batches):
+            for part in chunks([t for t in texts if t]):
                 codes, begin, size = trigrams(part)
                 total += np.bincount(codes[_inside(codes, begin, size)], minlength=GRAMS)
         seen = np.flatnonzero(total)
-        yield pd.DataFrame({"gram": seen, "n": total[seen]})
+        yield arrow(pd.DataFrame({"gram": seen, "n": total[seen]}))
 
-    return texts.mapInPandas(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 def _discounts(counts: DataFrame) -> Column:
@@ -258,18 +273,29 @@ def word_model(texts: DataFrame, shared) -> tuple[DataFrame, float]:
     The loss of a text is, over its pairs, the spelling loss and that weight, and
     the values of the pair and of its words; keys that are not here have value 0.
     """
+    def parts(batches):
+        for (texts,) in sliced(batches):
+            for part in chunks([t for t in texts if t]):
+                yield word_rows(part, shared.value)
+
     def count(batches):
-        for batch in batches:
-            for part in chunks([t for t in batch.iloc[:, 0].tolist() if t]):
-                words, spelling, doc = word_rows(part, shared.value)
-                h, w, _ = word_pairs(words, doc)
-                spelling = np.concatenate((spelling, np.full(len(h) - len(words), np.log(SYMBOLS))))
-                _, at, n = np.unique(pair_key(h, w), return_index=True, return_counts=True)
-                yield pd.DataFrame({"h": h[at].view(np.int64), "w": w[at].view(np.int64), "n": n, "spelling": spelling[at]})
-
-    pairs = materialise(texts.mapInPandas(count, "h long, w long, n long, spelling double")
-                        .groupBy("h", "w").agg(F.sum("n").alias("n"), F.min("spelling").alias("spelling")), "kn-pairs")
-    ones = materialise(pairs.groupBy("w").agg(F.count(F.lit(1)).alias("n"), F.min("spelling").alias("spelling")), "kn-words")
+        for words, _, doc in parts(batches):
+            h, w, _ = word_pairs(words, doc)
+            _, at, n = np.unique(pair_key(h, w), return_index=True, return_counts=True)
+            yield arrow(pd.DataFrame({"h": h[at].view(np.int64), "w": w[at].view(np.int64), "n": n}))
+
+    def spell(batches):
+        told = np.array([LAST])               # the words this task has spelled
+        yield arrow(pd.DataFrame({"w": told.view(np.int64), "spelling": np.log(SYMBOLS)}))
+        for words, spelling, _ in parts(batches):
+            w, at = np.unique(words, return_index=True)
+            new = ~np.isin(w, told)
+            told = np.concatenate((told, w[new]))
+            yield arrow(pd.DataFrame({"w": w[new].view(np.int64), "spelling": spelling[at][new]}))
+
+    pairs = materialise(texts.mapInArrow(count, "h long, w long, n long").groupBy("h", "w").agg(F.sum("n").alias("n")), "kn-pairs")
+    spelled = texts.mapInArrow(spell, "w long, spelling double").groupBy("w").agg(F.min("spelling").alias("spelling"))
+    ones = materialise(pairs.groupBy("w").agg(F.count(F.lit(1)).alias("n")).join(spelled, "w"), "kn-words")
     discounted = ones.withColumn("d", _discounts(ones))
     all_ = discounted.agg(F.sum("n").alias("total"), F.sum("d").alias("mass")).first()
     back = all_["mass"] / all_["total"] if all_["total"] else 1.0
@@ -285,7 +311,9 @@ def word_model(texts: DataFrame, shared) -> tuple[DataFrame, float]:
     two = kept.select("h", "w", "n", "d").join(ctx, "h").join(one.select("w", "p"), "w").select(
         F.shiftleft("h", 21).bitwiseOR(F.shiftrightunsigned("h", 43)).bitwiseXOR(F.col("w")).alias("key"),
         (-F.log(p) + F.log("back") + F.log("p")).cast("float").alias("value"), "n")
-    return materialise(words.union(two), "kn-model"), float(-np.log(back))
+    model = materialise(words.union(two), "kn-model")
+    discard(pairs, ones, one, ctx)
+    return model, float(-np.log(back))
 
 
 def _planes(numbers: np.ndarray) -> bytes:
@@ -316,8 +344,8 @@ def text_scores(texts: DataFrame, model: DataFrame, weight: float, shared) -> Da
     hot = spark.sparkContext.broadcast((top["key"].to_numpy(np.int64), top["value"].to_numpy(np.float64)))
 
     def parts(batches):
-        for batch in batches:
-            rows = [(t, d) for t, d in zip(batch["text"], batch["digest"]) if t]
+        for texts_here, digests_here in sliced(batches):
+            rows = [(t, d) for t, d in zip(texts_here, digests_here) if t]
             digest = {id(t): d for t, d in rows}
             for part in chunks([t for t, _ in rows]):
                 words, spelling, doc = word_rows(part, shared.value)
@@ -332,7 +360,7 @@ def text_scores(texts: DataFrame, model: DataFrame, weight: float, shared) -> Da
             near = np.bincount(np.concatenate((of, of)), near, minlength=len(part))
             near += _lookup(*hot.value, np.array([FIRST]).view(np.int64))[0] * (n > 0)
             loss = np.bincount(doc, spelling, minlength=len(part)) + np.log(SYMBOLS) + (n + 1) * weight + near
-            yield pd.DataFrame({"digest": digests, "loss": loss, "words": n, "repetition": repetition(words, doc, len(part))})[n > 0]
+            yield arrow(pd.DataFrame({"digest": digests, "loss": loss, "words": n, "repetition": repetition(words, doc, len(part))})[n > 0])
 
     def pack(batches):
         for part, digests, words, _, doc in parts(batches):
@@ -356,7 +384,8 @@ def text_scores(texts: DataFrame, model: DataFrame, weight: float, shared) -> Da
                 docs, row = np.unique(of[here], return_inverse=True)
                 out.append((k, digests[docs].tobytes(), _planes(np.diff(stored[here], prepend=np.uint64(0))),
                             _planes(row.astype(np.uint32)), _planes(times[here].astype(np.uint32))))
-            yield pd.DataFrame(out, columns=["shard", "digests", "keys", "rows", "times"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+                zip(*out) if out else [[]] * 5, [pa.int64()] + [pa.binary()] * 4)], ["shard", "digests", "keys", "rows", "times"])
 
     def join(texts_here, model_here):
         keys = model_here["key"].to_numpy(np.int64).view(np.uint64) >> np.uint64(16)
@@ -370,8 +399,8 @@ def text_scores(texts: DataFrame, model: DataFrame, weight: float, shared) -> Da
         ids, sums = np.concatenate(ids), np.concatenate(sums)
         return pd.DataFrame({"digest": ids, "loss": sums})[sums != 0]
 
-    near = texts.select("text", "digest").mapInPandas(local, "digest long, loss double, words long, repetition double")
-    far = (texts.select("text", "digest").mapInPandas(pack, "shard long, digests binary, keys binary, rows binary, times binary").groupBy("shard")
+    near = texts.select("text", "digest").mapInArrow(local, "digest long, loss double, words long, repetition double")
+    far = (texts.select("text", "digest").mapInArrow(pack, "shard long, digests binary, keys binary, rows binary, times binary").groupBy("shard")
            .cogroup(model.select(F.pmod("key", F.lit(shards)).alias("shard"), "key", "value").groupBy("shard"))
            .applyInPandas(join, "digest long, loss double"))
     # equal texts come together, each as often in one table as in the other
@@ -418,8 +447,14 @@ def _with(df: DataFrame, limits: tuple[DataFrame, float | None], name: str) -> D
 
 
 def trusted_rows(docs: DataFrame, labels: DataFrame, id_col: str, label_id_col: str, quality_col: str) -> DataFrame:
-    """The rows labelled as good quality. The labels are the hashed side, so the texts are not sorted."""
-    good = labels.filter(F.col(quality_col) == 1).select(F.col(label_id_col).alias("kn_label")).hint("shuffle_hash")
+    """The rows labelled as good quality.
+
+    Up to MOST_BROADCAST ids are broadcast, so that no text moves; beyond, the labels are the
+    hashed side of a shuffle, so the texts are not sorted.
+    """
+    good = labels.filter((F.col(quality_col) == 1) & F.col(label_id_col).isNotNull()).select(F.col(label_id_col).alias("kn_label"))
+    few = good.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
+    good = F.broadcast(good) if few else good.hint("shuffle_hash")
     return docs.join(good, docs[id_col] == good["kn_label"], "left_semi")
 
 
@@ -452,6 +487,7 @@ def verdicts(docs: DataFrame, labels: DataFrame, *, id_col="doc_id", text_col="t
     good = trusted_rows(scored, labels, "doc_id", label_id_col, quality_col)
     left = good.filter(held_out(F.col("digest")))
     median = _quantile(left.select("lang", F.col("score").alias("value")), "median", 0.5, min_trusted)
+    discard(model)
     limit = _quantile(_with(left, median, "median").select("lang", _shrunk().alias("value")), "threshold", QUANTILE, min_trusted)
     repeated = _quantile(good.select("lang", F.col("repetition").alias("value")), "repeated", QUANTILE, min_trusted)
     judged = _with(_with(_with(scored, median, "median"), limit, "threshold"), repeated, "repeated")
