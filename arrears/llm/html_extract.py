@@ -29,6 +29,7 @@ Defined results
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -57,6 +58,10 @@ HINTED = frozenset("a b center dd details div dl dt figure li ol p section span
 PARTS = frozenset("""area articles bar block bottom box btn button buttons col column container content outer inner
 item items left link links list overlay panel post posts right row sidebar site slot stories text top unit wrap wrapper
 zone""".split())
+# A name that ends with one of these is of that kind, whatever stands before it (main-nav, google-ad);
+# one that begins with a word for comments is about them (comment-thread, comments-section).
+KINDS = frozenset("ad ads advert adverts breadcrumbs comments cookies footer nav newsletter replies sidebar".split())
+COMMENTS = frozenset("comment comments disqus replies".split())
 CLOSED_BY_BLOCK = frozenset(("p",))
 # What a start tag ends when the end tag was left out, and what it does not look beyond.
 _CELLS, _ROWS, _LISTS = ("td", "th"), ("tr", "td", "th"), ("ul", "ol", "menu", "dir")
@@ -77,33 +82,41 @@ def hinted(value: str | None) -> bool:
     """Whether a class, id or role has a name of what is not the article."""
     for name in (value or "").lower().split():
         parts = _WORD.findall(name)
+        if parts and (parts[-1] in KINDS or parts[0] in COMMENTS):
+            return True
         if not HINTS.isdisjoint(parts) and all(p in HINTS or p in PARTS for p in parts):
             return True
     return False
 
 
 class Lines(HTMLParser):
-    """Collects (text, tags, containers, linked characters) of the lines of a page."""
+    """Collects (text, tags, innermost container, linked characters) of the lines of a page.
+
+    Containers are numbered as they begin, and each knows its parent, so deep nesting costs no more than flat markup.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         # tag, starts what is never text, container or -1, first line if that is in doubt or -1
         self.open: list[tuple[str, bool, int, int]] = []
         self.dropped = 0
-        self.path: tuple[int, ...] = ()
+        self.whole = 0                                  # open articles and main elements
+        self.count: Counter = Counter()                 # open elements by tag
+        self.inner = -1
         self.kinds: list[str] = []
+        self.parent: list[int] = []
         self.pieces: list[str] = []
         self.tags = 0
         self.link = False
         self.linked = 0
         self.articles: list[int] = []                   # lines found when an article began
-        self.found: list[tuple[str, int, tuple[int, ...], int]] = []
+        self.found: list[tuple[str, int, int, int]] = []
 
     def flush(self):
         text = " ".join("".join(self.pieces).split())
         self.pieces = []
         if text:
-            self.found.append((text, self.tags, self.path, self.linked))
+            self.found.append((text, self.tags, self.inner, self.linked))
             self.tags = 0
         self.linked = 0
 
@@ -112,15 +125,20 @@ class Lines(HTMLParser):
         if tag in CONTAINERS and not drop:
             at = len(self.kinds)
             self.kinds.append(tag)
-            self.path += (at,)
+            self.parent.append(self.inner)
+            self.inner = at
+        self.count[tag] += 1
+        self.whole += at >= 0 and tag in WHOLE
         self.open.append((tag, drop, at, len(self.found) if doubt else -1))
         self.dropped += drop
 
     def pop(self):
-        _, drop, at, since = self.open.pop()
+        tag, drop, at, since = self.open.pop()
         self.dropped -= drop
+        self.count[tag] -= 1
         if at >= 0:
-            self.path = self.path[:-1]
+            self.inner = self.parent[at]
+            self.whole -= tag in WHOLE
         if since >= 0:
             self.flush()
             here = self.found[since:]
@@ -130,6 +148,8 @@ class Lines(HTMLParser):
 
     def close_siblings(self, tag: str):
         closes, scope = SIBLINGS[tag]
+        if not any(self.count[c] for c in closes):
+            return
         to = len(self.open)
         for back in range(len(self.open) - 1, -1, -1):
             if self.open[back][0] in scope:
@@ -156,7 +176,7 @@ class Lines(HTMLParser):
         if tag == "a":
             self.link = True
         names = {name for name, value in attrs if name in ("class", "id", "role") and hinted(value)} if tag in HINTED else ()
-        doubt = not self.dropped and names == {"id"} and any(self.kinds[c] in WHOLE for c in self.path)
+        doubt = not self.dropped and names == {"id"} and self.whole > 0
         drop = tag in NEVER_TEXT or bool(names) and not doubt
         if drop or doubt or tag in CONTAINERS or tag in SCOPES:
             self.flush()
@@ -176,6 +196,8 @@ class Lines(HTMLParser):
             self.tags += 1
         if tag == "a":
             self.link = False
+        if not self.count[tag]:
+            return
         for back in range(len(self.open) - 1, -1, -1):
             if self.open[back][0] == tag:
                 self.flush()
@@ -220,23 +242,38 @@ def main_text(html: str | None) -> str:
     marked = marked_lines(lengths, np.array([x[1] for x in lines]))
     if (marked & ~furniture).any():
         marked &= ~furniture
-    weight = np.zeros(len(page.kinds))
-    for (text, _, path, _), mark in zip(lines, marked):
-        if mark:
-            weight[list(path)] += len(text)
+    inner = np.array([x[2] for x in lines])
+    parent, kinds = page.parent, page.kinds
+    weight = np.bincount(inner[marked & (inner >= 0)], lengths[marked & (inner >= 0)], minlength=len(kinds))
+    for c in range(len(kinds) - 1, -1, -1):            # a parent has a lower number
+        if parent[c] >= 0:
+            weight[parent[c]] += weight[c]
     whole = lengths[marked].sum()
-    best = max((c for c in range(len(page.kinds)) if page.kinds[c] in WHOLE and weight[c] >= SHARE * whole), default=-1)
+
+    def within(region: int) -> np.ndarray:
+        """Which lines lie in the container."""
+        holds = np.zeros(len(kinds) + 1, bool)         # the last: no container
+        for c in range(max(region, 0), len(kinds)):
+            holds[c] = c == region or parent[c] >= 0 and holds[parent[c]]
+        return holds[inner]
+
+    best = max((c for c in range(len(kinds)) if kinds[c] in WHOLE and weight[c] >= SHARE * whole), default=-1)
     if best >= 0:                          # an outer one, if there are several, holds it too
-        while (outer := next((c for x in lines if best in x[2] for c in x[2] if page.kinds[c] in WHOLE), best)) != best:
-            best = outer
-        return "\n".join(x[0] for x in lines if best in x[2])
-    region = max((c for c in range(len(page.kinds)) if weight[c] == whole), default=-1)   # containers are numbered inward
-    inside = [i for i, x in enumerate(lines) if region < 0 or region in x[2]]
-    at = [k for k, i in enumerate(inside) if marked[i]]
-    first, last = at[0], at[-1]
-    while first > 0 and not furniture[inside[first - 1]]:
+        c = best
+        while (c := parent[c]) >= 0:
+            best = c if kinds[c] in WHOLE else best
+        return "\n".join(lines[i][0] for i in np.flatnonzero(within(best)))
+    region = max((c for c in range(len(kinds)) if weight[c] == whole), default=-1)        # containers are numbered inward
+    inside = np.flatnonzero(within(region)) if region >= 0 else np.arange(len(lines))
+    at = np.flatnonzero(marked[inside])
+    # all unlinked text in the containers of marked lines, and what is next to it
+    free = ~furniture[inside]
+    own = np.isin(inner[inside], inner[inside][at])
+    reached = np.append(at, np.flatnonzero(free & own))
+    first, last = int(reached.min()), int(reached.max())
+    while first > 0 and free[first - 1]:
         first -= 1
-    while last < len(inside) - 1 and not furniture[inside[last + 1]]:
+    while last < len(inside) - 1 and free[last + 1]:
         last += 1
     return "\n".join(lines[i][0] for i in inside[first:last + 1])
 

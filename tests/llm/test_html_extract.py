@@ -4,6 +4,7 @@ import html
 import re
 
 import numpy as np
+import pytest
 
 from arrears.llm import html_extract as hx
 from tests.conftest import MEDIUM
@@ -104,3 +105,38 @@ def test_end_tags_left_out():
     table = "<article><table><tr class=ad><td>gone<tr><td>a<td class=sidebar>gone<td>b</table><dl><dt class=ad>gone<dd>c<dt>d<dd class=ad>gone</dl>"
     assert hx.main_text(table + "<ul><li class=ad>gone<ul><li>gone</ul><li>e</ul></article>") == "a\nb\nc\nd\ne"
     assert hx.main_text("<article><table><tr><td class=ad><table><tr><td>gone<td>gone</table>gone<td>a</table></article>") == "a"
+
+
+WORDS = " ".join(f"word{k}" for k in range(60)) + "."
+
+
+@pytest.mark.parametrize("page, lost", [
+    (f"<body><div><p>{WORDS}</p><ul><li><a href='x'>linked</a></li></ul><p>Tail paragraph.</p></div>", "Tail paragraph."),
+    (f"<body><div><h1>A title</h1><p><a href='x'>A linked lead-in</a></p><p>{WORDS}</p><p>{WORDS}</p></div>", "A title"),
+    (f"<body><div><p>{WORDS}</p><p><a href='x'>one</a></p><p>Middle.</p><p><a href='y'>two</a></p><p>The end.</p></div>", "The end.")])
+def test_unlinked_text_beyond_linked_lines_stays(page, lost):
+    got = hx.main_text(page + "<div class='nav'><a href='z'>Home</a></div></body>").split("\n")
+    assert lost in got and WORDS in got and "Home" not in got
+
+
+@pytest.mark.parametrize("name", ["user-comments", "comment-thread", "comments-section", "reader-comments", "main-nav", "page-footer", "google-ad"])
+def test_compound_names_of_furniture_go(name):
+    page = f"<article><p>{WORDS}</p><section class='{name}'><p>{WORDS.upper()}</p></section><p>After it.</p></article>"
+    assert hx.main_text(page) == f"{WORDS}\nAfter it."
+
+
+@pytest.mark.parametrize("name", ["related-work", "search-algorithms", "share-price", "social-history", "section-header"])
+def test_names_of_article_parts_stay(name):
+    page = f"<article><p>{WORDS}</p><section class='{name}'><p>{WORDS.upper()}</p></section></article>"
+    assert hx.main_text(page) == f"{WORDS}\n{WORDS.upper()}"
+
+
+def test_deep_nesting_takes_linear_time():
+    import time
+    times = []
+    for depth in (4_000, 16_000):
+        page = "<div>" * depth + f"<p>{WORDS}</p>" + "</section></td>" * depth + "<p>End.</p>" + "</div>" * depth
+        began = time.perf_counter()
+        assert hx.main_text(page) == f"{WORDS}\nEnd."
+        times.append(time.perf_counter() - began)
+    assert times[1] < 10 * times[0] + 0.2
