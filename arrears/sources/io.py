@@ -9,10 +9,11 @@ parallel range queries; writes are batched.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .adapters import Book
@@ -57,6 +58,23 @@ def write_book(book: Book, base: str, fmt: str = "parquet", mode: str = "overwri
         write_table(df, f"{b}/{name}", name, fmt, mode)
 
 
+def write_book_observed(book: Book, base: str) -> dict[str, dict[str, int]]:
+    """``write_book`` that counts rows and NULLs while it writes.
+
+    Per table: ``row_count`` and the NULL count of each column, of exactly the rows
+    written; the copy is not read again for them.
+    """
+    b, counts = base.rstrip("/"), {}
+    for name, df in book.items():
+        seen = Observation(f"load-{name}-{uuid.uuid4().hex}")
+        columns = TABLES[name].columns
+        observed = df.select(*columns).observe(seen, F.count(F.lit(1)).alias("row_count"), *[
+            F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+        write_table(observed, f"{b}/{name}", name)
+        counts[name] = dict(seen.get)
+    return counts
+
+
 # Bucketing keys: every table keyed or joined by loan is bucketed by loan_id, so
 # aggregates and joins on loan_id between them need no shuffle at all.
 BUCKET_KEYS = {"customers": "customer_id", "loans": "loan_id",
@@ -144,19 +162,19 @@ class RefreshError(RuntimeError):
     pass
 
 
-def publish(spark: SparkSession, target: str, write, check=None, note: str | None = None) -> str:
+def publish(spark: SparkSession, target: str, write, check=None, note=None) -> str:
     """Write a new version below ``target`` with write(path), and make it the current one.
 
     ``check(path)`` may raise before the version becomes visible. Publishing is
-    one appended row, so readers see the old version or the new one, whole; ``note``
-    becomes visible with it.
+    one appended row, so readers see the old version or the new one, whole; ``note``,
+    a string or a function that gives one after the write, becomes visible with it.
     """
     version = f"{_dt.datetime.now(_dt.timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
     path = f"{target.rstrip('/')}/versions/{version}"
     write(path)
     if check:
         check(path)
-    (spark.createDataFrame([(version, path, note)], "version string, path string, note string")
+    (spark.createDataFrame([(version, path, note() if callable(note) else note)], "version string, path string, note string")
      .withColumn("published_at", F.current_timestamp())
      .coalesce(1).write.mode("append").parquet(f"{target.rstrip('/')}/_published"))
     return path
@@ -174,8 +192,9 @@ def full_refresh(spark: SparkSession, book: Book, target: str) -> Book:
     """Idempotent full reload of the four tables, published atomically.
 
     Missing values get their column defaults first. Every table is written
-    (parent first) to a new version; the written copy is checked (NOT NULL,
-    primary keys, foreign keys); only then is the version published. A failed
+    (parent first) to a new version, and rows and NULLs are counted on the way; the
+    written copy's primary and foreign keys are checked; only then is the version
+    published, with its row counts in the note. A failed
     check or a crash leaves the previous version current, and nothing is copied a
     second time. Running twice publishes two versions with the same content.
     """
@@ -183,20 +202,24 @@ def full_refresh(spark: SparkSession, book: Book, target: str) -> Book:
 
     filled = Book(*(q.apply_defaults(name, df) for name, df in book.items()))
 
+    counts: dict[str, dict[str, int]] = {}
+
     def check(path: str) -> None:
         tables = dict(read_book(spark, path).items())
-        nulls = q.null_violations(tables).where("null_count > 0")
         pks = q.pk_violations(tables).where("n_duplicate_keys > 0")
         fks = q.fk_violations(tables).where("orphan_rows > 0")
-        problems = (nulls.select(F.concat_ws(":", "table_name", "column_name", F.lit("null")).alias("p"))
-                    .unionByName(pks.select(F.concat_ws(":", "table_name", F.lit("pk")).alias("p")))
+        problems = (pks.select(F.concat_ws(":", "table_name", F.lit("pk")).alias("p"))
                     .unionByName(fks.select(F.concat_ws(":", "child_table", "child_column",
                                                         F.lit("fk")).alias("p"))))
-        bad = sorted(r["p"] for r in problems.collect())  # at most one row per column, table and foreign key
+        nulls = [f"{t}:{c}:null" for t, n in counts.items() for c in TABLES[t].columns if n[c]]
+        bad = sorted(nulls + [r["p"] for r in problems.collect()])  # at most one row per column, table and foreign key
         if bad:
             raise RefreshError(f"{path} failed checks, not published: {bad}")
 
-    return read_book(spark, publish(spark, target, lambda path: write_book(filled, path), check))
+    def write(path: str) -> None:
+        counts.update(write_book_observed(filled, path))
+
+    return read_book(spark, publish(spark, target, write, check, lambda: json.dumps({t: n["row_count"] for t, n in counts.items()})))
 
 
 def read_published(spark: SparkSession, target: str) -> Book:

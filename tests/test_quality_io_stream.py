@@ -200,3 +200,22 @@ def test_discard_deletes_the_scratch_table_only(spark):
     assert made.count() == 3 and b.count() == 5
     with pytest.raises(Exception):
         spark.read.parquet(a._arrears_scratch).count()
+
+
+def test_the_load_counts_what_it_writes(spark):
+    """Observed counts are those of the written copy, NULLs too."""
+    import json
+    book = book_from_testdata(spark, SMALL)
+    gaps = F.when(F.col("loan_id") % 4 == 0, None).otherwise(F.col("interest_rate"))
+    book.loans = book.loans.withColumn("interest_rate", gaps)
+    target = scratch_path(spark, "t-observed")
+    counts = sio.write_book_observed(book, target)
+    back = sio.read_book(spark, target)
+    assert {t: n["row_count"] for t, n in counts.items()} == {r.table_name: r.row_count for r in sio.table_counts(back).collect()}
+    nulls = {(r.table_name, r.column_name): r.null_count for r in qa.null_violations(dict(back.items())).collect()}
+    assert {(t, c): n for t, of in counts.items() for c, n in of.items() if c != "row_count"} == nulls
+    assert nulls["loans", "interest_rate"] > 0
+    book = book_from_testdata(spark, SMALL)
+    sio.full_refresh(spark, book, target + "-full")
+    note = json.loads(sio.published_versions(spark, target + "-full").first().note)
+    assert note == {t: n["row_count"] for t, n in counts.items()}
