@@ -35,6 +35,8 @@ Defined results
   held out: no threshold of perplexity.
 - A label row repeated, NULL or without a document: it changes nothing.
 - Repeated documents: each row is scored; trusted copies each count.
+- Very long texts are scored whole; one of more than CHUNK characters is a chunk of its own, held by one task.
+- Empty documents table: no rows.
 - Extra columns pass through `keep_good`, whatever their names.
 """
 
