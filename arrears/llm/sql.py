@@ -91,24 +91,55 @@ SELECT doc_id, n_words, coalesce(chars, 0)::BIGINT AS word_chars, n_symbols, n_d
 FROM judged j JOIN verdicts v ON j.source IS NOT DISTINCT FROM v.source"""
 
 
-def _canonical(text: str) -> str:
-    out = (rf"regexp_replace(regexp_replace({LOWERED.format(text)}, '{licenses.COPYRIGHT_LINE}', chr(10), 'g'), "
-           rf"'{licenses.PUNCTUATION}', ' ', 'g')")
+def _spelled(text: str) -> str:
+    out = f"' ' || {text} || ' '"
     for one, other in licenses.SPELLINGS:
         out = f"replace({out}, '{one}', '{other}')"
-    return f"trim({out}, ' ')"
+    return out
 
 
+def _stated(low: str) -> str:
+    return rf"regexp_replace(regexp_replace({low}, '{licenses.STATEMENT}', '\1', 'g'), '{licenses.HOLDER_LINE}', '\1', 'g')"
+
+
+def _blocks(low: str) -> str:
+    flat = (f"regexp_replace(regexp_replace({low}, '{licenses.BETWEEN_BLOCKS}', ' ' || chr(1) || ' ', 'g'), "
+            f"'{licenses.IN_TEXT}', ' ', 'g')")
+    return f"list_filter(list_transform(string_split({_spelled(flat)}, chr(1)), lambda b: trim(b, ' ')), lambda b: b <> '')"
+
+
+_LICENSE_LINE = f"trim({_spelled(f"""regexp_replace(line, '{licenses.IN_LINE}', ' ', 'g')""")}, ' ')"
+
+# Entire texts and notices, each with and without its copyright statements; documents likewise.
 LICENSE_SCAN = f"""
-WITH given(license, text) AS (VALUES {', '.join(f'({_quoted(i)}, {_quoted(t)})' for i, t in licenses.KNOWN)}),
-known AS (SELECT {_canonical('text')} AS form, min(license) AS license FROM given GROUP BY 1),
-docs AS (SELECT row_number() OVER () AS r, doc_id, text, {_canonical('text')} AS form FROM documents),
-lines AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM docs),
+WITH given(license, text) AS (VALUES {', '.join(f'({_quoted(i)}, {_quoted(t)})' for i, t in [*licenses.KNOWN, *licenses.full_texts()])}),
+given_low AS (SELECT license, {LOWERED.format('text')} AS low FROM given),
+forms AS (
+  SELECT DISTINCT license, array_to_string(bs, ' ') AS form, bs
+  FROM (SELECT license, {_blocks('low')} AS bs FROM given_low UNION ALL SELECT license, {_blocks(_stated('low'))} FROM given_low)
+  WHERE len(bs) > 0),
+known AS (SELECT form, min(license) AS license FROM forms GROUP BY 1),
+arranged AS (SELECT license, form, bs FROM forms UNION SELECT license, form, [form] FROM forms),
+docs AS (SELECT row_number() OVER () AS r, doc_id, {LOWERED.format('text')} AS low FROM documents),
+read AS (SELECT r, doc_id, low, {_blocks('low')} AS plain, {_blocks(_stated('low'))} AS stated FROM docs),
+line_hits AS (
+  SELECT r, license FROM (SELECT r, {_LICENSE_LINE} AS form FROM (SELECT r, unnest(string_split(low, chr(10))) AS line FROM docs))
+  JOIN known USING (form)),
+both_forms AS (SELECT r, plain AS bs FROM read UNION ALL SELECT r, stated FROM read WHERE stated <> plain),
+block_hits AS (
+  SELECT DISTINCT r, license
+  FROM (SELECT r, bs, unnest(bs) AS block, unnest(range(1, len(bs) + 1)) AS i FROM both_forms) d
+  JOIN arranged a ON d.block = a.bs[1] AND d.bs[i:i + len(a.bs) - 1] = a.bs),
+whole AS (
+  SELECT r, doc_id, array_to_string(stated, ' ') AS form, coalesce(k.license, o.license) AS license
+  FROM read LEFT JOIN known k ON k.form = array_to_string(stated, ' ') LEFT JOIN known o ON o.form = array_to_string(plain, ' ')),
 found AS (
-  SELECT r, string_agg(DISTINCT license, ',' ORDER BY license) AS notices, count(*) AS n
-  FROM (SELECT r, {_canonical('line')} AS form FROM lines) JOIN known USING (form) GROUP BY r)
+  SELECT r, string_agg(DISTINCT license, ',' ORDER BY license) AS notices, sum(n) AS n
+  FROM (SELECT r, license, count(*) AS n FROM line_hits GROUP BY ALL
+        UNION ALL SELECT r, b.license, 0 FROM block_hits b JOIN whole USING (r) WHERE whole.license IS NULL)
+  GROUP BY r)
 SELECT doc_id, sha256(form) AS text_digest, license, coalesce(notices, '') AS notices, coalesce(n, 0)::BIGINT AS n_notice_lines
-FROM docs LEFT JOIN known USING (form) LEFT JOIN found USING (r)"""
+FROM whole LEFT JOIN found USING (r)"""
 
 _HOST = rf"regexp_extract({LOWERED.format('url')}, '{url_lists.HOST}', 2)"
 

@@ -1,8 +1,12 @@
 """Operator 6: canonical forms and lookups."""
 
 import hashlib
+import textwrap
 
-from arrears.llm import licenses
+import duckdb
+import pandas as pd
+
+from arrears.llm import licenses, sql
 from tests.llm.rows import no_documents, odd_documents
 
 
@@ -56,3 +60,43 @@ def test_entire_texts_with_title_and_inside_other_text(spark):
         assert got[i].license == n and got[20 + i].license is None and n in got[20 + i].notices.split(","), n
     assert got[40].license == "MIT"
     assert [(got[i].license, got[i].notices) for i in (41, 42, 43, 44)] == [(None, "MIT"), (None, "MIT"), (None, ""), (None, "MIT")]
+
+
+def wrapped(text, width):
+    return "\n\n".join(textwrap.fill(" ".join(block.split()), width) for block in text.split("\n\n"))
+
+
+def test_wrapped_anew(spark):
+    full = {name: text for name, text in reversed(licenses.full_texts())}
+    texts = [(name, width, wrapped(text, width)) for name, text in full.items() for width in (40, 50, 60, 66, 72, 76, 80, 90, 120, 10 ** 6)]
+    texts += [(name, -width, wrapped(text, width)) for name, text in licenses.full_texts() for width in (64, 99)]
+    rows = [(i, t) for i, (_, _, t) in enumerate(texts)] + [
+        (10_000 + i, "Copyright (c) 2024 Some Body\n\n" + t) for i, (_, _, t) in enumerate(texts)]
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), licenses.known_licenses(spark)).collect()}
+    for i, (name, width, _) in enumerate(texts):
+        assert got[i].license == name, (name, width)
+        led = got[10_000 + i]                                  # whole, or by its blocks
+        assert led.license == name or name in led.notices.split(","), (name, width)
+    assert not licenses.scan(spark.createDataFrame([(1, full["MIT"].replace("without limitation", "with limitation"))], "doc_id long, text string"),
+                             licenses.known_licenses(spark)).filter("license is not null or notices <> ''").count()
+
+
+def test_statements_are_not_sentences(spark):
+    assert forms(spark, ["the\ncopyright holders and\n(c) you must", "Copyright Some Body\n\nwords", "a\n\n  Copyright by X\n(c) Y\nb"]) == [
+        "the copyright holders and c you must", "words", "a b"]
+
+
+def test_sql_on_entire_texts(spark):
+    """The SQL knows the same texts: entire, led by a statement, wrapped anew, and inside other text."""
+    full = {name: text for name, text in reversed(licenses.full_texts())}
+    rows = []
+    for text in full.values():
+        rows += [text, wrapped(text, 57), "Copyright 2024 X\n" + text, "# A\n\nWords.\n\n" + wrapped(text, 83) + "\n\nMore.", text[:-30]]
+    rows += [None, "", "Words.\nReleased under the MIT licence!", "fulfil\n\nfulfil", "a\x01b"]
+    rows = [(i % 50, t) for i, t in enumerate(rows)]
+    got = [tuple(r) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), licenses.known_licenses(spark)).collect()]
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(rows, columns=["doc_id", "text"]))
+    want = con.execute(sql.LICENSE_SCAN).fetchall()
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert sum(r[2] is not None for r in got) >= 20
