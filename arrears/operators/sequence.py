@@ -12,6 +12,11 @@ number is computed in two levels that are exact together:
 The result is offset + number-within-day. The rows come out hash-partitioned
 by (key, date), which later per-day steps (the clamped running balance)
 reuse without another shuffle.
+
+A single day of a key is still one task there. ``row_number_in_ranges`` has no such
+bound: rows are dealt out in ranges of (key, order) of about equal size and
+numbered inside (key, range); only the first and the last key of a range can go on
+in another one, and only for these are counts carried from range to range.
 """
 
 from __future__ import annotations
@@ -19,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialise
+
 
 def row_number_within(df: DataFrame, key: str, day: str, order: list,
                       name: str = "row_number") -> DataFrame:
@@ -40,3 +47,24 @@ def row_number_within(df: DataFrame, key: str, day: str, order: list,
     return (numbered.join(offsets, [key, day], "left")
             .select(*df.columns,
                     (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_r")).cast("bigint").alias(name)))
+
+
+def row_number_in_ranges(df: DataFrame, key: str, order: list[str], name: str = "row_number") -> DataFrame:
+    """Add ``name`` = 1-based position of each row within ``key`` ordered by the columns ``order``, NULLs first.
+
+    A key, or one day of it, with a large share of all rows is spread over many tasks. Rows
+    that are equal in key and order share a range; such rows may take their numbers in any order.
+    A NULL key is a key like any other.
+    """
+    placed = materialise(df.repartitionByRange(key, *order).withColumn("_range", F.spark_partition_id()), "sequence")
+    edges = placed.groupBy("_range").agg(F.min(F.struct(key)).alias("_first"), F.max(F.struct(key)).alias("_last"))
+    at_edge = (placed.select(F.struct(key).alias("_key"), "_range").join(F.broadcast(edges), "_range")  # a row per range
+               .where((F.col("_key") == F.col("_first")) | (F.col("_key") == F.col("_last"))))
+    counts = at_edge.groupBy("_key", "_range").agg(F.count(F.lit(1)).alias("_c"))       # two rows per range at most
+    before = Window.partitionBy("_key").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (counts.select("_key", F.col("_range").alias("_at"), F.sum("_c").over(before).alias("_off"))
+               .where("_off > 0"))
+    inside = Window.partitionBy(key, "_range").orderBy(*order)
+    numbered = placed.withColumn("_r", F.row_number().over(inside)).withColumn("_own", F.struct(key))
+    return (numbered.join(F.broadcast(carried), (F.col("_own") == F.col("_key")) & (F.col("_range") == F.col("_at")), "left")
+            .select(*df.columns, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_r")).cast("bigint").alias(name)))

@@ -27,6 +27,7 @@ from ..operators import model as ml
 from ..operators import portfolio as pf
 from ..operators import quality as qa
 from ..operators import recommend as rc
+from ..operators.sequence import row_number_in_ranges
 from ..session import materialise, scratch_path
 from ..sources import io as sio
 from ..sources.adapters import Book, book_from_testdata
@@ -1033,3 +1034,27 @@ def q_full_refresh_rows(spark, sf_dir):
         F.coalesce(F.col(c).cast("string"), F.lit("")) for c in TABLES[name].columns]).alias("content"))
         for name, df in published.items()]
     return functools.reduce(lambda a, b: a.unionByName(b), rows)
+
+
+@register("payment_sequence", O.with_book("""SELECT payment_id, loan_id,
+  row_number() OVER (PARTITION BY loan_id ORDER BY due_date NULLS FIRST, payment_id) AS payment_no
+FROM payment_history""", "payment_history"))
+def q_payment_sequence(spark, sf_dir):
+    """The number of each payment within its loan, in ranges that split a hot loan or day."""
+    payments = _book(spark, sf_dir).payments.select("payment_id", "loan_id", "due_date")
+    return row_number_in_ranges(payments, "loan_id", ["due_date", "payment_id"], "payment_no").drop("due_date")
+
+
+@register("csv_quarantine", O.with_book("""SELECT loan_id, loan_id % 97 = 0 AS quarantined,
+  CASE WHEN loan_id % 97 <> 0 THEN principal END AS principal FROM loans""", "loans"))
+def q_csv_quarantine(spark, sf_dir):
+    """The loans as CSV with values that do not parse, by a rule on the key; good rows and lines set aside."""
+    loans = _book(spark, sf_dir).loans
+    path, target = scratch_path(spark, "csv-bad"), scratch_path(spark, "csv-loaded")
+    spoilt = F.when(F.col("loan_id") % 97 == 0, "n/a").otherwise(F.col("principal").cast("string"))
+    sio.write_csv(loans.withColumn("principal", spoilt), path)
+    sio.load_csv(spark, path, loans.schema, target, max_bad=0.1)
+    good = sio.read_loaded(spark, target, loans.schema).select("loan_id", F.lit(False).alias("quarantined"), "principal")
+    aside = sio.read_quarantine(spark, target, loans.schema).select(
+        F.split("line", ",")[0].cast("bigint").alias("loan_id"), F.lit(True).alias("quarantined"))
+    return good.unionByName(aside, allowMissingColumns=True)

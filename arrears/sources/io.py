@@ -1,7 +1,8 @@
 """Reading, writing and refreshing the four tables.
 
 Parquet is the default format (column pruning and predicate pushdown reach
-the scan). CSV is read with the declared schema, never inferred, and FAILFAST.
+the scan). CSV is read with the declared schema, never inferred, and FAILFAST;
+``load_csv`` sets bad lines aside instead, up to a stated share of all lines.
 JDBC is offered for databases: reads are split on a numeric column into
 parallel range queries; writes are batched.
 """
@@ -15,6 +16,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType, TimestampType
 
 from .adapters import Book
 from .schemas import TABLES
@@ -47,6 +49,54 @@ def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
 
 
+BAD_LINE = "_bad_line"
+
+
+def load_csv(spark: SparkSession, path: str, schema, target: str, max_bad: float = 0.0) -> dict[str, int]:
+    """Load CSV lines into a new version at ``target``; lines that do not fit ``schema`` go to quarantine.
+
+    A line is bad when a value does not parse or its number of values is wrong. All lines
+    are read and written once, good and bad apart, and counted on the way. More than
+    ``max_bad`` of all lines bad: ``RefreshError``, and the version before stays current.
+    Returns ``lines`` and ``bad``. An empty value is NULL, as in ``read_csv``; NOT NULL is for the checks of the load.
+    """
+    seen = Observation(f"csv-{uuid.uuid4().hex}")
+    fields = StructType([*schema.fields, StructField(BAD_LINE, StringType())])
+    lines = (spark.read.schema(fields).option("header", True).option("mode", "PERMISSIVE")
+             .option("columnNameOfCorruptRecord", BAD_LINE).csv(path))
+    bad = F.col(BAD_LINE).isNotNull()
+    lines = (lines.select("*", F.col("_metadata.file_path").alias("_file"), bad.alias("_bad"))
+             .observe(seen, F.count(F.lit(1)).alias("lines"), F.count_if(bad).alias("bad")))
+    counts: dict[str, int] = {}
+
+    def write(to: str) -> None:
+        lines.write.partitionBy("_bad").parquet(to)
+        counts.update(seen.get)
+
+    def check(to: str) -> None:
+        if counts["bad"] > max_bad * counts["lines"]:
+            raise RefreshError(f"{counts['bad']} of {counts['lines']} lines of {path} are bad, not published: see {to}")
+
+    publish(spark, target, write, check, lambda: json.dumps(counts))
+    return counts
+
+
+def _loaded(spark: SparkSession, target: str, schema) -> DataFrame:
+    fields = StructType([*(StructField(f.name, f.dataType) for f in schema.fields), StructField(BAD_LINE, StringType()),
+                         StructField("_file", StringType()), StructField("_bad", BooleanType())])
+    return spark.read.schema(fields).parquet(published_path(spark, target))
+
+
+def read_loaded(spark: SparkSession, target: str, schema) -> DataFrame:
+    """The good rows of the latest ``load_csv`` at ``target``."""
+    return _loaded(spark, target, schema).where("not _bad").select(*schema.names)
+
+
+def read_quarantine(spark: SparkSession, target: str, schema) -> DataFrame:
+    """The lines that the latest ``load_csv`` at ``target`` set aside: ``line``, as it was, and its ``file``."""
+    return _loaded(spark, target, schema).where("_bad").select(F.col(BAD_LINE).alias("line"), F.col("_file").alias("file"))
+
+
 def read_book(spark: SparkSession, base: str, fmt: str = "parquet") -> Book:
     b = base.rstrip("/")
     return Book(*(read_table(spark, f"{b}/{n}", n, fmt) for n in TABLES))
@@ -227,7 +277,53 @@ def read_published(spark: SparkSession, target: str) -> Book:
     return read_book(spark, published_path(spark, target))
 
 
+def _rows_if_any(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return spark.read.schema(schema).parquet(path)
+    return spark.createDataFrame([], schema)
+
+
+_RETIRED = StructType([StructField("path", StringType())])
+_LEASES = StructType([StructField("path", StringType()), StructField("until", TimestampType())])
+
+
 def published_versions(spark: SparkSession, target: str) -> DataFrame:
-    """All published versions at ``target``, newest first (version, path, note, published_at)."""
-    return (spark.read.parquet(f"{target.rstrip('/')}/_published")
+    """All published versions at ``target`` that are still there, newest first (version, path, note, published_at)."""
+    gone = _rows_if_any(spark, f"{target.rstrip('/')}/_retired", _RETIRED)
+    return (spark.read.parquet(f"{target.rstrip('/')}/_published").join(gone, "path", "left_anti")
+            .select("version", "path", "note", "published_at")
             .orderBy(F.desc("published_at"), F.desc("version")))
+
+
+def lease(spark: SparkSession, target: str, hours: float) -> str:
+    """The folder of the latest version, kept by ``retire`` for ``hours`` however many versions follow."""
+    path = published_path(spark, target)
+    (spark.createDataFrame([(path,)], "path string")
+     .withColumn("until", F.current_timestamp() + F.make_dt_interval(mins=F.lit(round(hours * 60))))
+     .coalesce(1).write.mode("append").parquet(f"{target.rstrip('/')}/_leases"))
+    return path
+
+
+def retire(spark: SparkSession, target: str, keep: int = 2) -> list[str]:
+    """Delete versions beyond the newest ``keep`` (one at least) that nobody holds a lease on.
+
+    A version is marked as retired before its files go, so a job lost between the two
+    leaves files that no reader finds; running again deletes them. Returns the folders deleted.
+    """
+    if keep < 1:
+        raise ValueError("the current version stays: keep must be 1 or more")
+    base = target.rstrip("/")
+    held = _rows_if_any(spark, f"{base}/_leases", _LEASES).where(F.col("until") > F.current_timestamp())
+    kept = published_versions(spark, target).limit(keep)
+    old = published_versions(spark, target).select("path").join(kept, "path", "left_anti").join(held, "path", "left_anti")
+    paths = [r["path"] for r in old.collect()]            # one row per version
+    if paths:
+        (spark.createDataFrame([(p,) for p in paths], _RETIRED).coalesce(1)
+         .write.mode("append").parquet(f"{base}/_retired"))
+    out = []
+    for row in _rows_if_any(spark, f"{base}/_retired", _RETIRED).distinct().collect():
+        place = spark._jvm.org.apache.hadoop.fs.Path(row["path"])
+        if place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True):
+            out.append(row["path"])
+    return sorted(out)
