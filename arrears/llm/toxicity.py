@@ -14,15 +14,19 @@ training sample. The weights are fitted by gradient descent to the sample's
 bags, which hold no text, just the lexicon entries of each sentence; an entry
 that only goes along with others is explained away by the noisy-or.
 
-Bounds: at most SAMPLE labelled documents are used for training, those with the
-smallest hash of the id; the lexicon has at most LEXICON words, which is the
-bound of the broadcast. Every document is scored, over its whole text.
+Bounds (parameters of `train` and `judge`): at most SAMPLE labelled documents are used
+for training, those with the smallest hash of the id, each once; the lexicon has at
+most LEXICON entries, those that stand out most, which is the bound of the broadcast.
+Every document is scored, over its whole text, however long; a text is held in memory
+by the task that scores it.
 
 Defined results
 - NULL, empty or wordless text: the leak.
 - A NULL label, a label without a document, a document without a label: not
   trained on. Conflicting labels of a document: the largest counts.
 - No labelled document at all: leak 0, so every score is 0.
+- No documents: no rows. An id that repeats in `documents` is trained on once, with
+  its smallest text.
 - Repeated rows are each scored; extra columns pass through `score_documents`.
 """
 
@@ -59,14 +63,15 @@ def held_out(doc_id: Column) -> Column:
 
 
 def sample(docs: DataFrame, labels: DataFrame, *, id_col, text_col, label_id_col, label_col, most: int) -> DataFrame:
-    """(doc_id, text, toxic): the bounded training sample."""
+    """(doc_id, text, toxic): the training sample, one row for each of at most `most` ids."""
     labelled = (labels.filter(F.col(label_col).isNotNull() & F.col(label_id_col).isNotNull())
                 .groupBy(F.col(label_id_col).alias("at")).agg((F.max(label_col) > 0).alias("toxic"))
                 .filter(~held_out(F.col("at"))))
     chosen = labelled.orderBy(F.xxhash64("at"), "at").limit(most)
     chosen = materialise(chosen, "toxic-sample")
-    return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).join(
-        F.broadcast(chosen), F.col("doc_id") == F.col("at")).select("doc_id", "text", "toxic")   # at most `most` rows
+    found = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).join(
+        F.broadcast(chosen), F.col("doc_id") == F.col("at"))   # at most `most` rows broadcast
+    return found.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("doc_id", "text", "toxic")
 
 
 def entries(word: str) -> list[str]:
@@ -153,7 +158,7 @@ def fit(bags: list[tuple[bool, list[list[int]]]], n_words: int, silent: tuple[in
 
 
 def train(docs: DataFrame, labels: DataFrame, *, id_col="doc_id", text_col="text", label_id_col="doc_id",
-          label_col="toxic", most: int = SAMPLE) -> tuple[dict[str, float], float, float]:
+          label_col="toxic", most: int = SAMPLE, most_entries: int = LEXICON) -> tuple[dict[str, float], float, float]:
     """Weights of the entries, bias and leak."""
     rows = materialise(sample(docs, labels, id_col=id_col, text_col=text_col, label_id_col=label_id_col,
                               label_col=label_col, most=most), "toxic-rows")
@@ -161,7 +166,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col="doc_id", text_col="text
     if not total:
         return {}, 0.0, 0.0
     base = (toxic + 0.5) / (total + 1)
-    words = lexicon(rows, base)
+    words = lexicon(rows, base, most_entries)
     number = rows.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(words)})
 
     def bag(batches):
