@@ -4,6 +4,7 @@ import random
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from arrears.operators import features as ft
@@ -77,3 +78,12 @@ def test_model_scores_feed_recommendations(planted):
     assert len(recs) == run.scored_test.count() > 0
     assert {r.recommended_action for r in recs} <= set(ACTION_TYPES)
     assert all(r.risk_tier in ("Low", "Medium", "High") for r in recs)
+
+
+def test_scores_in_a_session_that_observed_a_table(spark, planted):
+    seen = Observation("t-model")
+    spark.range(10).observe(seen, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
+    assert seen.get == {"n": 10}
+    run = ml.train_and_evaluate(planted, ml.ForestParams(num_trees=3, max_depth=2))
+    assert run.scored_test.count() == planted.where("split = 'test'").count()
+    assert not run.model.stages[-1].hasSummary
