@@ -87,3 +87,16 @@ def test_scores_in_a_session_that_observed_a_table(spark, planted):
     run = ml.train_and_evaluate(planted, ml.ForestParams(num_trees=3, max_depth=2))
     assert run.scored_test.count() == planted.where("split = 'test'").count()
     assert not run.model.stages[-1].hasSummary
+
+
+def test_training_rows_are_spread_over_bounded_partitions(planted, monkeypatch):
+    train = planted.where("split = 'train'").coalesce(1)
+    assert ml.spread(train).rdd.getNumPartitions() == 1                 # few rows stay as they are
+    monkeypatch.setattr(ml, "PARTITION_ROWS", 40)
+    parts = [sorted(p) for p in ml.spread(train).rdd.glom().collect()]
+    assert max(len(p) for p in parts) <= 2 * 40 < train.count() / 4
+    assert sorted(r for p in parts for r in p) == sorted(train.collect())
+    other_way = ml.spread(train.orderBy(F.desc("loan_id"))).rdd.glom().collect()
+    assert other_way == ml.spread(train).rdd.glom().collect()
+    few = ml.ForestParams(num_trees=3, max_depth=2)
+    assert ml.fit(ml.with_class_weight(train, ml.class_weights(planted)), few).stages[-1].totalNumNodes > 3
