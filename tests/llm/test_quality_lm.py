@@ -188,3 +188,47 @@ def test_repeated_words_go(spark):
     texts = {r.doc_id: r.text.split() for r in docs.join(labels.filter("quality = 0"), "doc_id").collect()}
     dull = [i for i, t in texts.items() if len(t) >= 20 and len(set(t)) < 0.2 * len(t)]
     assert dull and not any(got[i] for i in dull)
+
+
+def test_rounds_and_blocks_change_no_score(spark, monkeypatch):
+    """Several rounds, shards and blocks give the rows of one."""
+    docs, labels = spark.read.parquet(f"{MEDIUM}/documents.parquet"), spark.read.parquet(f"{MEDIUM}/labels.parquet")
+    docs = docs.union(docs.limit(3))
+
+    def got():
+        return sorted((r.doc_id, round(r.perplexity, 6), round(r.threshold, 6), r.kept) for r in quality_lm.classify(docs, labels).collect())
+    once = got()
+    assert quality_lm.round_count(quality_lm.ROUND_CHARS) == 1 and quality_lm.round_count(1 << 50) == quality_lm.MOST_ROUNDS
+    monkeypatch.setattr(quality_lm, "ROUND_CHARS", 1 << 16)
+    monkeypatch.setattr(quality_lm, "STACK", 1 << 16)
+    monkeypatch.setattr(quality_lm, "SHARD_CHARS", 1 << 16)
+    monkeypatch.setattr(quality_lm, "HOT", 50)
+    assert got() == once
+
+
+def test_shards_send_blocks_not_a_row_for_each_document(spark, monkeypatch):
+    """However many shards: the join makes a row for each shard of a block, its merge one for each document."""
+    monkeypatch.setattr(quality_lm, "SHARD_CHARS", 1 << 10)
+    monkeypatch.setattr(quality_lm, "HOT", 5)
+    texts = [(" ".join(f"w{(i * j) % 97}" for j in range(1, 60)),) for i in range(300)]
+    docs = spark.createDataFrame(texts, "text string").coalesce(1)
+    docs = docs.withColumn("digest", quality_lm.digest_of(docs["text"]))
+    shared = quality_lm._losses(quality_lm.train(docs.select("text")))
+    model, weight = quality_lm.word_model(docs.select("text"), shared)
+    scores = quality_lm.text_scores(docs, model, weight, shared)
+    rows = scores.collect()
+    shards = 1 + sum(len(t) for t, in texts) // (1 << 10)
+
+    def made(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return made(node.executedPlan())
+        if "QueryStage" in name:
+            return made(node.plan())
+        here = []
+        if name in ("FlatMapCoGroupsInPandas", "FlatMapGroupsInPandas"):
+            here = [(name, node.metrics().apply("pythonNumRowsReceived").value())]
+        return here + [x for i in range(node.children().size()) for x in made(node.children().apply(i))]
+    got = dict(made(scores._jdf.queryExecution().executedPlan()))
+    assert got["FlatMapCoGroupsInPandas"] <= shards + 1 < len(rows), got
+    assert got["FlatMapGroupsInPandas"] == 300
