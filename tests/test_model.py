@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from arrears.operators import features as ft
 from arrears.operators import model as ml
+from arrears.operators.forest import node_table
 from arrears.session import scratch_path
 
 PARAMS = ml.ForestParams(num_trees=15, max_depth=4)
@@ -100,3 +101,49 @@ def test_training_rows_are_spread_over_bounded_partitions(planted, monkeypatch):
     assert other_way == ml.spread(train).rdd.glom().collect()
     few = ml.ForestParams(num_trees=3, max_depth=2)
     assert ml.fit(ml.with_class_weight(train, ml.class_weights(planted)), few).stages[-1].totalNumNodes > 3
+
+
+def test_a_large_training_set_is_fitted_in_groups_of_trees(spark, planted, monkeypatch):
+    train = ml.with_class_weight(planted.where("split = 'train'"), ml.class_weights(planted))
+    params = ml.ForestParams(num_trees=10, max_depth=4)
+    at_once = ml.fit(train, params).stages[-1]
+    monkeypatch.setattr(ml, "PARTITION_ROWS", 300)
+    monkeypatch.setattr(ml, "GROUP_TREES", 4)
+    grown, pipeline = [], ml.forest_pipeline
+
+    def spied(group, *args):
+        grown.append(pipeline(group, *args).getStages()[-1])
+        return pipeline(group, *args)
+    monkeypatch.setattr(ml, "forest_pipeline", spied)
+    model = ml.fit(train, params)
+    forest = model.stages[-1]
+    assert [f.getNumTrees() for f in grown] == [4, 4, 2] and not any(f.getCacheNodeIds() for f in grown)
+    assert len({f.getSeed() for f in grown}) == 3 and grown[0].getSeed() == params.seed
+    assert forest.getNumTrees == 10 and not forest.hasSummary
+    nodes = node_table(model).groupBy("tree").agg(F.sort_array(F.collect_list("n_rows")).alias("n")).collect()
+    assert len({tuple(r.n) for r in nodes}) == 10                                   # no tree comes twice
+    for p in ("maxDepth", "minInstancesPerNode", "featureSubsetStrategy", "seed", "numTrees", "cacheNodeIds", "featuresCol",
+              "labelCol", "weightCol", "probabilityCol", "predictionCol", "impurity", "maxBins", "subsamplingRate", "bootstrap"):
+        if at_once.hasParam(p):
+            assert forest.getOrDefault(p) == at_once.getOrDefault(p), p
+
+    def scores(m):
+        return {r.loan_id: (r.probability_of_default, r.prediction) for r in ml.score(m, planted).collect()}
+    path = scratch_path(spark, "t-groups")
+    ml.save(model, path)
+    assert scores(model) == scores(ml.load(path)) == scores(ml.fit(train, params))
+    assert ml.evaluate(ml.score(model, planted.where("split = 'test'"))).first().auc >= 0.9
+    assert abs(sum(forest.featureImportances.toArray()) - 1) < 1e-9
+
+
+def test_the_walk_of_a_forest_grown_in_groups(planted, monkeypatch):
+    from arrears.operators import forest
+    monkeypatch.setattr(ml, "PARTITION_ROWS", 300)
+    monkeypatch.setattr(ml, "GROUP_TREES", 3)
+    run = ml.train_and_evaluate(planted, ml.ForestParams(num_trees=7, max_depth=3))
+    nodes = forest.node_table(run.model)
+    assert {r.tree for r in nodes.select("tree").distinct().collect()} == set(range(7))
+    walked = forest.probabilities(nodes, ml.one_hot_stage().transform(planted), ft.DESIGN_COLUMNS, 3)
+    own = ml.score(run.model, planted).select("loan_id", F.col("probability_of_default").alias("p"))
+    assert own.join(walked, "loan_id").where("p = probability_of_default").count() == planted.count()
+    assert all(r.n_broken == 0 for r in forest.audit(nodes, 3, 10).collect())
