@@ -147,3 +147,33 @@ def test_the_walk_of_a_forest_grown_in_groups(planted, monkeypatch):
     own = ml.score(run.model, planted).select("loan_id", F.col("probability_of_default").alias("p"))
     assert own.join(walked, "loan_id").where("p = probability_of_default").count() == planted.count()
     assert all(r.n_broken == 0 for r in forest.audit(nodes, 3, 10).collect())
+
+
+def _scratch_tables(spark):
+    import os
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    return {n.split("arrears-", 1)[1].rsplit("-", 1)[0] for n in os.listdir(folder) if "arrears-" in n}, folder
+
+
+def test_training_leaves_only_the_scores_in_scratch(spark, planted, tmp_path):
+    before = spark.sparkContext.getCheckpointDir()
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    try:
+        split = ft.stratified_split(planted.drop("split"))
+        assert _scratch_tables(spark)[0] == {"split-cuts"}
+        run = ml.train_and_evaluate(split, ml.ForestParams(num_trees=3, max_depth=2))
+        assert _scratch_tables(spark)[0] == {"split-cuts", "scored", "auc-scores"}
+        assert run.scored_test.count() == split.where("split = 'test'").count() and run.metrics.first().auc > 0
+    finally:
+        spark.sparkContext.setCheckpointDir(before)
+
+
+def test_the_books_inputs_are_read_once_for_the_walk(spark, planted, monkeypatch):
+    from arrears.plans import catalog
+    from arrears.plans.inspect import physical_plan
+    few = ml.ForestParams(num_trees=3, max_depth=2)
+    monkeypatch.setattr(catalog, "_training_run", lambda spark, sf_dir: ml.train_and_evaluate(planted, few))
+    monkeypatch.setattr(catalog, "_features", lambda spark, sf_dir: planted.withColumn("loan_id", F.col("loan_id") + F.uuid().isNull().cast("int")))
+    checked = catalog.q_rf_node_walk(spark, "")
+    assert "uuid" not in physical_plan(checked)                # what makes the inputs does not run again
+    assert tuple(checked.first()) == (600, 600, 600)
